@@ -1,3 +1,10 @@
 """spotloom: spatial training-data engine on Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of this package travel to the executors by value: no copy has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
