@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
 from .exact_dedup import exact_dedup
+from .simhash import hexed, simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,12 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+@query("op2_simhash_near_dedup")
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hexed().alias("fingerprint"), "component_id")
+
+
 @query(
     "op9_exact_dedup",
     """
