@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
+from .bpe import bundled, digests, transcode
 from .exact_dedup import exact_dedup
 from .simhash import hexed, simhash_components
 
@@ -32,6 +33,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexed().alias("fingerprint"), "component_id")
 
 
+@query("op4_byte_bpe")
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(transcode(read_table(spark, sf_dir, "documents"), *bundled()))
+
+
 @query(
     "op9_exact_dedup",
     """
