@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import read_table
 from .bpe import bundled, digests, transcode
 from .exact_dedup import exact_dedup
+from .quality import quality_scores
 from .simhash import hexed, simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +49,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
