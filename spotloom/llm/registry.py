@@ -11,6 +11,7 @@ from .bpe import bundled, digests, transcode
 from .exact_dedup import exact_dedup
 from .quality import quality_scores
 from .simhash import hexed, simhash_components
+from .toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +40,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(transcode(read_table(spark, sf_dir, "documents"), *bundled()))
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query(
     "op9_exact_dedup",
     """
