@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic examples and unlabelled text, both from rows that are not held out, train a
-logistic classifier over the presence of hashed words. The risk is the class-prior-corrected
+logistic classifier over the presence of hashed words and beginnings of words. The risk is the class-prior-corrected
 estimate  pi E_P[l(+)] + max(0, E_U[l(-)] - pi E_P[l(-)]): where the estimate of the
 negative part drops below zero, the step goes against it, as in Kiryo et al. (2017). The
 class prior pi is the share of confirmed rows among all labelled training rows, counted over
@@ -17,6 +17,7 @@ any confirmed row every score is 0; repeated rows are all returned; other column
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,12 +35,25 @@ POSITIVES, UNLABELLED = 4_000, 8_000
 FEATURES = 1_024
 THRESHOLD = 0.3
 
+#: Bytes of the beginnings of words.
+LENGTHS = (4, 5, 6, 7, 8)
+
 _SPLIT = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
 def word_hashes(text: bytes) -> list[int]:
-    """A 64-bit hash of each distinct word: ASCII lower case, cut at what is no letter or digit."""
-    return list(map(xxhash.xxh64_intdigest, set(text.lower().translate(_SPLIT).split())))
+    """64-bit hashes of what marks a text: its distinct words, the beginnings of these words
+    (4 to 8 bytes), and that 2 or 4 distinct words or more share a beginning.
+
+    Words are lower-cased and cut at what is no letter or digit.
+    """
+    words = set(text.decode().lower().encode().translate(_SPLIT).split())
+    counts = Counter([w[:n] for n in LENGTHS for w in words if len(w) >= n])
+    marks = [w + b"$" for w in words]
+    marks += counts
+    marks += [p + b"+" for p, k in counts.items() if k > 1]
+    marks += [p + b"*" for p, k in counts.items() if k > 3]
+    return list(map(xxhash.xxh64_intdigest, marks))
 
 
 @dataclass
@@ -74,7 +88,7 @@ def _select(pos: list[np.ndarray], unl: list[np.ndarray], most: int) -> np.ndarr
     return hp[order[gain[order] > 8][:most]]
 
 
-def fit_nnpu(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, most: int = FEATURES, steps: int = 400, rate: float = 0.1, l2: float = 2e-5, beta: float = 0.0, gamma: float = 1.0) -> Linear:
+def fit_nnpu(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, most: int = FEATURES, steps: int = 400, rate: float = 0.1, l2: float = 1e-3, beta: float = 0.0, gamma: float = 1.0) -> Linear:
     """Full-batch Adam on the non-negative risk; deterministic."""
     if not pos:
         return Linear({}, np.zeros(0), -40.0)
