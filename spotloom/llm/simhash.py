@@ -6,13 +6,14 @@ differing bits, half the radius. So every distinct fingerprint emits, for either
 
 * a variant that two fingerprints share is a candidate pair, verified by its Hamming
   distance;
-* a variant that up to ``CROWD`` fingerprints share gives the pairs of that bounded group;
-* a variant that more share (copies with small edits) is not paired. Its members emit, in
-  the same way, the variants of their *other* half: a member at cost c (0 or 1) from the
-  shared variant emits all variants within 2 - c. Two members that meet in one such point
-  with costs c and d differ in c + d bits or fewer, and every pair at distance 3 or less
-  meets in a point with c + d <= 3. A point is a centre of at most 2,081 fingerprints, so it
-  links each of them to its nearest one: the work is linear in the group, not square.
+* of a variant that more share, each member is verified against the owners, the fingerprints
+  that have the variant itself for a half, as long as that makes fewer rows than the next;
+* in a crowd (copies with small edits) the owners emit, in the same way, the variants of their
+  *other* half within two bits, and a member one bit short of the variant its other half alone.
+  Two fingerprints that meet in one such point with costs c and d differ in c + d bits or
+  fewer, and every link of the crowd meets in a point with c + d <= 3. A point is near a
+  bounded number of fingerprints (561) and links each of them to its nearest one: the work
+  is linear in the crowd, not square.
 
 Everything before the last join works on distinct fingerprints, so a text with many copies
 counts once. Components come from alternating large-star and small-star rounds, whose state
@@ -41,8 +42,8 @@ from .common import content, slices
 
 SEED = 42
 SHINGLE = 3
-#: Members up to which a shared variant is paired directly.
-CROWD = 12
+#: Variants of a half within two bits: what an owner emits around itself in a crowd.
+BALL = 529
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -98,27 +99,33 @@ def edges(fps: DataFrame) -> DataFrame:
     """(u, v) with u > v: links between distinct fingerprints that connect whatever is within 3 bits."""
     sides = F.explode(F.array(F.lit(0), F.lit(1))).alias("side")
     halves = fps.select("fp", sides).select("fp", _half(F.col("fp"), F.col("side")).alias("half"))
-    emitted = halves.select("fp", "half", F.explode(_masks(1)).alias("mask")).select("fp", F.col("half").bitwiseXOR(F.col("mask")).alias("key"), (F.col("mask") == 0).cast("int").alias("own"))
-    shared = emitted.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("own"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("own = 1 and n > 1")
+    # Of two halves one bit apart, only the one without the bit emits the other: each such pair meets once.
+    emitted = halves.select("fp", "half", F.explode(_masks(1)).alias("mask")).filter(F.col("half").bitwiseAND(F.col("mask")) == 0)
+    emitted = emitted.select("fp", F.col("half").bitwiseOR(F.col("mask")).alias("key"), (F.col("mask") == 0).cast("bigint").alias("own"))
+    shared = emitted.groupBy("key").agg(F.count("*").alias("n"), F.sum("own").alias("own"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("own >= 1 and n > 1")
     shared = cut(shared)
     far = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     pairs = shared.filter("n = 2").select("a", "b").filter(far <= 3)
 
-    # A crowded variant's members are the fingerprints whose half is within one bit of it.
     def members(keys: DataFrame) -> DataFrame:
-        near = keys.select("key", F.explode(_masks(1)).alias("mask")).select("key", F.col("key").bitwiseXOR(F.col("mask")).alias("half"), F.bit_count("mask").alias("cost"))
+        """A shared variant's fingerprints: those that have the half, at cost 0, and those a bit short of it, at cost 1."""
+        near = keys.select("key", F.explode(_masks(1)).alias("mask")).filter(F.col("key").bitwiseAND(F.col("mask")) == F.col("mask"))
+        near = near.select("key", F.col("key").bitwiseXOR(F.col("mask")).alias("half"), F.bit_count("mask").alias("cost"))
         return near.join(halves, "half").select("key", "fp", "cost")
 
-    few = members(shared.filter(f"n > 2 and n <= {CROWD}")).groupBy("key").agg(F.collect_list("fp").alias("all"))
-    some = few.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")).filter(F.col("a") < F.col("b")).filter(far <= 3)
-    many = members(shared.filter(f"n > {CROWD}"))
+    # Pairs of an owner and a member, or points around the owners: whichever are fewer.
+    direct = F.expr(f"own * n <= {BALL} * own + n and own <= {BALL}")
+    some = members(shared.filter("n > 2").filter(direct))
+    owners = some.filter("cost = 0").groupBy("key").agg(F.collect_list("fp").alias("owners"))
+    close = some.join(owners, "key").select(F.col("fp").alias("a"), F.explode("owners").alias("b")).filter(F.col("a") != F.col("b")).filter(far <= 3)
+    many = members(shared.filter("n > 2").filter(~direct))
     other = _half(F.col("fp"), F.when(F.col("key") < 1 << 32, 1).otherwise(0)).bitwiseAND(0xFFFFFFFF)
-    reach = F.when(F.col("cost") == 0, _masks(2)).otherwise(_masks(1))
+    reach = F.when(F.col("cost") == 0, _masks(2)).otherwise(_masks(0))
     points = many.select("key", "fp", "cost", other.alias("other"), F.explode(reach).alias("mask"))
     points = points.select("key", "fp", F.col("other").bitwiseXOR(F.col("mask")).alias("point"), (F.col("cost") + F.bit_count("mask")).alias("cost"))
     nearest = F.min(F.struct("cost", "fp")).over(Window.partitionBy("key", "point"))
     meets = points.select("fp", nearest.alias("hub")).filter("hub.cost <= 1 and hub.fp <> fp").select(F.col("hub.fp").alias("a"), F.col("fp").alias("b"))
-    links = pairs.union(some).union(meets)
+    links = pairs.union(close).union(meets)
     return links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
 
