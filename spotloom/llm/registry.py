@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import read_table
 from .bpe import bundled, digests, transcode
 from .exact_dedup import exact_dedup
+from .mixing import mixture
 from .quality import quality_scores
 from .simhash import hexed, simhash_components
 from .toxicity import toxicity_scores
@@ -29,6 +30,11 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+@query("op1_source_mixing")
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(read_table(spark, sf_dir, "documents"))
+
+
 @query("op2_simhash_near_dedup")
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(read_table(spark, sf_dir, "documents"))
