@@ -1,14 +1,62 @@
-"""The corpus pipeline; its stages are added as their operators land."""
+"""The corpus pipeline: quality, line dedup, near dedup, mixing and tokens, in this order.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
+columns of the documents. A caller may write each stage's result and read it again.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spotloom.llm import bpe, lines, mixing, quality, simhash
+from spotloom.llm.common import held_out
+from spotloom.session import read_table
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    labels = read_table(spark, sf_dir, "labels")
+    forest = quality.fit(docs, labels, ~held_out(F.col("doc_id"), 5, 0))
+    return quality.filter_quality(docs, forest)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later occurrences of three-line windows go; ``n_chars`` follows the text."""
+    out = lines.dedup_lines(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component stays."""
+    return simhash.near_dedup(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the balanced sample takes it."""
+    return mixing.mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of the mix."""
+    return bpe.digests(bpe.transcode(docs, *bpe.bundled()))
+
+
+STAGES = [
+    ("quality_classifier", keep_quality),
+    ("line_dedup", dedup_lines),
+    ("simhash_near_dedup", dedup_near),
+    ("source_mixing", mix_sources),
+    ("byte_bpe", tokens),
+]
+
+#: The trees, the cube method and the merges have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply the stages to the documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to the documents."""
+    docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

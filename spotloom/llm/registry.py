@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import read_table
 from .bpe import bundled, digests, transcode
 from .exact_dedup import exact_dedup
+from .lines import dedup_lines
 from .mixing import mixture
 from .quality import quality_scores
 from .simhash import hexed, simhash_components
@@ -41,6 +43,26 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexed().alias("fingerprint"), "component_id")
 
 
+@query(
+    "op3_line_dedup",
+    """
+    WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
+         p AS (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS pos, len(a) AS n FROM l),
+         w AS (SELECT doc_id, pos, n, line AS x, lead(line) OVER o AS y, lead(line, 2) OVER o AS z FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+         f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, pos) AS k FROM w WHERE pos + 3 <= n AND trim(x || y || z, ' ') <> ''),
+         g AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM f WHERE k > 1),
+         r AS (SELECT p.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+                      coalesce(string_agg(CASE WHEN g.pos IS NULL THEN line END, chr(10) ORDER BY p.pos), '') AS text
+               FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY p.doc_id)
+    SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(r.text) AS text_sha256
+    FROM documents d LEFT JOIN r USING (doc_id)
+    """,
+)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(transcode(read_table(spark, sf_dir, "documents"), *bundled()))
