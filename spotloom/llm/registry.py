@@ -12,6 +12,7 @@ from .bpe import bundled, digests, transcode
 from .exact_dedup import exact_dedup
 from .lines import dedup_lines
 from .mixing import mixture
+from .pii import replace as replace_pii
 from .quality import quality_scores
 from .simhash import hexed, simhash_components
 from .toxicity import toxicity_scores
@@ -73,6 +74,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+#: A key for the tests' tables; a job passes its own secret.
+PII_KEY = "public-test-key"
+
+
+@query("op8_pii_surrogates")
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = replace_pii(read_table(spark, sf_dir, "documents"), PII_KEY)
+    return out.select("doc_id", F.col("__entities").alias("n_entities"), F.col("__kinds").alias("kinds"), "text")
+
+
 @query(
     "op9_exact_dedup",
     """
