@@ -14,6 +14,7 @@ from .lines import dedup_lines
 from .mixing import mixture
 from .pii import replace as replace_pii
 from .quality import quality_scores
+from .secret_scan import scan, train
 from .simhash import hexed, simhash_components
 from .toxicity import toxicity_scores
 
@@ -74,6 +75,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read_table(spark, sf_dir, "documents"), train())
+
+
 #: A key for the tests' tables; a job passes its own secret.
 PII_KEY = "public-test-key"
 
