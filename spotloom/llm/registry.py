@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import read_table
 from .bpe import bundled, digests, transcode
 from .exact_dedup import exact_dedup
+from .images import image_classes, textures
 from .lines import dedup_lines
 from .mixing import mixture
 from .pii import replace as replace_pii
@@ -70,6 +71,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(transcode(read_table(spark, sf_dir, "documents"), *bundled()))
 
 
+@query("op5_image_copies")
+def op5_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table holds images: every vector of ``embeddings`` is drawn as one."""
+    drawn = textures(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    out = image_classes(drawn, "id", "media")
+    return out.select(F.col("id").alias("vec_id"), F.col("content").alias("media_sha256"), "class_id")
+
+
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
