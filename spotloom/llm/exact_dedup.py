@@ -37,7 +37,7 @@ FAN_OUT = 16
 #: Levels after which the bits of the digest are used up.
 LEVELS = 40
 
-_HEAD = struct.Struct("<q?qI32s")
+_HEAD = "<q?qI32s"
 _SCHEMA = "digest binary, content binary, keep_id bigint, n bigint"
 
 
@@ -91,8 +91,8 @@ class Table:
 
 def _spilled(path: str) -> Iterator[tuple]:
     with open(path, "rb") as f:
-        while head := f.read(_HEAD.size):
-            keep, known, n, size, digest = _HEAD.unpack(head)
+        while head := f.read(struct.calcsize(_HEAD)):
+            keep, known, n, size, digest = struct.unpack(_HEAD, head)
             yield digest, f.read(size), keep if known else None, n
     os.unlink(path)
 
@@ -109,7 +109,7 @@ def grace(records: Iterable[tuple], room: int = TABLE_BYTES, level: int = 0, fol
             k = digest[8 + level // 2] >> 4 * (level % 2) & FAN_OUT - 1
             if k not in files:
                 files[k] = open(os.path.join(folder, f"{level}-{k}-{len(os.listdir(folder))}"), "wb")  # noqa: SIM115
-            files[k].write(_HEAD.pack(keep or 0, keep is not None, n, len(text), digest))
+            files[k].write(struct.pack(_HEAD, keep or 0, keep is not None, n, len(text), digest))
             files[k].write(text)
     for f in files.values():
         f.close()
