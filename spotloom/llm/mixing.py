@@ -32,7 +32,7 @@ from ..session import cut
 from .common import WORD
 
 #: Documents of a block, about.
-BLOCK = 20_000
+BLOCK = 4_000
 #: Documents of a block that don't fly: with the two that a flight leaves, they are landed.
 LAND = 10
 
@@ -119,6 +119,8 @@ def _fly(block: pd.DataFrame) -> pd.DataFrame:
 
 def copies(units: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, key, extra): the decision for units (doc_id, key, rank, size, m, p, units)."""
+    if block < 4 * (LAND + 2):
+        raise ValueError(f"a block needs {4 * (LAND + 2)} documents at least, so that levels shrink")
     schema = "doc_id bigint, key bigint, rank int, size bigint, m bigint, p double, blocks bigint"
     blocks = F.ceil(F.col("units") / block).cast("bigint")
     todo = units.withColumn("blocks", F.greatest(blocks, F.lit(1))).select("doc_id", "key", "rank", "size", "m", "p", "blocks")
