@@ -164,19 +164,19 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def assign(entities: DataFrame, key: str, rounds: int = 50) -> DataFrame:
     """(kind, canonical, new): distinct surrogates for distinct entities, none of them an entity."""
     entities = cut(entities.select("kind", "canonical").distinct())
-    real = entities.select("kind", F.col("canonical").alias("new"))
+    # What a surrogate must not be: an entity of the corpus, or a surrogate given before.
+    taken = entities.select("kind", F.col("canonical").alias("new"))
     todo, done = entities, []
     for attempt in range(rounds):
         drawn = todo.withColumn("new", surrogate(F.col("kind"), F.col("canonical"), F.lit(attempt), key))
         first = F.row_number().over(Window.partitionBy("kind", "new").orderBy("canonical")) == 1
-        drawn = drawn.withColumn("ok", first).join(real.withColumn("__real", F.lit(True)), ["kind", "new"], "left")
-        for d in done:
-            drawn = drawn.join(d.select("kind", "new", F.lit(True).alias(f"__{id(d)}")), ["kind", "new"], "left").withColumn("ok", F.col("ok") & F.col(f"__{id(d)}").isNull()).drop(f"__{id(d)}")
-        drawn = cut(drawn.withColumn("ok", F.col("ok") & F.col("__real").isNull()).drop("__real"))
+        drawn = drawn.withColumn("first", first).join(taken.withColumn("taken", F.lit(True)), ["kind", "new"], "left")
+        drawn = cut(drawn.select("kind", "canonical", "new", (F.col("first") & F.col("taken").isNull()).alias("ok")))
         done.append(drawn.filter("ok").select("kind", "canonical", "new"))
         todo = drawn.filter("not ok").select("kind", "canonical")
         if todo.isEmpty():
             return reduce(DataFrame.unionByName, done)
+        taken = cut(taken.unionByName(done[-1].select("kind", "new")))
     raise RuntimeError(f"surrogates still collide after {rounds} attempts")
 
 
