@@ -496,6 +496,43 @@ def test_copies_of_images(spark):
     assert images.image_classes(spark.createDataFrame([], "id bigint, media binary"), "id", "media").collect() == []
 
 
+def linked_by_force(rows: list) -> set:
+    """Links by comparing every two corners: a common window, at most NEAR bits and CONSENSUS on a transform."""
+    img, k = np.array([r.img for r in rows]), np.array([r.k for r in rows])
+    d = np.array([(r.d0, r.d1) for r in rows], np.int64)
+    bits = np.unpackbits(d.view(np.uint8).reshape(len(d), 16), axis=1, bitorder="little").astype(bool)
+    half = lambda v: np.floor(v + 0.5)
+    x, y, s, t = (half(np.array(v) * n) / n for v, n in (([r.x for r in rows], 16), ([r.y for r in rows], 16), ([r.s for r in rows], 64), ([r.t + np.pi for r in rows], 512)))
+    votes = {}
+    for a in range(len(rows)):
+        apart = bits != bits[a]
+        near = (img > img[a]) & (apart.sum(1) <= images.NEAR) & np.any([~apart[:, (32 * j + np.arange(48)) % 128].any(1) for j in range(4)], axis=0)
+        for b in np.nonzero(near)[0]:
+            ratio, turn = s[a] / s[b], t[b] - t[a]
+            tx = x[b] - ratio * (x[a] * np.cos(turn) - y[a] * np.sin(turn))
+            ty = y[b] - ratio * (x[a] * np.sin(turn) + y[a] * np.cos(turn))
+            for i in (0, 1):
+                for j in (0, 1):
+                    at = (img[a], img[b], half(np.log2(ratio) * 2), half(turn * 6 / np.pi) % 12, i, j, np.floor(tx / 16 + i / 2), np.floor(ty / 16 + j / 2))
+                    ka, kb = votes.setdefault(at, (set(), set()))
+                    ka.add(k[a]), kb.add(k[b])
+    return {at[:2] for at, v in votes.items() if min(map(len, v)) >= images.CONSENSUS}
+
+
+@pytest.mark.parametrize("block", [8, 256])
+def test_crowds_of_corners(spark, monkeypatch, block):
+    """Sixty noisy copies of one image share their table entries: every link is found, as by brute force."""
+    monkeypatch.setattr(images, "BLOCK", block, raising=False)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(2):
+        a = np.kron(rng.uniform(20, 235, (8, 8)), np.ones((8, 8)))
+        rows += [(100 * i + n, images.write_netpbm(a + rng.normal(0, 14, a.shape))) for n in range(60 - 55 * i)]
+    found = spark.createDataFrame(rows, "img bigint, media binary").mapInArrow(images._corners, "img bigint, k int, x double, y double, s double, t double, d0 bigint, d1 bigint").cache()
+    expected = linked_by_force(found.collect())
+    assert len(expected) > 1000 and {(r.u, r.v) for r in images.links(found).collect()} == expected
+
+
 def test_netpbm():
     a = np.arange(12.0).reshape(3, 4)
     assert (images.read_netpbm(images.write_netpbm(a)) == a).all()
