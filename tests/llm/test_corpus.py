@@ -496,9 +496,33 @@ def test_copies_of_images(spark):
     assert images.image_classes(spark.createDataFrame([], "id bigint, media binary"), "id", "media").collect() == []
 
 
+def scenes(r, n, side=384):
+    """Large images full of small shapes."""
+    for _ in range(n):
+        a = np.zeros((side, side))
+        for _ in range(side * side // 250):
+            y, x = r.integers(0, side, 2)
+            h, w = r.integers(5, 30, 2)
+            a[y : y + h, x : x + w] += r.normal(0, 40)
+        yield np.clip(a + 128, 0, 255)
+
+
+def test_crops_and_overlays_of_large_images(spark):
+    """A crop of a thirty-sixth, and an image a fifth of which strong shapes cover, are copies."""
+    r = np.random.default_rng(5)
+    rows = []
+    for i, b in enumerate(scenes(r, 6)):
+        y, x = r.integers(0, 320, 2)
+        over = b.copy()
+        over[:80] = np.clip(3 * next(scenes(r, 1))[:80] - 256, 0, 255)
+        rows += [(10 * i + k, images.write_netpbm(e)) for k, e in enumerate([b, b[y : y + 64, x : x + 64], over])]
+    got = images.image_classes(spark.createDataFrame(rows, "id bigint, media binary"), "id", "media").collect()
+    assert [(r.id, r.class_id) for r in got if r.class_id != r.id // 10 * 10] == []
+
+
 def linked_by_force(rows: list) -> set:
-    """Links by comparing every two corners: a common window, at most NEAR bits and CONSENSUS on a transform."""
-    img, k = np.array([r.img for r in rows]), np.array([r.k for r in rows])
+    """Links by comparing every two corners: a common window, at most NEAR bits and CONSENSUS places on a transform."""
+    img = np.array([r.img for r in rows])
     d = np.array([(r.d0, r.d1) for r in rows], np.int64)
     bits = np.unpackbits(d.view(np.uint8).reshape(len(d), 16), axis=1, bitorder="little").astype(bool)
     half = lambda v: np.floor(v + 0.5)
@@ -515,8 +539,12 @@ def linked_by_force(rows: list) -> set:
                 for j in (0, 1):
                     at = (img[a], img[b], half(np.log2(ratio) * 2), half(turn * 6 / np.pi) % 12, i, j, np.floor(tx / 16 + i / 2), np.floor(ty / 16 + j / 2))
                     ka, kb = votes.setdefault(at, (set(), set()))
-                    ka.add(k[a]), kb.add(k[b])
-    return {at[:2] for at, v in votes.items() if min(map(len, v)) >= images.CONSENSUS}
+                    ka.add((x[a] // images.PLACE, y[a] // images.PLACE)), kb.add((x[b] // images.PLACE, y[b] // images.PLACE))
+    whole = {}
+    for at, v in votes.items():
+        for side, places in zip(whole.setdefault(at[:2], (set(), set())), v, strict=True):
+            side |= places
+    return {at[:2] for at, v in votes.items() if min(map(len, v)) >= max(images.CONSENSUS, images.SHARE * min(map(len, whole[at[:2]])))}
 
 
 @pytest.mark.parametrize("block", [8, 256])
