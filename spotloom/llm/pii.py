@@ -7,7 +7,8 @@ SHA-256 of a secret key, the kind and the canonical form: digits stay digits and
 letters, card numbers with a valid check digit get one, names keep gender, script and
 capitals. Surrogates are checked over the whole corpus: one that two entities share, or that
 is itself an entity of the corpus, is drawn again with the next attempt for all but the
-first of them, until all are distinct. Then every mention is written in its own format.
+first of them, until all are distinct. After ``SAME`` attempts surrogates grow with every
+attempt (a syllable, letters or digits more), so that the space has no end. Then every mention is written in its own format.
 
 Plan: mentions are narrow rows; entities are aggregated partially before their shuffle; the
 mapping, one row for each entity, is joined to the mentions, a join whose hot partitions
@@ -113,12 +114,23 @@ def luhn_digit(digits: Column) -> Column:
     return F.pmod(-F.aggregate(each, F.lit(0), lambda a, x: a + x), F.lit(10)).cast("string")
 
 
+#: Attempts at an entity's own length.
+SAME = 3
+
+
+def _more(seed: Column, attempt: Column, values: list[str]) -> Column:
+    """One of ``values`` for each attempt after the first ``SAME``."""
+    each = F.transform(F.sequence(F.lit(0), F.greatest(attempt - SAME, F.lit(0))), lambda i: F.when(i > 0, _pick(values, _byte(F.sha2(F.concat_ws("|", seed, i.cast("string")), 256), 0))).otherwise(""))
+    return F.array_join(each, "")
+
+
 def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
     """An entity's canonical surrogate at an attempt."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), canonical), 256)
     local = F.substring_index(canonical, "@", 1)
     host = F.array_join(F.transform(F.sequence(F.lit(20), F.lit(27)), lambda i: F.char(F.lit(97) + F.pmod(_byte(seed, i), F.lit(26)))), "")
-    email = F.concat(_shape(local, seed), F.lit("@"), host, F.lit(".example"))
+    letters, digits = _more(seed, attempt, [chr(97 + i) for i in range(26)]), _more(seed, attempt, [str(i) for i in range(10)])
+    email = F.concat(_shape(local, seed), F.lit("@"), host, letters, F.lit(".example"))
     n = F.length(canonical)
     phone = _shape(canonical, seed, F.greatest(n - 10, F.lit(0)))
     number = _shape(canonical, seed, 1)
@@ -133,7 +145,11 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Col
             for names in "12":
                 text = F.concat(F.lower(_pick(given, _byte(seed, 1))), F.lit(" "), family) if names == "2" else family
                 out = out.when(kind == f"name_{gender}_{script}_{names}", text)
-    return out.otherwise(_shape(canonical, seed))
+    out = out.otherwise(_shape(canonical, seed))
+    more = F.when(kind == "email", "").when(kind == "ip", F.concat(F.lit("."), digits))
+    for script, syllables in SYLLABLES.items():
+        more = more.when(kind.rlike(f"^name_._{script}_"), _more(seed, attempt, syllables))
+    return F.when(attempt > SAME, F.concat(out, more.otherwise(digits))).otherwise(out)
 
 
 def _written(kind: Column, mention: Column, new: Column) -> Column:
@@ -141,6 +157,8 @@ def _written(kind: Column, mention: Column, new: Column) -> Column:
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
     nth = lambda i: F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^A-Za-z0-9]", ""))
     filled = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[A-Za-z0-9]"), F.substring(new, nth(i), F.lit(1))).otherwise(c)), "")
+    # What a grown surrogate has beyond the mention's format.
+    filled = F.concat(filled, F.substring(new, nth(F.length(mention)) + 1, F.length(new)))
     title = F.regexp_extract(mention, f"^{_TITLE}", 0)
     rest = F.substring(mention, F.length(title) + 1, F.length(mention))
     name = F.concat(title, F.when((rest == F.upper(rest)) & (F.length(rest) > 2), F.upper(new)).otherwise(F.initcap(new)))

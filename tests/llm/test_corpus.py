@@ -437,6 +437,16 @@ def test_surrogates_are_distinct(spark):
     assert len(got) == 125 and len(set(new)) == 125 and not set(new) & {r.canonical for r in got}
 
 
+def test_surrogates_never_run_out(spark):
+    """More entities than surrogates of their own length: all 100 numbers of two digits, and 5,000 Greek families."""
+    rows = [("ssn", f"{k:02d}") for k in range(100)] + [("name_u_greek_1", f"x{k}") for k in range(5000)]
+    got = pii.assign(spark.createDataFrame(rows, "kind string, canonical string"), "k").collect()
+    assert len({(r.kind, r.canonical) for r in got}) == len({(r.kind, r.new) for r in got}) == len(got) == 5100
+    assert not {(r.kind, r.new) for r in got} & set(rows) and all(r.new.isalpha() for r in got if r.kind != "ssn")
+    one = spark.createDataFrame([("1-2", "123456"), ("1-2", "34")], "mention string, new string").select(pii._written(F.lit("ssn"), F.col("mention"), F.col("new")).alias("w"))
+    assert [r.w for r in one.collect()] == ["1-23456", "3-4"]
+
+
 def test_pii_runs_no_python_and_keeps_clean_texts(spark, docs, odd, empty):
     out = pii.replace(docs, "k")
     plan = out._jdf.queryExecution().executedPlan().toString()
