@@ -36,10 +36,10 @@ def variable_genes(pairs: DataFrame, k: int, value: str = "truth") -> DataFrame:
 
 def co_expression(pairs: DataFrame, genes: list[str], value: str = "truth") -> DataFrame:
     """(gene_a, gene_b, r) over cells, for a list of genes such as the variable ones."""
-    some = pairs.filter(F.col("gene").isin(genes)).select("cell", "gene", F.col(value).alias("v"))
-    other = some.select("cell", F.col("gene").alias("gene_b"), F.col("v").alias("w"))
-    both = some.join(other, "cell").filter("gene < gene_b")
-    return both.groupBy(F.col("gene").alias("gene_a"), "gene_b").agg(F.corr("v", "w").alias("r"))
+    # A cell's genes side by side: its pairs are aggregated where they are made.
+    cells = pairs.filter(F.col("gene").isin(genes)).groupBy("cell").agg(F.collect_list(F.struct("gene", F.col(value).alias("v"))).alias("g"))
+    both = cells.select(F.explode("g").alias("a"), "g").select("a", F.explode("g").alias("b")).filter("a.gene < b.gene")
+    return both.groupBy(F.col("a.gene").alias("gene_a"), F.col("b.gene").alias("gene_b")).agg(F.corr("a.v", "b.v").alias("r"))
 
 
 def pathway_scores(pairs: DataFrame, pathways: DataFrame) -> DataFrame:
@@ -49,13 +49,17 @@ def pathway_scores(pairs: DataFrame, pathways: DataFrame) -> DataFrame:
 
 
 def mutual_exclusivity(pairs: DataFrame, genes: list[str], value: str = "truth") -> DataFrame:
-    """(gene_a, gene_b, n_both, n_either): cells that express both, and either, of two genes."""
+    """(gene_a, gene_b, n_both, n_either): cells that express both, and either, of any two of the listed genes."""
     some = pairs.filter(F.col("gene").isin(genes) & (F.col(value) > 0)).groupBy("cell").agg(F.array_sort(F.collect_set("gene")).alias("g"))
     n = some.select(F.explode("g").alias("gene")).groupBy("gene").agg(F.count("*").alias("n"))
     pairs_ = some.select(F.explode("g").alias("gene_a"), "g").select("gene_a", F.explode("g").alias("gene_b")).filter("gene_a < gene_b")
     both = pairs_.groupBy("gene_a", "gene_b").agg(F.count("*").alias("n_both"))
+    # Every pair of the list: two genes that no cell expresses together are the most exclusive of all.
     a, b = n.select(F.col("gene").alias("gene_a"), F.col("n").alias("na")), n.select(F.col("gene").alias("gene_b"), F.col("n").alias("nb"))
-    return both.join(a, "gene_a").join(b, "gene_b").select("gene_a", "gene_b", "n_both", (F.col("na") + F.col("nb") - F.col("n_both")).alias("n_either"))
+    listed = F.lit(sorted(set(genes))).cast(f"array<{pairs.schema['gene'].dataType.simpleString()}>")
+    every = pairs.sparkSession.range(1).select(F.explode(listed).alias("gene_a")).select("gene_a", F.explode(listed).alias("gene_b")).filter("gene_a < gene_b")
+    every = every.join(both, ["gene_a", "gene_b"], "left").join(a, "gene_a", "left").join(b, "gene_b", "left").fillna(0, ["n_both", "na", "nb"])
+    return every.select("gene_a", "gene_b", "n_both", (F.col("na") + F.col("nb") - F.col("n_both")).alias("n_either"))
 
 
 def label_map(rows: DataFrame, column: str) -> DataFrame:

@@ -725,6 +725,12 @@ def q_co_expression(spark, sf):
     return metrics.co_expression(_pairs(spark, sf), list(range(8))).withColumn("r", F.round("r", 6))
 
 
+@query(f"WITH {PAIRS} SELECT a.gene AS gene_a, b.gene AS gene_b, round(corr(a.truth, b.truth), 6) AS r FROM q a JOIN q b ON a.cell = b.cell AND a.gene < b.gene GROUP BY 1, 2")
+def q_co_expression_all(spark, sf):
+    """All genes of the table."""
+    return metrics.co_expression(_pairs(spark, sf), list(range(64))).withColumn("r", F.round("r", 6))
+
+
 @query(
     f"""
     WITH {PAIRS}, s AS (SELECT cell, gene % 4 AS pathway, avg(truth) AS truth, avg(guess) AS guess FROM q GROUP BY 1, 2)
@@ -747,6 +753,19 @@ def q_mutual_exclusivity(spark, sf):
     return metrics.mutual_exclusivity(_pairs(spark, sf), list(range(6)))
 
 
+@query(
+    f"""
+    WITH {PAIRS}, e AS (SELECT cell, gene FROM q WHERE truth > 0), n AS (SELECT gene, count(*) FILTER (truth > 0) AS n FROM q GROUP BY 1),
+         b AS (SELECT x.gene AS gene_a, y.gene AS gene_b, count(*) AS n_both FROM e x JOIN e y ON x.cell = y.cell AND x.gene < y.gene GROUP BY 1, 2)
+    SELECT u.gene AS gene_a, v.gene AS gene_b, coalesce(n_both, 0) AS n_both, u.n + v.n - coalesce(n_both, 0) AS n_either
+    FROM n u JOIN n v ON u.gene < v.gene LEFT JOIN b ON b.gene_a = u.gene AND b.gene_b = v.gene
+    """
+)
+def q_mutual_exclusivity_all(spark, sf):
+    """All genes of the table."""
+    return metrics.mutual_exclusivity(_pairs(spark, sf), list(range(64)))
+
+
 @query("SELECT lang AS label, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS BIGINT) AS label_id, count(*) AS n FROM documents GROUP BY lang")
 def q_label_map(spark, sf):
     return metrics.label_map(read_table(spark, sf, "documents"), "lang")

@@ -404,6 +404,19 @@ def test_spearman_with_ties(spark):
     assert abs(metrics.spearman(d).first()["spearman"] - 0.9486832980505138) < 1e-9
 
 
+def test_exclusive_genes_are_pairs(spark):
+    """a and b never meet, c is never expressed."""
+    d = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "b", 1.0), (3, "a", 0.0), (1, "d", 1.0)], "cell int, gene string, truth double")
+    got = {(r.gene_a, r.gene_b): (r.n_both, r.n_either) for r in metrics.mutual_exclusivity(d, ["a", "b", "c", "d"]).collect()}
+    assert got == {("a", "b"): (0, 3), ("a", "c"): (0, 1), ("a", "d"): (1, 1), ("b", "c"): (0, 2), ("b", "d"): (0, 3), ("c", "d"): (0, 1)}
+
+
+def test_queries_over_all_genes(spark, sf_dir):
+    from spotloom import registry
+
+    assert registry.q_mutual_exclusivity_all(spark, sf_dir).count() == registry.q_co_expression_all(spark, sf_dir).count() == 64 * 63 // 2
+
+
 def test_spatial_join_has_no_nested_loop(spark, sf_dir):
     from spotloom import registry
 
