@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .manifest import check_manifest
+from .manifest import check_manifest, dense_index
 
 BASE = ("global_idx", "sample_id", "cell_id")
 POLICIES = ("sample_holdout", "ratio_by_group", "group_kfold", "existing_file", "spatial_block", "leave_one_group_out")
@@ -242,3 +242,10 @@ def write_split(membership: DataFrame, folder: str, task: str, prefix: str = "")
     paths["report"] = f"{head}split_report.json"
     Path(paths["report"]).write_text(json.dumps(summarize(membership, task), indent=2, sort_keys=True, default=str))
     return paths
+
+
+def split_positions(membership: DataFrame) -> DataFrame:
+    """(split, position, global_idx): the lists of all splits as rows, in the order of the index; none is collected."""
+    rows = dense_index(membership.select("split", "global_idx"), "split", "global_idx", "__at")
+    first = rows.groupBy("split").agg(F.min("__at").alias("__first"))
+    return rows.join(first, "split").select("split", (F.col("__at") - F.col("__first")).alias("position"), "global_idx")

@@ -208,9 +208,9 @@ def _points(spark, sf):
     return _cells(spark, sf).select("cell_id", F.col("x_px").alias("x"), F.col("y_px").alias("y"))
 
 
-def _tissue(spark, sf):
+def _tissue(spark, sf, name="tissue_v"):
     b = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
-    return view(spark, sf, "tissue_v").select("poly_id", G.box(*b).alias("rings"))
+    return view(spark, sf, name).select("poly_id", G.box(*b).alias("rings"))
 
 
 INSIDE = "SELECT cell_id FROM cells_v WHERE EXISTS (SELECT 1 FROM tissue_v WHERE x_px > {0} AND x_px < {1} AND y_px > {2} AND y_px < {3})"
@@ -226,6 +226,12 @@ def q_tissue_bucketed(spark, sf):
     return spatial.inside(_points(spark, sf), _tissue(spark, sf), grid=100.0).select("cell_id")
 
 
+@query(INSIDE.replace("tissue_v", "tissues_v").format("x0", "x1", "y0", "y1"), "cells_v", "tissues_v")
+def q_tissue_all(spark, sf):
+    """The shapes of all suppliers, so that cells of the grid are crowded."""
+    return spatial.inside(_points(spark, sf), _tissue(spark, sf, "tissues_v"), grid=100.0).select("cell_id")
+
+
 @query(INSIDE.format("x0 * 2 + 10", "x1 * 2 + 10", "y0 * 2 - 20", "y1 * 2 - 20"), "cells_v", "tissue_v")
 def q_tissue_affine(spark, sf):
     shapes = _points(spark, sf).withColumnRenamed("cell_id", "shape_id")
@@ -659,6 +665,12 @@ def q_split_lists(spark, sf):
     return held.groupBy("split").agg(F.array_join(F.transform(F.array_sort(F.collect_list("global_idx")), lambda x: x.cast("string")), ",").alias("members"))
 
 
+@query(f"SELECT {HELD} AS split, row_number() OVER (PARTITION BY {HELD} ORDER BY global_idx) - 1 AS position, global_idx FROM manifest_v", "manifest_v")
+def q_split_rows(spark, sf):
+    """The lists of train, val and test as rows."""
+    return splits.split_positions(_held(spark, sf))
+
+
 @query(
     """
     , b AS (SELECT pos AS global_idx, 's' AS sample_id, cell_id, 's:' || CAST(floor(x_px / 250) AS BIGINT) || ':' || CAST(floor(y_px / 250) AS BIGINT) AS group_id FROM cells_v),

@@ -20,6 +20,8 @@ VIEWS = {
     "genes_v": "SELECT CAST(l_suppkey % 8 AS INT) AS sample, CONCAT('G', CAST(l_partkey AS STRING)) AS gene, MIN(l_orderkey) AS first_pos FROM lineitem GROUP BY 1, 2",
     "embedded_v": "SELECT vec_id AS global_idx, embedding, label FROM embeddings",
 }
+#: The shapes of all suppliers: many in one place.
+VIEWS["tissues_v"] = VIEWS["tissue_v"].removesuffix(" WHERE s_suppkey <= 5")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

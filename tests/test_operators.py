@@ -396,6 +396,13 @@ def test_ready_status():
     assert [planner.ready_status(False), planner.ready_status(True, False), planner.ready_status(True, has_split=True), planner.ready_status(True, deferred=True)] == ["not_compiled", "validation_failed", "training_ready", "split_pending"]
 
 
+def test_split_positions_of_all_splits(spark):
+    """All rows of all three splits, counted from 0 within each, over several blocks of the index."""
+    rows = [(k * 70_000, ("train", "val", "train", "test")[k % 4]) for k in range(10)]
+    got = sorted(tuple(r) for r in splits.split_positions(spark.createDataFrame(rows, "global_idx bigint, split string")).collect())
+    assert got == sorted((s, n, i) for s in ("train", "val", "test") for n, i in enumerate(i for i, x in rows if x == s))
+
+
 # Metrics and plans.
 
 
