@@ -1,23 +1,28 @@
 """Line deduplication by overlapping three-line windows, in DataFrame functions alone.
 
 Every run of three consecutive lines of a document is hashed to 128 bits. A window's first
-occurrence is the one of the smallest (doc_id, position); all others are later occurrences,
+occurrence is the one of the smallest (doc_id, text, position); all others are later occurrences,
 within a document too. A line goes if a later occurrence covers it: the covered positions of
 a document are merged, and the remaining lines are joined again.
 
+Lines are what newline characters separate; a line of more than ``LONG`` words counts as
+several, cut after the ends of its sentences, so that a long passage spans windows wherever it
+stands. The parts of a cut line are compared without the spaces after them, and what is left
+of it stays one line.
+
 Plan: documents become narrow rows (id, position, hash) and only these are shuffled, with
 partial aggregation by hash, so that a passage that many documents share costs a row for each
 map task; the first occurrences of repeated windows, one row for each hash, are joined back
-to the narrow rows, a join whose hot partitions Spark can split. Texts are shuffled once, by
-id, to be rebuilt.
-
-Defined cases: lines are what newline characters separate; a null text stays null and an
-empty text stays empty; documents of fewer than three lines have no window and stay whole;
-windows of blank lines alone don't count; a document all of whose lines go becomes the empty
-text; of rows that repeat an id the texts count as one document at one place, so none of them
-loses a line to the other, and each is cut by its own windows and those of the other; null
-ids come before all others and count as one document; an empty table gives an empty result;
-other columns are kept.
+to the narrow rows, a join whose hot partitions Spark's adaptive execution splits. Texts are
+shuffled once, by id and a hash of the text, to be rebuilt.
+
+Defined cases: a null text stays null and an empty text stays empty; documents of fewer than
+three lines have no window and stay whole; windows of blank lines alone don't count; a
+document all of whose lines go becomes the empty text; rows that repeat id and text are one
+document at one place, so none of them loses a line to the other; rows that repeat an id with
+other texts are documents of their own, in the order of a hash of the text, and so are rows
+with a null id, which come before all others; an empty table gives an empty result; other
+columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,18 +30,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import WORD, by_place, named, unused
+
 WINDOW = 3
+#: Words of a line that isn't cut, at most.
+LONG = 50
+#: A sentence with the space after it, or the rest of a line.
+SENTENCE = r"(?s).*?[.!?] |.+"
+
+
+def split_lines(text: Column, long: int = LONG) -> Column:
+    """The lines of a text as (at, line, piece): the line's number, what is compared, and what is written."""
 
+    def one(line: Column, at: Column) -> Column:
+        whole = F.struct(at.alias("at"), line.alias("line"), line.alias("piece"))
+        parts = F.transform(F.regexp_extract_all(line, F.lit(SENTENCE), F.lit(0)), lambda x: F.struct(at.alias("at"), F.rtrim(x).alias("line"), x.alias("piece")))
+        return F.when(F.regexp_count(line, F.lit(WORD)) > long, parts).otherwise(F.array(whole))
 
-def split_lines(text: str | Column) -> Column:
-    return F.split(text, "\n", -1)
+    return F.flatten(F.transform(F.split(text.cast("string"), "\n", -1), one))
+
+
+def _document(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """What names a document: its id and a hash of its text."""
+    return named(id_col).cast("bigint"), F.xxhash64(named(text_col).cast("string"))
 
 
 def windows(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, pos, h1, h2): every window of consecutive lines that isn't blank."""
+    """(doc_id, doc, pos, h1, h2): every window of consecutive lines that isn't blank; ``doc`` is a hash of the text."""
     # Two independent 64-bit hashes of each line; the window's pair hashes the lines' pairs in order.
-    line = F.transform(split_lines(F.col(text_col).cast("string")), lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b"), (F.trim(x) != "").alias("full")))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), line.alias("l")).filter(F.size("l") >= width)
+    line = F.transform(split_lines(named(text_col)), lambda x: F.struct(F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(7), x["line"]).alias("b"), (F.trim(x["line"]) != "").alias("full")))
+    doc_id, doc = _document(id_col, text_col)
+    rows = docs.select(doc_id.alias("doc_id"), doc.alias("doc"), line.alias("l")).filter(F.size("l") >= width)
 
     def at(i: Column) -> Column:
         own = [F.get(F.col("l"), i + k) for k in range(width)]
@@ -45,32 +69,42 @@ def windows(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_c
             full = full | x["full"]
         return F.struct(i.alias("pos"), F.xxhash64(*(x["a"] for x in own)).alias("h1"), F.xxhash64(*(x["b"] for x in own)).alias("h2"), full.alias("full"))
 
-    each = rows.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("l") - width), at)).alias("w"))
-    return each.filter("w.full").select("doc_id", "w.pos", "w.h1", "w.h2")
+    each = rows.select("doc_id", "doc", F.explode(F.transform(F.sequence(F.lit(0), F.size("l") - width), at)).alias("w"))
+    return each.filter("w.full").select("doc_id", "doc", "w.pos", "w.h1", "w.h2")
 
 
 def later(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, pos): the start of every window that occurred before."""
+    """(doc_id, doc, pos): the start of every window that occurred before."""
     every = windows(docs, width, id_col, text_col)
-    place = F.struct(F.col("doc_id"), F.col("pos"))
+    place = F.struct(F.col("doc_id"), F.col("doc"), F.col("pos"))
     repeated = every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
     found = every.join(repeated.select("h1", "h2", "first"), ["h1", "h2"])
-    return found.filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "pos")
+    return found.filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "doc", "pos")
+
 
+def dedup_lines(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, ...] = ("__lines", "__removed")) -> DataFrame:
+    """The documents with later occurrences cut out; ``counts`` names two columns of lines and of removed lines, or is empty.
 
-def dedup_lines(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with later occurrences cut out; ``__lines`` and ``__removed`` count lines."""
-    covered = later(docs, width, id_col, text_col).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("pos").alias("__at"))
-    joined = docs.join(covered, F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")), "left")
-    lines = split_lines(F.col(text_col).cast("string"))
+    Where the documents have a column of such a name, the count's name gets an underscore more.
+    """
+    rows, (i, t) = by_place(docs, id_col, text_col)
+    doc_id, doc = _document(i, t)
+    covered = later(rows, width, i, t).groupBy(F.col("doc_id").alias("__id"), F.col("doc").alias("__doc")).agg(F.collect_set("pos").alias("__at"))
+    joined = rows.join(covered, doc_id.eqNullSafe(F.col("__id")) & (doc == F.col("__doc")), "left")
     # A line goes if a covered window starts at it or at one of the lines just before.
     at = F.col("__at")
     gone = F.flatten(F.transform(at, lambda p: F.sequence(p, p + (width - 1))))
     stay = F.array_except(F.sequence(F.lit(0), F.size("__l") - 1), gone)
-    out = joined.withColumn("__l", F.when(at.isNotNull(), lines)).withColumn("__stay", stay)
+    out = joined.withColumn("__all", split_lines(F.col(t)) if counts else F.when(at.isNotNull(), split_lines(F.col(t))))
+    out = out.withColumn("__l", F.when(at.isNotNull(), F.col("__all"))).withColumn("__stay", stay)
     out = out.withColumn("__kept", F.transform("__stay", lambda i: F.get("__l", i)))
-    count = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(F.col(text_col).cast("string"), F.lit("\n")) + 1)
-    text = F.when(at.isNull(), F.col(text_col)).otherwise(F.array_join("__kept", "\n"))
-    names = [F.col(c) if c != text_col else text.alias(text_col) for c in docs.columns]
+    # Pieces of one line are written side by side, those of another after a newline.
+    before = lambda k: F.when((k > 0) & (F.get("__kept", k - 1)["at"] != F.get("__kept", k)["at"]), "\n").otherwise("")
+    rebuilt = F.array_join(F.transform("__kept", lambda x, k: F.concat(before(k), x["piece"])), "")
+    text = F.when(at.isNull(), F.col(t)).otherwise(rebuilt)
+    names = [F.col(c) if c != t else text.alias(t) for c in rows.columns]
+    if not counts:
+        return out.select(*names).toDF(*docs.columns)
+    count = F.when(F.col(t).isNull(), 0).otherwise(F.size("__all"))
     removed = F.when(at.isNull(), 0).otherwise(F.size("__l") - F.size("__kept"))
-    return out.select(*names, count.cast("bigint").alias("__lines"), removed.cast("bigint").alias("__removed"))
+    return out.select(*names, count.cast("bigint"), removed.cast("bigint")).toDF(*docs.columns, *unused(docs, *counts))

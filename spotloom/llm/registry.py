@@ -48,15 +48,22 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "op3_line_dedup",
-    """
+    r"""
     WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
-         p AS (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS pos, len(a) AS n FROM l),
+         o AS (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS ln FROM l),
+         c AS (SELECT doc_id, ln, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) > 50 AS long FROM o),
+         u AS (SELECT doc_id, ln, long, CASE WHEN long THEN regexp_extract_all(line, '(?s).*?[.!?] |.+') ELSE [line] END AS a FROM c),
+         v AS (SELECT doc_id, ln, long, unnest(a) AS piece, unnest(range(len(a))) AS k FROM u),
+         p AS (SELECT doc_id, ln, piece, CASE WHEN long THEN rtrim(piece, ' ') ELSE piece END AS line,
+                      row_number() OVER (PARTITION BY doc_id ORDER BY ln, k) - 1 AS pos, count(*) OVER (PARTITION BY doc_id) AS n FROM v),
          w AS (SELECT doc_id, pos, n, line AS x, lead(line) OVER o AS y, lead(line, 2) OVER o AS z FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
          f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, pos) AS k FROM w WHERE pos + 3 <= n AND trim(x || y || z, ' ') <> ''),
          g AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM f WHERE k > 1),
-         r AS (SELECT p.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
-                      coalesce(string_agg(CASE WHEN g.pos IS NULL THEN line END, chr(10) ORDER BY p.pos), '') AS text
-               FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY p.doc_id)
+         k AS (SELECT p.*, g.pos IS NOT NULL AS gone FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.pos = g.pos),
+         s AS (SELECT doc_id, pos, CASE WHEN lag(ln) OVER (PARTITION BY doc_id ORDER BY pos) <> ln THEN chr(10) ELSE '' END || piece AS x FROM k WHERE NOT gone),
+         r AS (SELECT n.doc_id, n_lines, n_removed, coalesce(text, '') AS text
+               FROM (SELECT doc_id, count(*) AS n_lines, CAST(count_if(gone) AS BIGINT) AS n_removed FROM k GROUP BY doc_id) n
+               LEFT JOIN (SELECT doc_id, string_agg(x, '' ORDER BY pos) AS text FROM s GROUP BY doc_id) t USING (doc_id))
     SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(r.text) AS text_sha256
     FROM documents d LEFT JOIN r USING (doc_id)
     """,
