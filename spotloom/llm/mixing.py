@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut
-from .common import WORD
+from .common import WORD, by_place, named
 
 #: Documents of a block, about.
 BLOCK = 4_000
@@ -156,21 +156,22 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
 
 
 def _key(id_col: str, text_col: str, source_col: str):
-    return F.xxhash64(F.col(id_col).cast("bigint"), F.col(source_col).cast("string"), F.col(text_col).cast("string"))
+    return F.xxhash64(named(id_col).cast("bigint"), named(source_col).cast("string"), named(text_col).cast("string"))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), _key(id_col, text_col, source_col).alias("key"), words.alias("size"), F.col(source_col).cast("string").alias("source"))
+    words = F.coalesce(F.regexp_count(named(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
+    return docs.select(named(id_col).cast("bigint").alias("doc_id"), _key(id_col, text_col, source_col).alias("key"), words.alias("size"), named(source_col).cast("string").alias("source"))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: every document as often as it is taken, columns unchanged."""
-    found = mix(docs, weights, share, most, id_col, text_col, source_col).filter("copies > 0")
+    """The mix itself: every document as often as it is taken, columns unchanged, whatever their names."""
+    rows, (i, t, s) = by_place(docs, id_col, text_col, source_col)
+    found = mix(rows, weights, share, most, i, t, s).filter("copies > 0")
     found = found.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("copies").alias("__copies")).distinct()
-    on = (_key(id_col, text_col, source_col) == F.col("__key")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("__id"))
-    many = docs.join(found, on).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return many.select(*[docs[c] for c in docs.columns])
+    on = (_key(i, t, s) == F.col("__key")) & F.col(i).cast("bigint").eqNullSafe(F.col("__id"))
+    many = rows.join(found, on).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return many.select(*rows.columns).toDF(*docs.columns)
 
 
 def mixture(docs: DataFrame) -> DataFrame:
