@@ -27,25 +27,40 @@ columns are kept, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .common import WORD, by_place, named, unused
 
 WINDOW = 3
 #: Words of a line that isn't cut, at most.
 LONG = 50
 #: A sentence with the space after it, or the rest of a line.
-SENTENCE = r"(?s).*?[.!?] |.+"
+SENTENCE = r"(?s)[^.!?]*+(?:[.!?](?! )[^.!?]*+)*+[.!?] |.+"
+
+
+def _pieces(line: Column, long: int, whole: Callable[[Column], Column], piece: Callable[[Column], Column]) -> Column:
+    """What a line counts as: itself, or its sentences with the spaces after them if it has more than ``long`` words."""
+    # Found after that many words, which with the spaces between them need twice as many characters.
+    many = (F.length(line) > 2 * long) & line.rlike(rf"^[\x20\x09-\x0D]*+(?:{WORD}+[\x20\x09-\x0D]++){{{long}}}{WORD}")
+    return F.when(many, F.transform(F.regexp_extract_all(line, F.lit(SENTENCE), F.lit(0)), piece)).otherwise(F.array(whole(line)))
 
 
 def split_lines(text: Column, long: int = LONG) -> Column:
-    """The lines of a text as (at, line, piece): the line's number, what is compared, and what is written."""
+    """What is compared: the lines of a text, and the sentences of its long lines without the spaces after them."""
+    return F.flatten(F.transform(F.split(text.cast("string"), "\n", -1), lambda line: _pieces(line, long, lambda x: x, lambda x: F.rtrim(x))))
+
+
+def written_lines(text: Column, long: int = LONG) -> Column:
+    """What is written: (at, piece) of every line, ``at`` being the number of the line that it is of."""
 
     def one(line: Column, at: Column) -> Column:
-        whole = F.struct(at.alias("at"), line.alias("line"), line.alias("piece"))
-        parts = F.transform(F.regexp_extract_all(line, F.lit(SENTENCE), F.lit(0)), lambda x: F.struct(at.alias("at"), F.rtrim(x).alias("line"), x.alias("piece")))
-        return F.when(F.regexp_count(line, F.lit(WORD)) > long, parts).otherwise(F.array(whole))
+        put = lambda x: F.struct(at.alias("at"), x.alias("piece"))
+        return _pieces(line, long, put, put)
 
     return F.flatten(F.transform(F.split(text.cast("string"), "\n", -1), one))
 
@@ -57,20 +72,13 @@ def _document(id_col: str, text_col: str) -> tuple[Column, Column]:
 
 def windows(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, doc, pos, h1, h2): every window of consecutive lines that isn't blank; ``doc`` is a hash of the text."""
-    # Two independent 64-bit hashes of each line; the window's pair hashes the lines' pairs in order.
-    line = F.transform(split_lines(named(text_col)), lambda x: F.struct(F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(7), x["line"]).alias("b"), (F.trim(x["line"]) != "").alias("full")))
     doc_id, doc = _document(id_col, text_col)
-    rows = docs.select(doc_id.alias("doc_id"), doc.alias("doc"), line.alias("l")).filter(F.size("l") >= width)
-
-    def at(i: Column) -> Column:
-        own = [F.get(F.col("l"), i + k) for k in range(width)]
-        full = own[0]["full"]
-        for x in own[1:]:
-            full = full | x["full"]
-        return F.struct(i.alias("pos"), F.xxhash64(*(x["a"] for x in own)).alias("h1"), F.xxhash64(*(x["b"] for x in own)).alias("h2"), full.alias("full"))
-
-    each = rows.select("doc_id", "doc", F.explode(F.transform(F.sequence(F.lit(0), F.size("l") - width), at)).alias("w"))
-    return each.filter("w.full").select("doc_id", "doc", "w.pos", "w.h1", "w.h2")
+    rows = docs.select(doc_id.alias("doc_id"), doc.alias("doc"), split_lines(named(text_col)).alias("l")).filter(F.size("l") >= width)
+    each = rows.select("doc_id", "doc", "l", F.explode(F.sequence(F.lit(0), F.size("l") - width)).alias("pos"))
+    own = [F.get(F.col("l"), F.col("pos") + k) for k in range(width)]
+    full = reduce(Column.__or__, (F.trim(x) != "" for x in own))
+    # Two independent 64-bit hashes of the lines in order.
+    return each.filter(full).select("doc_id", "doc", "pos", F.xxhash64(*own).alias("h1"), F.xxhash64(F.lit(7), *own).alias("h2"))
 
 
 def later(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,7 +86,8 @@ def later(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col
     every = windows(docs, width, id_col, text_col)
     place = F.struct(F.col("doc_id"), F.col("doc"), F.col("pos"))
     repeated = every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    found = every.join(repeated.select("h1", "h2", "first"), ["h1", "h2"])
+    # Cut, so that the join reads two plain shuffles, whose hot partitions can be split.
+    found = every.join(cut(repeated.select("h1", "h2", "first")), ["h1", "h2"])
     return found.filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "doc", "pos")
 
 
@@ -95,8 +104,7 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", te
     at = F.col("__at")
     gone = F.flatten(F.transform(at, lambda p: F.sequence(p, p + (width - 1))))
     stay = F.array_except(F.sequence(F.lit(0), F.size("__l") - 1), gone)
-    out = joined.withColumn("__all", split_lines(F.col(t)) if counts else F.when(at.isNotNull(), split_lines(F.col(t))))
-    out = out.withColumn("__l", F.when(at.isNotNull(), F.col("__all"))).withColumn("__stay", stay)
+    out = joined.withColumn("__l", F.when(at.isNotNull(), written_lines(F.col(t)))).withColumn("__stay", stay)
     out = out.withColumn("__kept", F.transform("__stay", lambda i: F.get("__l", i)))
     # Pieces of one line are written side by side, those of another after a newline.
     before = lambda k: F.when((k > 0) & (F.get("__kept", k - 1)["at"] != F.get("__kept", k)["at"]), "\n").otherwise("")
@@ -105,6 +113,6 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id", te
     names = [F.col(c) if c != t else text.alias(t) for c in rows.columns]
     if not counts:
         return out.select(*names).toDF(*docs.columns)
-    count = F.when(F.col(t).isNull(), 0).otherwise(F.size("__all"))
+    count = F.when(F.col(t).isNull(), 0).otherwise(F.coalesce(F.size("__l"), F.size(split_lines(F.col(t)))))
     removed = F.when(at.isNull(), 0).otherwise(F.size("__l") - F.size("__kept"))
     return out.select(*names, count.cast("bigint"), removed.cast("bigint")).toDF(*docs.columns, *unused(docs, *counts))
