@@ -216,6 +216,11 @@ def _shingles(text: Column, shingle: int) -> tuple[Column, Column]:
     return words, F.when(F.size("__w") > 0, F.array_distinct(each)).otherwise(F.array().cast("array<bigint>"))
 
 
+def _spread(texts: DataFrame, rows: int = 10_000, most: int = 20_000) -> DataFrame:
+    """The texts dealt to tasks of about ``rows``, each of which emits some hundred variants a text."""
+    return texts.repartition(max(1, min(most, -(-texts.count() // rows))), "t")
+
+
 def _bands(texts: DataFrame, *more: str) -> DataFrame:
     """(t, band): the 32-bit parts of the long fingerprint, tagged with their number."""
     part = lambda j: _half(F.col(f"f{j // 2}"), F.lit(j % 2)).bitwiseAND(0xFFFFFFFF).bitwiseOR(F.lit(j << 32))
@@ -286,7 +291,7 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
     placed = texts.withColumn("root", F.col("t"))
     placed = joined(placed, verifier.links(stars(_bands(placed, "root"), "band")))
     # Variants of all bands; only keys that texts of several components share go on.
-    bands = _bands(placed, "root")
+    bands = _bands(_spread(placed), "root")
     emitted = bands.select("root", "band", F.explode(_masks(1)).alias("mask")).select("root", F.col("band").bitwiseXOR(F.col("mask")).alias("key"))
     shared = emitted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     near = shared.select("key", F.explode(_masks(1)).alias("mask")).select("key", F.col("key").bitwiseXOR(F.col("mask")).alias("band"))
