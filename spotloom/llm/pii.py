@@ -1,23 +1,29 @@
 """Personal data: detection and keyed surrogates, in DataFrame functions alone.
 
 One pattern finds the mentions of a text. A mention's entity is its kind and canonical form
-(lower case, or its letters and digits alone), so that differently written mentions are one
-entity. Every distinct entity of the corpus gets a surrogate of its kind, drawn from a
+(lower case, or its letters and digits alone; of a phone number the last ten digits), so that
+differently written mentions are one entity. A name is two entities, the family and the given
+name, so that "Mr. John Smith", "Dr. John Smith" and "Mr. Smith" keep the family in common; a
+given name has the gender of the titles that it stands with anywhere in the corpus, if these
+agree. Every distinct entity of the corpus gets a surrogate of its kind, drawn from a
 SHA-256 of a secret key, the kind and the canonical form: digits stay digits and letters
 letters, card numbers with a valid check digit get one, names keep gender, script and
-capitals. Surrogates are checked over the whole corpus: one that two entities share, or that
-is itself an entity of the corpus, is drawn again with the next attempt for all but the
-first of them, until all are distinct. After ``SAME`` attempts surrogates grow with every
-attempt (a syllable, letters or digits more), so that the space has no end. Then every mention is written in its own format.
+capitals. Surrogates are checked over the whole corpus, all families together, all given names
+together, and every other kind by itself: one that two entities share, or that is itself an
+entity of the corpus, is drawn again with the next attempt for all but the first of them, until
+all are distinct. After ``SAME`` attempts surrogates grow with every attempt (a syllable, letters
+or digits more), so that the space has no end. Then every mention is written in its own format.
 
 Plan: mentions are narrow rows; entities are aggregated partially before their shuffle; the
 mapping, one row for each entity, is joined to the mentions, a join whose hot partitions
-Spark can split; only texts with mentions are shuffled, to be rebuilt.
+Spark can split. The pattern is tried on each text once to find mentions and once more where
+there are some, to write them; only texts with a hint of one are joined to what is written.
 
 Defined cases: a null text stays null; texts without mentions are unchanged; mentions that
 touch or overlap are taken from left to right, the longest alternative first in the
 pattern's order; rows that repeat id and text get equal texts; null ids are kept; an empty
-table gives an empty result; other columns are kept.
+table gives an empty result; other columns are kept, whatever their names. Names are found
+after a title only.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut
+from .common import by_place, named, unused
 
 _FREE = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _MALE, _FEMALE, _ANY = r"Mr|Herr|Señor|Sr|Monsieur|Г-н|Κύριος", r"Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Г-жа|Κυρία", r"Dr|Prof"
@@ -62,24 +69,38 @@ SYLLABLES = {
 
 
 def kind_of(mention: Column) -> Column:
-    """The first kind whose pattern takes the whole mention; names carry gender and script."""
+    """The first kind whose pattern takes the whole mention."""
     out = F.lit(None).cast("string")
     for kind, pattern in reversed(PATTERNS.items()):
         out = F.when(mention.rlike(f"^(?:{pattern})$"), F.lit(kind)).otherwise(out)
-    gender = F.when(mention.rlike(rf"^(?:{_FEMALE})\.? "), "f").when(mention.rlike(rf"^(?:{_MALE})\.? "), "m").otherwise("u")
-    script = F.when(mention.rlike(r"\p{IsCyrillic}[\p{L}'\-]*$"), "cyrillic").when(mention.rlike(r"\p{IsGreek}[\p{L}'\-]*$"), "greek").otherwise("latin")
-    names = F.when(F.regexp_replace(mention, f"^{_TITLE}", "").contains(" "), "2").otherwise("1")
-    return F.when(out == "name", F.concat_ws("_", F.lit("name"), gender, script, names)).otherwise(out)
+    return F.coalesce(out, F.lit("other"))
+
+
+def _title(mention: Column) -> Column:
+    return F.regexp_extract(mention, f"^{_TITLE}", 0)
+
+
+def _script(word: Column) -> Column:
+    return F.when(word.rlike(r"\p{IsCyrillic}[\p{L}'\-]*$"), "cyrillic").when(word.rlike(r"\p{IsGreek}[\p{L}'\-]*$"), "greek").otherwise("latin")
 
 
 def canonical_of(kind: Column, mention: Column) -> Column:
-    """Lower case for addresses and names, letters and digits alone for numbers."""
-    return (
-        F.when(kind == "email", F.lower(mention))
-        .when(kind == "ip", mention)
-        .when(kind.startswith("name"), F.lower(F.regexp_replace(mention, f"^{_TITLE}", "")))
-        .otherwise(F.regexp_replace(mention, "[^A-Za-z0-9]", ""))
-    )
+    """Lower case for addresses, letters and digits alone for numbers, of phone numbers the last ten digits."""
+    plain = F.regexp_replace(mention, "[^A-Za-z0-9]", "")
+    return F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention).when(kind == "phone", F.substring(plain, F.greatest(F.length(plain) - 9, F.lit(1)), F.lit(10))).otherwise(plain)
+
+
+def entities_of(kind: Column, mention: Column) -> Column:
+    """array<struct<part, kind, canonical, gender>> of a mention: one entity, or the given and the family name."""
+    title = _title(mention)
+    rest = F.substring(mention, F.length(title) + 1, F.length(mention))
+    gender = F.when(title.rlike(rf"^(?:{_FEMALE})\.? "), "f").when(title.rlike(rf"^(?:{_MALE})\.? "), "m")
+    entity = lambda part, kind, canonical, gender: F.struct(F.lit(part).alias("part"), kind.alias("kind"), canonical.alias("canonical"), gender.cast("string").alias("gender"))
+    last = F.substring_index(rest, " ", -1)
+    family = entity("family", F.concat(F.lit("family_"), _script(last)), F.lower(last), F.lit(None))
+    first = F.substring_index(rest, " ", 1)
+    given = entity("given", F.concat(F.lit("given_"), _script(first)), F.lower(first), gender)
+    return F.when(kind != "name", F.array(entity("whole", kind, canonical_of(kind, mention), F.lit(None)))).when(rest.contains(" "), F.array(family, given)).otherwise(F.array(family))
 
 
 def _byte(seed: Column, i: Column | int) -> Column:
@@ -124,7 +145,7 @@ def _more(seed: Column, attempt: Column, values: list[str]) -> Column:
     return F.array_join(each, "")
 
 
-def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
+def surrogate(kind: Column, canonical: Column, gender: Column, attempt: Column, key: str) -> Column:
     """An entity's canonical surrogate at an attempt."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), canonical), 256)
     local = F.substring_index(canonical, "@", 1)
@@ -132,82 +153,104 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Col
     letters, digits = _more(seed, attempt, [chr(97 + i) for i in range(26)]), _more(seed, attempt, [str(i) for i in range(10)])
     email = F.concat(_shape(local, seed), F.lit("@"), host, letters, F.lit(".example"))
     n = F.length(canonical)
-    phone = _shape(canonical, seed, F.greatest(n - 10, F.lit(0)))
     number = _shape(canonical, seed, 1)
     head = F.substring(number, F.lit(1), n - 1)
     valid = luhn_digit(F.substring(canonical, F.lit(1), n - 1)) == F.substring(canonical, n, F.lit(1))
     card = F.when(valid, F.concat(head, luhn_digit(head))).otherwise(number)
     ip = F.concat_ws(".", *(F.lit(1) + F.pmod(_byte(seed, i), F.lit(223 if i == 0 else 254)) for i in range(4)))
-    out = F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ip", ip).when(kind == "iban", _shape(canonical, seed, 2))
+    out = F.when(kind == "email", email).when(kind == "card", card).when(kind == "ip", ip).when(kind == "iban", _shape(canonical, seed, 2))
     for script, by in GIVEN.items():
         family = F.concat(*(_pick(SYLLABLES[script], _byte(seed, i)) for i in range(2, 6)))
-        for gender, given in by.items():
-            for names in "12":
-                text = F.concat(F.lower(_pick(given, _byte(seed, 1))), F.lit(" "), family) if names == "2" else family
-                out = out.when(kind == f"name_{gender}_{script}_{names}", text)
+        first = {g: F.lower(_pick(names, _byte(seed, 1))) for g, names in by.items()}
+        out = out.when(kind == f"family_{script}", family).when(kind == f"given_{script}", F.when(gender == "m", first["m"]).when(gender == "f", first["f"]).otherwise(first["u"]))
     out = out.otherwise(_shape(canonical, seed))
     more = F.when(kind == "email", "").when(kind == "ip", F.concat(F.lit("."), digits))
     for script, syllables in SYLLABLES.items():
-        more = more.when(kind.rlike(f"^name_._{script}_"), _more(seed, attempt, syllables))
+        more = more.when(kind.isin(f"family_{script}", f"given_{script}"), _more(seed, attempt, syllables))
     return F.when(attempt > SAME, F.concat(out, more.otherwise(digits))).otherwise(out)
 
 
-def _written(kind: Column, mention: Column, new: Column) -> Column:
-    """A canonical surrogate in a mention's own format."""
+def _written(kind: Column, mention: Column, new: Column, canonical: Column | None = None, given: Column | None = None) -> Column:
+    """A canonical surrogate in a mention's own format; what a phone number has before its last ten digits stays."""
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
-    nth = lambda i: F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^A-Za-z0-9]", ""))
-    filled = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[A-Za-z0-9]"), F.substring(new, nth(i), F.lit(1))).otherwise(c)), "")
+    kept = F.lit(0) if canonical is None else F.greatest(F.length(F.regexp_replace(mention, "[^A-Za-z0-9]", "")) - F.length(canonical), F.lit(0))
+    nth = lambda i: F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^A-Za-z0-9]", "")) - kept
+    filled = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[A-Za-z0-9]") & (nth(i) > 0), F.substring(new, nth(i), F.lit(1))).otherwise(c)), "")
     # What a grown surrogate has beyond the mention's format.
     filled = F.concat(filled, F.substring(new, nth(F.length(mention)) + 1, F.length(new)))
-    title = F.regexp_extract(mention, f"^{_TITLE}", 0)
+    title = _title(mention)
     rest = F.substring(mention, F.length(title) + 1, F.length(mention))
-    name = F.concat(title, F.when((rest == F.upper(rest)) & (F.length(rest) > 2), F.upper(new)).otherwise(F.initcap(new)))
-    return F.when(kind.isin("email", "ip"), new).when(kind.startswith("name"), name).otherwise(filled)
+    words = new if given is None else F.when(given.isNull(), new).otherwise(F.concat_ws(" ", given, new))
+    name = F.concat(title, F.when((rest == F.upper(rest)) & (F.length(rest) > 2), F.upper(words)).otherwise(F.initcap(words)))
+    return F.when(kind.isin("email", "ip"), new).when(kind == "name", name).otherwise(filled)
 
 
-def _has(text: Column) -> Column:
-    """Whether a text has a mention; the pattern is tried only where a hint is found."""
-    return F.coalesce((text.rlike(HINTS[0]) | text.rlike(HINTS[1])) & text.rlike(PATTERN), F.lit(False))
+def _hint(text: Column) -> Column:
+    """Whether a text may have a mention: cheaper than the pattern."""
+    return F.coalesce(text.rlike(HINTS[0]) | text.rlike(HINTS[1]), F.lit(False))
 
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, key, idx, mention, kind, canonical) of every mention; ``key`` is a hash of the text."""
-    text = F.col(text_col).cast("string")
-    rows = docs.filter(_has(text)).select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("key"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("m"))
+    """(id, key, idx, mention, kind) of every mention; ``key`` is a hash of the text."""
+    text = named(text_col).cast("string")
+    rows = docs.filter(_hint(text)).select(named(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("key"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("m"))
     each = rows.select("id", "key", F.posexplode("m").alias("idx", "mention"))
-    each = each.withColumn("kind", F.coalesce(kind_of(F.col("mention")), F.lit("other")))
-    return each.withColumn("canonical", canonical_of(F.col("kind"), F.col("mention")))
+    return each.withColumn("kind", kind_of(F.col("mention")))
+
+
+def space_of(kind: Column) -> Column:
+    """What surrogates must be distinct in: all families, all given names, or a kind."""
+    return F.when(kind.startswith("family_"), "family").when(kind.startswith("given_"), "given").otherwise(kind)
+
 
+def assign(entities: DataFrame, key: str, rounds: int = 200) -> DataFrame:
+    """(kind, canonical, new): distinct surrogates for distinct entities (kind, canonical[, gender]), none of them an entity.
 
-def assign(entities: DataFrame, key: str, rounds: int = 50) -> DataFrame:
-    """(kind, canonical, new): distinct surrogates for distinct entities, none of them an entity."""
-    entities = cut(entities.select("kind", "canonical").distinct())
+    Each attempt after the first few multiplies the space by a syllable, a letter or a digit, so that the
+    rounds follow the logarithm of the number of entities.
+    """
+    gender = F.col("gender") if "gender" in entities.columns else F.lit(None).cast("string")
+    # A given name has a gender if all titles that tell one agree.
+    lo, hi = F.min(gender), F.max(gender)
+    entities = cut(entities.groupBy("kind", "canonical").agg(F.when(lo == hi, lo).alias("gender")))
+    space = space_of(F.col("kind")).alias("space")
     # What a surrogate must not be: an entity of the corpus, or a surrogate given before.
-    taken = entities.select("kind", F.col("canonical").alias("new"))
+    taken = entities.select(space, F.col("canonical").alias("new")).distinct()
     todo, done = entities, []
     for attempt in range(rounds):
-        drawn = todo.withColumn("new", surrogate(F.col("kind"), F.col("canonical"), F.lit(attempt), key))
-        first = F.row_number().over(Window.partitionBy("kind", "new").orderBy("canonical")) == 1
-        drawn = drawn.withColumn("first", first).join(taken.withColumn("taken", F.lit(True)), ["kind", "new"], "left")
-        drawn = cut(drawn.select("kind", "canonical", "new", (F.col("first") & F.col("taken").isNull()).alias("ok")))
+        drawn = todo.withColumn("new", surrogate(F.col("kind"), F.col("canonical"), F.col("gender"), F.lit(attempt), key)).withColumn("space", space)
+        first = F.row_number().over(Window.partitionBy("space", "new").orderBy("kind", "canonical")) == 1
+        drawn = drawn.withColumn("first", first).join(taken.withColumn("taken", F.lit(True)), ["space", "new"], "left")
+        drawn = cut(drawn.select("kind", "canonical", "gender", "space", "new", (F.col("first") & F.col("taken").isNull()).alias("ok")))
         done.append(drawn.filter("ok").select("kind", "canonical", "new"))
-        todo = drawn.filter("not ok").select("kind", "canonical")
+        todo = drawn.filter("not ok").select("kind", "canonical", "gender")
         if todo.isEmpty():
             return reduce(DataFrame.unionByName, done)
-        taken = cut(taken.unionByName(done[-1].select("kind", "new")))
+        taken = cut(taken.unionByName(drawn.filter("ok").select("space", "new")))
     raise RuntimeError(f"surrogates still collide after {rounds} attempts")
 
 
-def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with surrogates; ``__entities`` counts mentions, ``__kinds`` names their kinds."""
-    text = F.col(text_col).cast("string")
-    found = cut(mentions(docs, id_col, text_col))
-    mapping = assign(found.select("kind", "canonical"), key)
-    new = found.join(mapping, ["kind", "canonical"]).select("id", "key", "kind", F.struct("idx", _written(F.col("kind"), F.col("mention"), F.col("new")).alias("new")).alias("one"))
-    by_row = new.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(F.array_sort(F.collect_set("one")).alias("__new"), F.array_sort(F.collect_set(F.substring_index("kind", "_", 1))).alias("__kinds"))
-    clean = docs.filter(~_has(text)).withColumn("__entities", F.lit(0).cast("bigint")).withColumn("__kinds", F.lit(""))
-    hit = docs.filter(_has(text))
-    joined = hit.join(by_row, (F.xxhash64(text) == F.col("__key")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")))
-    parts = F.zip_with(F.split(text, PATTERN, -1), F.concat(F.col("__new.new"), F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    names = [F.col(c) if c != text_col else F.array_join(parts, "").alias(text_col) for c in docs.columns]
-    return joined.select(*names, F.size("__new").cast("bigint").alias("__entities"), F.array_join("__kinds", ",").alias("__kinds")).unionByName(clean)
+def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] = ("__entities", "__kinds")) -> DataFrame:
+    """The documents with surrogates; ``counts`` names two columns: the number of mentions, and their kinds.
+
+    Where the documents have a column of such a name, the count's name gets an underscore more.
+    """
+    rows, (i, t) = by_place(docs, id_col, text_col)
+    text = F.col(t).cast("string")
+    found = cut(mentions(rows, i, t))
+    parts = found.select("id", "key", "idx", "mention", F.col("kind").alias("of"), F.explode(entities_of(F.col("kind"), F.col("mention"))).alias("e"))
+    parts = parts.select("id", "key", "idx", "mention", "of", "e.*")
+    mapping = assign(parts.select("kind", "canonical", "gender"), key)
+    placed = parts.join(mapping, ["kind", "canonical"])
+    # A name's two parts side by side again; all others are alone. A family alone in its mention has no given name.
+    given = F.max(F.when(F.col("part") == "given", F.col("new")))
+    main = F.when(F.col("part") != "given", F.col("new"))
+    one = placed.groupBy("id", "key", "idx").agg(F.first("mention").alias("mention"), F.first("of").alias("of"), F.max(main).alias("new"), given.alias("given"), F.max(F.when(F.col("part") != "given", F.col("canonical"))).alias("canonical"))
+    one = one.select("id", "key", "of", F.struct("idx", _written(F.col("of"), F.col("mention"), F.col("new"), F.col("canonical"), F.col("given")).alias("new")).alias("one"))
+    by_row = one.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(F.array_sort(F.collect_list("one")).alias("__new"), F.array_sort(F.collect_set("of")).alias("__kinds"))
+    clean = rows.filter(~_hint(text)).withColumns({"__entities": F.lit(0).cast("bigint"), "__kinds": F.lit("")})
+    joined = rows.filter(_hint(text)).join(by_row, (F.xxhash64(text) == F.col("__key")) & F.col(i).cast("bigint").eqNullSafe(F.col("__id")), "left")
+    written = F.zip_with(F.split(text, PATTERN, -1), F.concat(F.col("__new.new"), F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    names = [F.col(c) if c != t else F.when(F.col("__new").isNull(), F.col(t)).otherwise(F.array_join(written, "")).alias(t) for c in rows.columns]
+    out = joined.select(*names, F.coalesce(F.size("__new"), F.lit(0)).cast("bigint").alias("__entities"), F.coalesce(F.array_join("__kinds", ","), F.lit("")).alias("__kinds"))
+    return out.unionByName(clean).toDF(*docs.columns, *unused(docs, *counts))

@@ -439,7 +439,7 @@ def test_surrogates_are_distinct(spark):
 
 def test_surrogates_never_run_out(spark):
     """More entities than surrogates of their own length: all 100 numbers of two digits, and 5,000 Greek families."""
-    rows = [("ssn", f"{k:02d}") for k in range(100)] + [("name_u_greek_1", f"x{k}") for k in range(5000)]
+    rows = [("ssn", f"{k:02d}") for k in range(100)] + [("family_greek", f"x{k}") for k in range(5000)]
     got = pii.assign(spark.createDataFrame(rows, "kind string, canonical string"), "k").collect()
     assert len({(r.kind, r.canonical) for r in got}) == len({(r.kind, r.new) for r in got}) == len(got) == 5100
     assert not {(r.kind, r.new) for r in got} & set(rows) and all(r.new.isalpha() for r in got if r.kind != "ssn")

@@ -7,7 +7,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from spotloom.llm import lines, mixing, simhash
+from spotloom.llm import lines, mixing, pii, simhash
 
 from .test_corpus import ODD, WORD
 
@@ -105,7 +105,7 @@ def test_long_passages_are_lines(spark):
 CLASH = ["__id", "__at", "__doc", "__l", "__all", "__stay", "__kept", "__lines", "__removed", "__key", "__copy", "__copies", "__entities", "__kinds", "__new", "__goes", "a.b", "`", "key", "t", "size", "p", "rank", "c0", "c1", "Text", "one"]
 
 
-@pytest.mark.parametrize("run", [lambda d: lines.dedup_lines(d), lambda d: lines.dedup_lines(d, counts=()), mixing.mixed, simhash.near_dedup])
+@pytest.mark.parametrize("run", [lambda d: lines.dedup_lines(d), lambda d: lines.dedup_lines(d, counts=()), mixing.mixed, simhash.near_dedup, lambda d: pii.replace(d, "k")])
 def test_clashing_names(spark, run):
     rows = [(1, "a b c d e", "s"), (2, "a b c d e x", "s"), (None, None, None), (4, "mail a@b.io", "t")]
     d = spark.createDataFrame([(i, t, s, *range(len(CLASH))) for i, t, s in rows], ["doc_id", "text", "source", *CLASH])
