@@ -7,7 +7,8 @@ rows without a mergeable pair leave. Pair ranks come from an open-addressing has
 (left id, right id). Matches above ``LONG`` bytes, rare in prose but without any bound in
 junk, follow the same rule with a heap over linked positions, in n log n steps.
 
-Encoded matches are kept in a cache of bounded size for each Python worker.
+Encoded matches are kept in a cache for each Python worker, bounded by their number and bytes;
+those of the texts at hand, about a million characters, are always in it.
 
 Defined cases: a null text is the empty text, with no tokens; texts are encoded without
 special tokens, whose strings are ordinary text; an empty table gives an empty result; null
@@ -34,6 +35,8 @@ from .common import slices
 LONG = 64
 #: Matches kept by one Python worker; beyond, the cache starts anew.
 CACHE = 400_000
+#: Bytes of these matches, which long runs without spaces reach first.
+CACHE_BYTES = 64 << 20
 NONE = np.int32(2**31 - 1)
 
 
@@ -206,15 +209,18 @@ class Codec:
         self.flat = np.zeros(1 << 16, np.int32)
         self.at = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.used = self.held = 0
 
     def learn(self, texts: list[list[str]]) -> None:
         """Encode the matches that the cache lacks."""
         own = set().union(*texts)
         new = list(own.difference(self.cache))
-        if self.cache and len(self.cache) + len(new) > CACHE:
+        more = sum(map(len, new))
+        if self.cache and (len(self.cache) + len(new) > CACHE or self.held + more > CACHE_BYTES):
             self.forget()
             new = list(own)
+            more = sum(map(len, new))
+        self.held += more
         ids = self.encode_parts([p.encode() for p in new])
         first, sizes = len(self.cache), np.fromiter(map(len, ids), np.int64, len(ids))
         total = int(sizes.sum())
