@@ -2,7 +2,7 @@
 
 Targets are shares by weight of a multiple of all words, capped at a multiple of each
 source's own words with the excess reshared: the level of a water filling, found with two
-running sums over the table of sources. A source's documents then all have one expected
+running sums over the table of sources, one row for each, which one task sorts. A source's documents then all have one expected
 number of copies; its whole part is taken outright and its fraction is an inclusion
 probability for the cube method (Deville and Tillé 2004, the fast flight of Chauvet and
 Tillé 2006): three undecided documents at a time move along the null space of the two

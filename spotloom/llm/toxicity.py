@@ -7,8 +7,9 @@ negative part drops below zero, the step goes against it, as in Kiryo et al. (20
 class prior pi is the share of confirmed rows among all labelled training rows, counted over
 the whole table.
 
-The fit sees at most ``POSITIVES`` and ``UNLABELLED`` documents, as arrays of word hashes;
-every document is scored over its whole text.
+The fit sees at most ``positives`` and ``unlabelled`` documents, as arrays of word hashes, chosen
+by a hash of the id, and weighs at most ``features`` of these hashes; a document whose id is
+repeated counts as often as it occurs. Every document is scored over its whole text.
 
 Defined cases: a null text is the empty text, scored by the bias alone; a document with a
 null id is scored and counts by crc32 of the empty text; null labels are unlabelled; without
@@ -138,14 +139,14 @@ def _collect(sample: DataFrame) -> list[np.ndarray]:
     return sorted(rows, key=lambda r: r.tobytes())  # the same model whatever order the rows come in
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Linear:
+def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", positives: int = POSITIVES, unlabelled: int = UNLABELLED, features: int = FEATURES) -> Linear:
     """A classifier from the label rows that ``learn_from`` admits and from unlabelled text."""
     labels = labels.select(id_col, F.col(label).cast("int").alias("__label")).filter(learn_from)
     texts = docs.select(id_col, F.col(text_col).alias("__text"))
     prior = labels.agg(F.avg("__label")).first()[0] or 0.0
-    pos = _collect(labelled_sample(texts, labels.filter("__label = 1").select(id_col).distinct(), F.lit(True), POSITIVES, id_col))
-    unl = _collect(labelled_sample(texts, texts.select(id_col).filter(learn_from).distinct(), F.lit(True), UNLABELLED, id_col))
-    return fit_nnpu(pos, unl, float(prior))
+    pos = _collect(labelled_sample(texts, labels.filter("__label = 1").select(id_col).distinct(), F.lit(True), positives, id_col))
+    unl = _collect(labelled_sample(texts, texts.select(id_col).filter(learn_from).distinct(), F.lit(True), unlabelled, id_col))
+    return fit_nnpu(pos, unl, float(prior), features)
 
 
 def score(docs: DataFrame, model: Linear, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

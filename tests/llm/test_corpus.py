@@ -247,6 +247,14 @@ def test_cache_starts_anew(vocabulary, monkeypatch):
         assert coder.encode(text).tolist() == other.encode_ordinary(text)
 
 
+def test_cache_is_bounded_by_bytes(vocabulary, monkeypatch):
+    _, _, coder, other = vocabulary
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 3000)
+    for k in range(6):
+        text = f"{k}" + "ab" * 700 + f" c{k}"
+        assert coder.encode(text).tolist() == other.encode_ordinary(text) and coder.held <= 3000
+
+
 @pytest.mark.parametrize("size", [1, 3, 17])
 def test_chunks_cut_no_match(vocabulary, size):
     coder = vocabulary[2]
