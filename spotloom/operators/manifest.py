@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.scalars import padded, shard_name
 
-#: Width of the blocks of the order column that are numbered by themselves.
+#: Rows, about, of the blocks that are numbered by themselves.
 BLOCK = 1 << 16
 SHARD = 500
 REQUIRED = ("global_idx", "sample_id", "cell_id")
@@ -26,11 +26,15 @@ def union_samples(parts: list[DataFrame]) -> DataFrame:
 def dense_index(rows: DataFrame, sample: str, order: str, name: str = "global_idx", block: int = BLOCK) -> DataFrame:
     """0..N-1 in the order (sample, order); ``order`` is an integer column without ties in a sample.
 
-    No window sees all rows, or all rows of a hot sample: rows are numbered within blocks of
-    the order column, and only the table of block sizes gets running sums.
+    No window sees all rows, or all rows of a hot sample: a sample's range of the order column is cut
+    into as many blocks as it has times ``block`` rows, rows are numbered within blocks, and only the
+    table of block sizes, which is that much shorter than the rows, gets running sums.
     """
-    at = F.floor(F.col(order) / block).cast("bigint")
-    marked = rows.withColumn("__block", at)
+    at = F.col(order).cast("bigint")
+    span = rows.groupBy(F.col(sample).alias("__t")).agg(F.min(at).alias("__low"), F.max(at).alias("__high"), F.count("*").alias("__m"))
+    span = span.select("__t", "__low", F.greatest(F.lit(1), F.ceil((F.col("__high") - F.col("__low") + 1) / F.ceil(F.col("__m") / block))).cast("bigint").alias("__width"))
+    marked = rows.join(span, F.col(sample).eqNullSafe(F.col("__t")))
+    marked = marked.withColumn("__block", F.floor((at - F.col("__low")) / F.col("__width")).cast("bigint")).drop("__t", "__low", "__width")
     sizes = marked.groupBy(F.col(sample).alias("__s"), F.col("__block").alias("__b")).agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__s", "__b").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("__s", "__b", F.coalesce(before, F.lit(0)).alias("__before"))
@@ -41,9 +45,30 @@ def dense_index(rows: DataFrame, sample: str, order: str, name: str = "global_id
 
 
 def spatial_order(cells: DataFrame, sort_key: str, position: str, sample: str | None = None, name: str = "sample_index") -> DataFrame:
-    """Ranks by tile key within a sample; ties keep their positions."""
-    w = Window.partitionBy(*([sample] if sample else [])).orderBy(sort_key, position)
-    return cells.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+    """Ranks by tile key within a sample; ties keep their positions.
+
+    Tiles are counted and their counts summed up; cells are ranked within their tile alone.
+    """
+    by = [sample] if sample else []
+    sizes = cells.groupBy(*(F.col(c).alias(f"__{c}") for c in by), F.col(sort_key).alias("__key")).agg(F.count("*").alias("__n"))
+    up = Window.partitionBy(*(f"__{c}" for c in by)).orderBy("__key").rowsBetween(Window.unboundedPreceding, -1)  # one row for each tile
+    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(up), F.lit(0))).drop("__n")
+    within = F.row_number().over(Window.partitionBy(*by, sort_key).orderBy(position)) - 1
+    keys = [F.col(sort_key).eqNullSafe(F.col("__key")), *(F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by)]
+    ranked = cells.withColumn("__rank", within).join(offsets, reduce(Column.__and__, keys))
+    return ranked.withColumn(name, (F.col("__before") + F.col("__rank")).cast("bigint")).select(*cells.columns, name)
+
+
+def hashed_ranks(keys: DataFrame, key: Column, *ties: str, name: str = "rank", digits: int = 3) -> DataFrame:
+    """0..N-1 in the order of a hexadecimal hash: counted by its first digits, ranked within these."""
+    marked = keys.withColumn("__h", key).withColumn("__head", F.substring("__h", 1, digits))
+    sizes = marked.groupBy(F.col("__head").alias("__b")).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))  # 16 ** digits rows at most
+    total = F.sum("__n").over(Window.partitionBy(F.lit(0)))
+    offsets = sizes.select("__b", F.coalesce(before, F.lit(0)).alias("__before"), total.alias("__total"))
+    within = F.row_number().over(Window.partitionBy("__head").orderBy("__h", *ties)) - 1
+    ranked = marked.withColumn("__rank", within).join(offsets, F.col("__head") == F.col("__b"))
+    return ranked.select(*keys.columns, (F.col("__before") + F.col("__rank")).cast("int").alias(name), F.col("__total").cast("int").alias("n"))
 
 
 def with_shards(rows: DataFrame, index: str = "sample_index", size: int = SHARD) -> DataFrame:

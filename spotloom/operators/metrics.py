@@ -11,15 +11,28 @@ def pearson(pairs: DataFrame, by: str = "gene") -> DataFrame:
     return pairs.groupBy(by).agg(F.corr("truth", "guess").alias("pearson"))
 
 
-def average_rank(value: str, by: str) -> Column:
-    """The mean rank of equal values."""
-    w = Window.partitionBy(by)
-    ties = F.count("*").over(Window.partitionBy(by, value))
-    return F.rank().over(w.orderBy(value)) + (ties - 1) / 2.0
+def average_ranks(pairs: DataFrame, value: str, by: str, name: str, parts: int = 256) -> DataFrame:
+    """(by, value, name): the mean rank of every distinct value.
+
+    Equal values are counted first; a gene's range of values is cut into parts, whose counts are summed
+    up, and only a part's distinct values are ranked together.
+    """
+    counts = pairs.groupBy(by, value).agg(F.count("*").alias("__n"))
+    span = counts.groupBy(by).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    part = F.when(F.col("__high") > F.col("__low"), F.floor((F.col(value) - F.col("__low")) / (F.col("__high") - F.col("__low")) * (parts - 1))).otherwise(0).cast("int")
+    marked = counts.join(span, by).withColumn("__part", part).drop("__low", "__high")
+    sizes = marked.groupBy(by, "__part").agg(F.sum("__n").alias("__m"))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__m").over(earlier(Window.partitionBy(by).orderBy("__part"))), F.lit(0))).drop("__m")
+    within = F.coalesce(F.sum("__n").over(earlier(Window.partitionBy(by, "__part").orderBy(value))), F.lit(0))
+    ranked = marked.withColumn("__within", within).join(offsets, [by, "__part"])
+    return ranked.select(by, value, (F.col("__before") + F.col("__within") + (F.col("__n") + 1) / 2.0).alias(name))
 
 
 def spearman(pairs: DataFrame, by: str = "gene") -> DataFrame:
-    ranked = pairs.withColumns({"rt": average_rank("truth", by), "rg": average_rank("guess", by)})
+    """Correlation of mean ranks; pairs with a null on either side don't count."""
+    known = pairs.select(by, "truth", "guess").filter("truth IS NOT NULL AND guess IS NOT NULL")
+    ranked = known.join(average_ranks(known, "truth", by, "rt"), [by, "truth"]).join(average_ranks(known, "guess", by, "rg"), [by, "guess"])
     return ranked.groupBy(by).agg(F.corr("rt", "rg").alias("spearman"))
 
 
@@ -80,10 +93,23 @@ def neighbours(points: DataFrame, radius: float) -> DataFrame:
 
 
 def content_hash(rows: DataFrame, *columns: str) -> DataFrame:
-    """One order-independent hash of a table, for a frozen release: the sum of row digests, with the number of rows.
+    """One order-independent hash of a table: the sum of row digests, with the number of rows.
 
     A row's digest is the head of its SHA-256 as a number, so that the sum needs no global sort.
     """
     text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns))
     head = F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("decimal(38,0)")
     return rows.agg(F.sum(head).cast("string").alias("digest_sum"), F.count("*").alias("n_rows"))
+
+
+def table_digest(rows: DataFrame, *columns: str) -> DataFrame:
+    """(digest, n_rows): what a frozen release is told by, whatever the order of its rows.
+
+    All of a row's SHA-256 is summed up, in six pieces that lose no bit, and the digest is the SHA-256 of
+    the sums; lengths before the values tell them apart, and null from text.
+    """
+    value = lambda c: F.col(c).cast("string")
+    text = F.concat(*(F.coalesce(F.concat(F.length(value(c)).cast("string"), F.lit(":"), value(c)), F.lit("-")) for c in columns))
+    row = F.sha2(text, 256)
+    parts = [F.coalesce(F.sum(F.conv(F.substring(row, 11 * k + 1, 11), 16, 10).cast("decimal(38,0)")).cast("string"), F.lit("0")) for k in range(6)]
+    return rows.agg(F.sha2(F.concat_ws(",", *parts), 256).alias("digest"), F.count("*").alias("n_rows"))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import warnings
-from pathlib import Path
+from datetime import datetime, timezone
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .manifest import check_manifest, dense_index
+from ..sources import store
+from .manifest import check_manifest, dense_index, hashed_ranks
 
 BASE = ("global_idx", "sample_id", "cell_id")
 POLICIES = ("sample_holdout", "ratio_by_group", "group_kfold", "existing_file", "spatial_block", "leave_one_group_out")
@@ -56,9 +58,7 @@ def shuffled_groups(manifest: DataFrame, group: str, seed: int, ordering: str =
         return manifest.sparkSession.createDataFrame([(g, i, len(order)) for i, g in enumerate(order.tolist())], f"group_id {manifest.schema[group].dataType.simpleString()}, rank int, n int")
     if ordering != "md5":
         raise ValueError(f"unknown ordering {ordering!r}")
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("group_id").cast("string")))
-    ranked = groups.select("group_id", (F.row_number().over(Window.orderBy(key, "group_id")) - 1).alias("rank"))
-    return ranked.withColumn("n", F.count("*").over(Window.partitionBy(F.lit(0))).cast("int"))
+    return hashed_ranks(groups, F.md5(F.concat(F.lit(f"{seed}:"), F.col("group_id").cast("string"))), "group_id")
 
 
 def ratio_counts(n: int, ratios: tuple[float, float, float]) -> tuple[int, int]:
@@ -79,10 +79,7 @@ def ratio_by_group(manifest: DataFrame, task: str, group: str, ratios: tuple[flo
     if group not in manifest.columns:
         raise ValueError(f"group column {group!r} not in the manifest")
     order = shuffled_groups(manifest, group, seed, ordering)
-    half_even = lambda r: F.bround(F.col("n") * F.lit(float(r)), 0).cast("int")
-    train = F.greatest(F.lit(1), half_even(ratios[0]))
-    val = F.greatest(F.lit(0), half_even(ratios[1]))
-    val = F.when(train + val >= F.col("n"), F.greatest(F.lit(0), F.col("n") - train - 1)).otherwise(val)
+    train, val = ratio_counts(manifest.select(group).distinct().count(), ratios)
     placed = order.withColumn("split", F.when(F.col("rank") < train, "train").when(F.col("rank") < train + val, "val").otherwise("test"))
     out = manifest.select(*BASE, F.col(group).alias("__g")).join(placed.select("group_id", "split"), F.col("__g").eqNullSafe(F.col("group_id"))).drop("__g")
     return _stamp(out, task, "ratio_by_group", "group", seed=F.lit(seed))
@@ -106,14 +103,20 @@ def _first_of(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def existing(manifest: DataFrame, task: str, external: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """A given assignment by sample (if it has ``sample_id``) or else by cell; the first row of a key counts."""
+    """A given assignment by sample (if it has ``sample_id``) or else by cell; the first row of a key counts.
+
+    Rows are in the order of the columns ``order``, or else of ``file_position`` if the assignment was read
+    from a file; of cells that occur more than once, a warning tells the number.
+    """
     if "split" not in external.columns:
         raise ValueError("the split file has no column 'split'")
     by_sample = "sample_id" in external.columns
     key = "sample_id" if by_sample else "global_idx"
     if key not in external.columns:
         raise ValueError("the split file has neither 'sample_id' nor 'global_idx'")
-    given = _first_of(external, key, order or [key]).withColumnRenamed(key, "__key")
+    if not by_sample and (n := external.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").agg(F.sum("n")).first()[0]):
+        warnings.warn(f"{n} rows of the split file repeat a global_idx; the first of each counts", stacklevel=2)
+    given = _first_of(external, key, order or (["file_position"] if "file_position" in external.columns else [key])).withColumnRenamed(key, "__key")
     out = manifest.select(*BASE).join(given, F.col(key) == F.col("__key"), "left").drop("__key")
     warn = {} if by_sample else {"leakage_warning": F.lit("split given by cell: cells of one sample may be on both sides")}
     return _stamp(out, task, "existing_file", "sample" if by_sample else "cell", **warn)
@@ -213,15 +216,32 @@ def split_rows(rows: DataFrame, membership: DataFrame, split: str, key: str = "g
 
 def summarize(membership: DataFrame, task: str) -> dict:
     """The split report: first-row metadata and counts."""
-    first = membership.orderBy("global_idx").first()
-    report = {"task": task, "n_cells": membership.count(), "cells_by_split": {r["split"]: r["n_cells"] for r in split_counts(membership).collect()}}
-    by: dict = {}
-    for r in sample_split_counts(membership).collect():
-        by.setdefault(r["sample_id"], {})[r["split"]] = r["n_cells"]
-    report["cells_by_sample"] = by
-    for name in ("split_policy", "generated_at_level", "seed"):
-        if name in membership.columns:
-            report[name] = str(first[name]) if name == "seed" else first[name]
+    names = [c for c in ("split_policy", "generated_at_level", "seed") if c in membership.columns]
+    first = membership.orderBy("global_idx").select(*names).first()
+    per_sample = [r.asDict() for r in sample_split_counts(membership).orderBy("sample_id", "split").collect()]
+    by_split: dict[str, int] = {}
+    for r in per_sample:
+        by_split[r["split"]] = by_split.get(r["split"], 0) + r["n_cells"]
+    report = {
+        "task": task,
+        **{c: first[c] if first and c in names else None for c in ("split_policy", "generated_at_level", "seed")},
+        "n_cells_total": sum(by_split.values()),
+        "counts_by_split": by_split,
+        "per_sample_counts": per_sample,
+        "created_at": datetime.now(tz=timezone.utc).isoformat(),
+    }
+    if "leakage_warning" in membership.columns and (row := membership.filter("leakage_warning IS NOT NULL").select("leakage_warning").first()):
+        report["leakage_warning"] = row[0]
+    return report
+
+
+def leakage_report(membership: DataFrame, manifest: DataFrame, policy: str) -> dict:
+    """What the checks found, whether or not it is an error."""
+    head = lambda d, c: [r[0] for r in d.orderBy(c).limit(5).collect()]
+    report = {"split_policy": policy, "samples_in_several_splits": head(leaking_samples(membership), "sample_id"), "n_uncovered": uncovered(membership, manifest).count(), "n_phantom": phantoms(membership, manifest).count(), "n_repeated": duplicates(membership).count()}
+    if {"fold", "group_id"} <= set(membership.columns):
+        report["groups_in_several_folds"] = head(leaking_groups(membership), "group_id")
+    report["leaks"] = bool(report["samples_in_several_splits"] or report.get("groups_in_several_folds"))
     return report
 
 
@@ -229,21 +249,34 @@ def write_split(membership: DataFrame, folder: str, task: str, prefix: str = "")
     """membership parquet, one directory of indices for each split, and the report.
 
     The lists are written by the executors, as sorted JSON lines: a split may be larger than
-    the driver.
+    the driver. The membership is computed once and read again from what was written.
     """
-    import json
-
     head = f"{folder}/{prefix + '_' if prefix else ''}"
     paths = {"membership": f"{head}split_membership.parquet"}
     membership.write.mode("overwrite").parquet(paths["membership"])
+    written = membership.sparkSession.read.parquet(paths["membership"])
     for split in ("train", "val", "test"):
         paths[split] = f"{head}{split}.json"
-        membership.filter(F.col("split") == split).select("global_idx").sort("global_idx").write.mode("overwrite").json(paths[split])
+        written.filter(F.col("split") == split).select("global_idx").sort("global_idx").write.mode("overwrite").json(paths[split])
     paths["report"] = f"{head}split_report.json"
-    Path(paths["report"]).write_text(json.dumps(summarize(membership, task), indent=2, sort_keys=True, default=str))
+    store.write_json(paths["report"], summarize(written, task))
     return paths
 
 
+def read_split_list(spark: SparkSession, path: str) -> DataFrame:
+    """(global_idx) of a split's list, whether it was written as JSON lines or as one JSON list."""
+    text = spark.read.text(path).filter("trim(value) <> ''")
+    one = F.from_json("value", "array<bigint>")
+    single = text.filter("value LIKE '[%'").select(F.explode(one).alias("global_idx"))
+    return single.union(text.filter("value LIKE '{%'").select(F.get_json_object("value", "$.global_idx").cast("bigint").alias("global_idx")))
+
+
+def write_split_list(membership: DataFrame, split: str, path: str) -> str:
+    """One JSON list of a split's indices, for readers that need a single file: a split that the driver can hold."""
+    rows = membership.filter(F.col("split") == split).select("global_idx").sort("global_idx").toLocalIterator()
+    return store.write_text(path, json.dumps([r[0] for r in rows]))
+
+
 def split_positions(membership: DataFrame) -> DataFrame:
     """(split, position, global_idx): the lists of all splits as rows, in the order of the index; none is collected."""
     rows = dense_index(membership.select("split", "global_idx"), "split", "global_idx", "__at")
