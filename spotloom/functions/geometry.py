@@ -88,37 +88,41 @@ def _area(ring: np.ndarray) -> float:
     return float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)
 
 
-def _clip(subject: np.ndarray, convex: np.ndarray) -> np.ndarray:
-    """The part of a convex polygon inside a counter-clockwise convex one."""
-    out = subject
-    for k in range(len(convex)):
-        if len(out) == 0:
-            break
-        p, q = convex[k], convex[(k + 1) % len(convex)]
-        side = (q[0] - p[0]) * (out[:, 1] - p[1]) - (q[1] - p[1]) * (out[:, 0] - p[0])
-        kept = []
-        for i in range(len(out)):
-            j = (i + 1) % len(out)
-            if side[i] >= 0:
-                kept.append(out[i])
-            if (side[i] > 0) != (side[j] > 0) and side[i] != side[j]:
-                kept.append(out[i] + (out[j] - out[i]) * (side[i] / (side[i] - side[j])))
-        out = np.array(kept).reshape(-1, 2)
-    return out
+def _crossings(ring: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The x at which a ring crosses each height, sorted; infinite where a height has fewer crossings than another."""
+    p, q = ring, np.roll(ring, -1, 0)
+    cut = (p[:, 1] > y[:, None]) != (q[:, 1] > y[:, None])
+    rise = np.where(q[:, 1] == p[:, 1], 1.0, q[:, 1] - p[:, 1])
+    x = np.where(cut, p[:, 0] + (y[:, None] - p[:, 1]) * (q[:, 0] - p[:, 0]) / rise, np.inf)
+    return np.sort(x, 1)[:, : max(2, int(cut.sum(1).max(initial=0)))]
 
 
 def overlap_area(a: np.ndarray, b: np.ndarray) -> float:
-    """Common area of two simple polygons: signed triangle fans, clipped pairwise."""
-
-    def fan(ring: np.ndarray):
-        for i in range(1, len(ring) - 1):
-            t = ring[[0, i, i + 1]]
-            s = _area(t)
-            if s:
-                yield np.sign(s), t if s > 0 else t[::-1]
-
-    total = sum(s * u * _area(_clip(t, v)) for s, t in fan(a) for u, v in fan(b))
-    return abs(float(total))
+    """Common area of two simple polygons, convex or not.
+
+    Between two heights with no vertex and no crossing of sides between them, the common width is a
+    linear function of the height, so that its value in the middle gives the area exactly.
+    """
+    low, high = max(a[:, 1].min(), b[:, 1].min()), min(a[:, 1].max(), b[:, 1].max())
+    if high <= low or max(a[:, 0].min(), b[:, 0].min()) >= min(a[:, 0].max(), b[:, 0].max()):
+        return 0.0
+    u, v = np.roll(a, -1, 0) - a, np.roll(b, -1, 0) - b
+    cross = u[:, None, 0] * v[None, :, 1] - u[:, None, 1] * v[None, :, 0]
+    gap = b[None, :] - a[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        s = (gap[..., 0] * v[None, :, 1] - gap[..., 1] * v[None, :, 0]) / cross
+        meets = a[:, None, 1] + s * u[:, None, 1]
+    heights = np.concatenate((a[:, 1], b[:, 1], meets[(s >= 0) & (s <= 1) & np.isfinite(meets)], [low, high]))
+    heights = np.unique(heights[(heights >= low) & (heights <= high)])
+    mid, thick = (heights[1:] + heights[:-1]) / 2, np.diff(heights)
+    xa, xb = _crossings(a, mid), _crossings(b, mid)
+    width = np.zeros(len(mid))
+    for i in range(0, xa.shape[1] - 1, 2):
+        for j in range(0, xb.shape[1] - 1, 2):
+            left, right = np.maximum(xa[:, i], xb[:, j]), np.minimum(xa[:, i + 1], xb[:, j + 1])
+            both = np.isfinite(left) & np.isfinite(right)
+            width[both] += np.maximum(right[both] - left[both], 0)
+    return float((width * thick).sum())
 
 
 def polygon_iou(a: np.ndarray, b: np.ndarray) -> float:

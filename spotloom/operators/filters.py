@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 STRICT, MINIMAL, PADDED, AUTO = "strict_no_padding", "minimal", "strict_with_padding", "auto"
 TILES = "tile_images"
@@ -46,9 +49,9 @@ def need_pad(sx: Column, sy: Column, base: Column, width: Column, height: Column
     return crosses & ~full_oob(sx, sy, base, width, height)
 
 
-def with_masks(cells: DataFrame, width: float, height: float, base: float, x: str = "x_px", y: str = "y_px") -> DataFrame:
-    """positive, full_oob and need_pad of every cell, beside its tile origin sx0, sy0."""
-    w, h, b = F.lit(float(width)), F.lit(float(height)), F.lit(float(base))
+def with_masks(cells: DataFrame, width: float | Column, height: float | Column, base: float | Column, x: str = "x_px", y: str = "y_px") -> DataFrame:
+    """positive, full_oob and need_pad of every cell, beside its tile origin sx0, sy0; a slide's sizes may be columns."""
+    w, h, b = ((v if isinstance(v, Column) else F.lit(float(v))).cast("double") for v in (width, height, base))
     out = cells.withColumn("sx0", F.col(x) - b / 2).withColumn("sy0", F.col(y) - b / 2)
     sx, sy = F.col("sx0"), F.col("sy0")
     return out.withColumns({"positive": positive_centroid(F.col(x), F.col(y)), "full_oob": full_oob(sx, sy, b, w, h), "need_pad": need_pad(sx, sy, b, w, h)})
@@ -72,11 +75,11 @@ def policy_counts(masked: DataFrame, policy: str = AUTO, mode: str = TILES) -> D
     return masked.agg(*counts)
 
 
-def filter_report(masked: DataFrame, n_source: int | Column, policy: str = AUTO, mode: str = TILES) -> DataFrame:
-    """One row: survivors of each step in sequence, and the drops by reason, in one pass."""
+def filter_report(masked: DataFrame, n_source: int | Column, policy: str = AUTO, mode: str = TILES, *by: str) -> DataFrame:
+    """Survivors of each step in sequence, and the drops by reason, in one pass: one row, or one for each of ``by``."""
     keep = keeps(policy, mode)
     n = n_source if isinstance(n_source, Column) else F.lit(n_source).cast("bigint")
-    return masked.agg(
+    return masked.groupBy(*by).agg(
         F.max(n).alias("n_source"),
         F.count("*").alias("n_aligned"),
         F.count_if(F.col("positive")).alias("n_positive"),
@@ -92,7 +95,10 @@ def drop_reasons(row: dict, requested: int | None = None) -> dict[str, int]:
     out = {"non_positive_centroid": row["drop_non_positive_centroid"], "full_oob": row["drop_full_oob"], "need_pad": row["drop_need_pad"]}
     if row["n_source"] > row["n_aligned"]:
         out["unaligned_with_shapes"] = row["n_source"] - row["n_aligned"]
-    out["requested_subsample"] = max(0, row["n_out"] - requested) if requested else 0
+    if "n_valid" in row:
+        out["requested_subsample"] = row["n_valid"] - row["n_out"]
+    else:
+        out["requested_subsample"] = max(0, row["n_out"] - requested) if requested else 0
     return out
 
 
@@ -124,4 +130,47 @@ def uniform_sample(rows: DataFrame, n: int | None, seed: int, id_col: str) -> Da
         return rows
     if (have := rows.count()) < n:
         raise AssertionError(f"asked for {n} of {have} rows")
-    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))), F.col(id_col)).limit(n)
+    return rows.orderBy(_seeded(seed, id_col), F.col(id_col)).limit(n)
+
+
+def _seeded(seed: int, id_col: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+
+
+def sample_each(rows: DataFrame, n: int | None, seed: int, id_col: str, by: str = "sample_id") -> DataFrame:
+    """n rows of every sample, the first by a keyed hash of the id; a sample with too few rows is an error.
+
+    Rows are counted by the beginnings of their hashes and ranked within one of these, so that no window
+    sees all rows of a large sample.
+    """
+    if not n:
+        return rows
+    sizes = rows.groupBy(by).agg(F.count("*").alias("__n"))
+    if few := sizes.filter(F.col("__n") < n).orderBy(by).limit(5).collect():
+        raise AssertionError(f"asked for {n} rows of each sample: {[(r[0], r['__n']) for r in few]}")
+    hashed = rows.withColumn("__h", _seeded(seed, id_col))
+    # How many rows have a hash with each three-digit beginning: the n-th is within the first beginnings that hold n.
+    head = F.substring("__h", 1, 3)
+    counts = hashed.groupBy(by, head.alias("__head")).agg(F.count("*").alias("__k"))
+    before = F.sum("__k").over(Window.partitionBy(by).orderBy("__head").rowsBetween(Window.unboundedPreceding, -1))
+    edge = counts.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < n).select(by, "__head", "__before")
+    some = hashed.withColumn("__head", head).join(edge, [by, "__head"])
+    rank = F.row_number().over(Window.partitionBy(by, "__head").orderBy("__h", id_col))
+    return some.withColumn("__r", F.col("__before") + rank).filter(F.col("__r") <= n).select(*rows.columns)
+
+
+def numpy_sample(rows: DataFrame, n: int | None, seed: int, order: str) -> DataFrame:
+    """n rows as numpy's default generator draws them from the rows in order, without replacement.
+
+    The draw needs the number of rows alone; rows are numbered in blocks and joined to the n drawn numbers.
+    """
+    from .manifest import dense_index
+
+    if not n:
+        return rows
+    if (have := rows.count()) < n:
+        raise AssertionError(f"asked for {n} of {have} rows")
+    drawn = np.random.default_rng(seed).choice(have, n, replace=False)
+    picked = rows.sparkSession.createDataFrame(pd.DataFrame({"__at": drawn.astype("int64"), "draw": np.arange(n, dtype="int64")}))
+    numbered = dense_index(rows.withColumn("__all", F.lit(0)), "__all", order, "__at").drop("__all")
+    return numbered.join(F.broadcast(picked), "__at").drop("__at")  # as many rows as were asked for

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.scalars import canonical_id
+from .align import common_keys, presence, presence_counts
 
 
 def _cells(x0: Column, y0: Column, x1: Column, y1: Column, grid: float) -> Column:
@@ -25,26 +26,38 @@ def _cells(x0: Column, y0: Column, x1: Column, y1: Column, grid: float) -> Colum
 def inside(points: DataFrame, polygons: DataFrame, grid: float = 256.0, on: list[str] | None = None) -> DataFrame:
     """Points (x, y, ...) strictly inside any polygon (rings); ``on``: keys that must be equal, such as the sample.
 
-    The polygons' sides are computed once for each polygon, before the join.
+    Whether a point is inside depends only on the sides at its height, so a grid cell carries those
+    of its row of cells, not the whole outline, and a row only as many cells as the outline is wide there.
     """
     on = on or []
-    placed = polygons.select(*on, G.edges(F.col("rings")).alias("__sides"), G.bounds(F.col("rings")).alias("__b"))
-    placed = placed.select(*on, "__sides", "__b", F.explode(_cells(F.col("__b.x0"), F.col("__b.y0"), F.col("__b.x1"), F.col("__b.y1"), grid)).alias("__g"))
-    placed = placed.select(*[F.col(c).alias(f"__{c}") for c in on], "__sides", "__b", F.col("__g.gx").alias("__gx"), F.col("__g.gy").alias("__gy"))
-    at = lambda c: F.floor(F.col(c) / grid).cast("bigint")
-    keys = [(at("x") == F.col("__gx")), (at("y") == F.col("__gy")), *(F.col(c) == F.col(f"__{c}") for c in on)]
-    near = (F.col("x") >= F.col("__b.x0")) & (F.col("x") <= F.col("__b.x1")) & (F.col("y") >= F.col("__b.y0")) & (F.col("y") <= F.col("__b.y1"))
-    return points.join(placed, reduce(Column.__and__, keys) & near & G.contains(F.col("__sides"), F.col("x"), F.col("y")), "left_semi")
+    at = lambda v: F.floor(v / grid).cast("bigint")
+    low, high = lambda e, c: F.least(e["p"][c], e["q"][c]), lambda e, c: F.greatest(e["p"][c], e["q"][c])
+    placed = polygons.select(*[F.col(c).alias(f"__{c}") for c in on], G.edges(F.col("rings")).alias("__all"), G.bounds(F.col("rings")).alias("__b"))
+    row = lambda gy: F.struct(gy.alias("gy"), F.filter("__all", lambda e: (at(low(e, "y")) <= gy) & (at(high(e, "y")) >= gy)).alias("sides"))
+    placed = placed.withColumn("__row", F.explode(F.transform(F.sequence(at(F.col("__b.y0")), at(F.col("__b.y1"))), row)))
+    placed = placed.select(*[f"__{c}" for c in on], F.col("__row.gy").alias("__gy"), F.col("__row.sides").alias("__sides")).filter(F.size("__sides") > 0)
+    west, east = F.array_min(F.transform("__sides", lambda e: low(e, "x"))), F.array_max(F.transform("__sides", lambda e: high(e, "x")))
+    placed = placed.withColumn("__gx", F.explode(F.sequence(at(west), at(east))))
+    keys = [(at(F.col("x")) == F.col("__gx")), (at(F.col("y")) == F.col("__gy")), *(F.col(c) == F.col(f"__{c}") for c in on)]
+    return points.join(placed, reduce(Column.__and__, keys) & G.contains(F.col("__sides"), F.col("x"), F.col("y")), "left_semi")
 
 
 def tissue_filter(cells: DataFrame, shapes: DataFrame, polygons: DataFrame, cell_id: str = "cell_id", transform: tuple[float, ...] | None = None, grid: float = 256.0) -> DataFrame:
     """Cells whose shape's centroid is inside the tissue; a cell without a shape is outside.
 
-    ``shapes``: (shape_id, x, y); ``transform``: the six numbers of an affine for the polygons.
+    ``shapes``: (shape_id, x, y); ``transform``: the six numbers of an affine for the polygons. Samples
+    keep apart where all three tables, or two of them, have ``sample_id``.
     """
     polys = polygons if transform is None else polygons.withColumn("rings", G.affine(F.col("rings"), *transform))
-    kept = inside(shapes, polys, grid).select(canonical_id("shape_id").alias("__id"))
-    return cells.join(kept, canonical_id(F.col(cell_id)) == F.col("__id"), "left_semi")
+    kept = inside(shapes, polys, grid, common_keys(shapes, polys))
+    return presence(cells, kept, cell_id, "shape_id")
+
+
+def tissue_counts(cells: DataFrame, shapes: DataFrame, polygons: DataFrame, cell_id: str = "cell_id", transform: tuple[float, ...] | None = None, grid: float = 256.0) -> DataFrame:
+    """(n_in, n_kept, outside_tissue), also where no cell is outside."""
+    polys = polygons if transform is None else polygons.withColumn("rings", G.affine(F.col("rings"), *transform))
+    kept = inside(shapes, polys, grid, common_keys(shapes, polys))
+    return presence_counts(cells, kept, cell_id, "shape_id").withColumnRenamed("no_nucleus", "outside_tissue")
 
 
 def box_candidates(a: DataFrame, b: DataFrame, grid: float = 64.0, on: list[str] | None = None) -> DataFrame:
@@ -77,17 +90,20 @@ def max_iou(cells: DataFrame, others: DataFrame, id_col: str = "cell_id", grid:
 
 def overlap_filter(cells: DataFrame, xen: DataFrame, he: DataFrame, threshold: float = 0.5, id_col: str = "cell_id", grid: float = 64.0) -> DataFrame:
     """Cells whose nucleus overlaps one of the other layer by the threshold; without candidates a cell goes."""
-    best = max_iou(xen, he, id_col, grid).filter(F.col("max_iou") >= threshold)
-    return cells.join(best.select(canonical_id(id_col).alias("__id")), canonical_id(F.col(id_col)) == F.col("__id"), "left_semi")
+    best = max_iou(xen, he, id_col, grid, common_keys(xen, he)).filter(F.col("max_iou") >= threshold)
+    return presence(cells, best, id_col, id_col)
 
 
 def overlap_counts(cells: DataFrame, xen: DataFrame, he: DataFrame, threshold: float = 0.5, id_col: str = "cell_id", grid: float = 64.0) -> DataFrame:
     """(n_in, n_kept, no_nucleus, low_overlap) in one pass over the cells."""
-    ids = xen.select(canonical_id(id_col).alias("__x")).distinct()
-    best = max_iou(xen, he, id_col, grid).select(canonical_id(id_col).alias("__b"), "max_iou")
-    marked = cells.join(ids, canonical_id(F.col(id_col)) == F.col("__x"), "left").join(best, canonical_id(F.col(id_col)) == F.col("__b"), "left")
-    ok = F.coalesce(F.col("max_iou") >= threshold, F.lit(False))
-    return marked.agg(F.count("*").alias("n_in"), F.count_if(ok).alias("n_kept"), F.count_if(F.col("__x").isNull()).alias("no_nucleus"), F.count_if(F.col("__x").isNotNull() & ~ok).alias("low_overlap"))
+    on, pair = common_keys(cells, xen), common_keys(xen, he)
+    named = lambda d, flag: d.select(canonical_id(id_col).alias("__id"), *(F.col(c).alias(f"__{c}") for c in on), flag)
+    ids = named(xen, F.lit(0.0).alias("iou"))
+    best = named(max_iou(xen, he, id_col, grid, pair), F.col("max_iou").alias("iou"))
+    known = ids.unionByName(best).groupBy("__id", *(f"__{c}" for c in on)).agg(F.max("iou").alias("__iou"))
+    marked = cells.join(known, reduce(Column.__and__, [canonical_id(F.col(id_col)) == F.col("__id"), *(F.col(c) == F.col(f"__{c}") for c in on)]), "left")
+    has, ok = F.col("__iou").isNotNull(), F.coalesce(F.col("__iou") >= threshold, F.lit(False))
+    return marked.agg(F.count("*").alias("n_in"), F.count_if(ok).alias("n_kept"), F.count_if(~has).alias("no_nucleus"), F.count_if(has & ~ok).alias("low_overlap"))
 
 
 def moran_i(points: DataFrame, value: str, radius: float) -> DataFrame:
