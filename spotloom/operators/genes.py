@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources import store
+
 
 def common(genes: DataFrame) -> DataFrame:
     """(gene) present in every sample of (sample, gene, pos)."""
@@ -76,13 +78,12 @@ def panel_sha256(panel: list[str]) -> str:
 
 def write_panel(folder: str | Path, panel: list[str]) -> None:
     """gene_panel.json and gene_panel.sha256."""
-    Path(folder).mkdir(parents=True, exist_ok=True)
-    (Path(folder) / "gene_panel.json").write_text(json.dumps(list(panel)))
-    (Path(folder) / "gene_panel.sha256").write_text(panel_sha256(panel))
+    store.write_text(f"{folder}/gene_panel.json", json.dumps(list(panel)))
+    store.write_text(f"{folder}/gene_panel.sha256", panel_sha256(panel))
 
 
 def read_panel(path: str | Path) -> list[str]:
-    return json.loads(Path(path).read_text())
+    return store.read_json(path)
 
 
 def slice_genes(entries: DataFrame, panel: DataFrame) -> DataFrame:

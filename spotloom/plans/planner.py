@@ -6,6 +6,7 @@ import argparse
 import re
 import shlex
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ STAGES = {
     "nucleus_presence": ("nucleus", ("with nucleus boundaries", "has nucleus", "only cells with nucleus", "nucleus boundar", "nucleus presence")),
     "xenium_he_nucleus_overlap": ("he", ("xenium nucleus.*he nucleus", "he nucleus", "nucleus overlap", r"overlap\s*>")),
 }
+# The words and patterns of arguments, the states and the task types: fixed values, too.
 LEVEL_WORDS = ("optim_ops_level", "ops_level", "optimized ops level", "full_ops_level")
 BUNDLE_WORDS = ("bundle", "webdataset", "bundled wds", "--bundle-wds")
 NUMBERS = {
@@ -27,7 +29,14 @@ NUMBERS = {
     "patch_size": (int, (r"patch\s+size[=\s]+(\d+)",)),
 }
 SAMPLES = r"[Pp]rocess\s+(\w+(?:,\w+)+)"
-STATUSES = ("training_ready", "split_pending", "validation_failed", "compiled_only", "not_compiled")
+TASK_TYPES = {
+    "he2st": ("he2st", "he → gene expression", "spatial transcriptomics prediction"),
+    "celltype": ("cell type", "celltype classification"),
+    "contrastive": ("contrastive", "self-supervised"),
+    "multimodal_pretraining": ("multimodal pretraining", "foundation model"),
+    "spatial_neighbor": ("spatial neighbor", "neighborhood graph"),
+}
+STATUSES = ("training_ready", "split_pending", "compile_only", "patch_compiled_only", "validation_failed")
 
 
 @dataclass(frozen=True)
@@ -75,16 +84,32 @@ def parse(text: str, table_key: str = "table", shapes_key: str = "cell_circles",
     return plan
 
 
-def render(plan: Plan, samples: list[str], root: str) -> list[str]:
-    """The steps of a plan as commands of this library, one to a line; all samples are one job."""
-    quoted = " ".join(map(shlex.quote, samples))
-    steps = [f"inspect --root {shlex.quote(root)} --samples {quoted}"]
+def task_type(text: str) -> str | None:
+    """The task that a request names, None if it names none."""
+    low = text.lower()
+    return next((t for t, phrases in TASK_TYPES.items() if any(p in low for p in phrases)), None)
+
+
+def task_type_column(text: Column) -> Column:
+    """The same over a column of requests."""
+    low, out = F.lower(text), F.lit(None).cast("string")
+    for name, phrases in reversed(TASK_TYPES.items()):
+        out = F.when(reduce(Column.__or__, [low.contains(p) for p in phrases]), name).otherwise(out)
+    return out
+
+
+def render(plan: Plan, samples: list[str], root: str, output: str = "out") -> list[str]:
+    """The steps of a plan as what follows ``python -m spotloom``, one to a line; all samples are one job."""
+    at = f"--root {shlex.quote(root)} --samples {' '.join(map(shlex.quote, samples))}"
+    steps = [f"inspect {at}"]
     for s in plan.stages:
         extra = f" --tissue-key {shlex.quote(plan.tissue_key)}" if s.name == "tissue_inside" else ""
-        steps.append(f"filter {s.name} --root {shlex.quote(root)} --samples {quoted} --in {s.input_key} --out {s.output_key}{extra}")
+        steps.append(f"filter {s.name} {at} --in {s.input_key} --out {s.output_key}{extra}")
     flags = "".join(f" --{k.replace('_', '-')} {v}" for k, v in plan.extract.items() if k != "shapes_key")
-    steps.append(f"extract --root {shlex.quote(root)} --samples {quoted}{flags}")
-    steps.append(f"compile --root {shlex.quote(root)}" + (f" --samples {' '.join(plan.compile['samples'])}" if "samples" in plan.compile else "") + " --bundle" * bool(plan.compile.get("bundle")))
+    out = shlex.quote(output)
+    steps.append(f"extract {at} --output {out}{flags}")
+    some = f" --samples {' '.join(plan.compile['samples'])}" if "samples" in plan.compile else ""
+    steps.append(f"compile --root {out} --output {shlex.quote(output + '/compiled')}{some}" + " --bundle" * bool(plan.compile.get("bundle")))
     return steps
 
 
@@ -116,13 +141,13 @@ def plan_requests(requests: DataFrame, text: str = "request") -> DataFrame:
     return requests.withColumns({**flags, **args}).withColumn("final_table_key", key)
 
 
-def ready_status(compiled: bool, valid: bool = True, has_split: bool = False, deferred: bool = False) -> str:
+def ready_status(compiled: bool, valid: bool = True, has_split: bool = False, deferred: bool = False, extracted: bool = False) -> str:
     """Whether a dataset can be trained on."""
-    if not compiled:
-        return "not_compiled"
     if not valid:
         return "validation_failed"
-    return "training_ready" if has_split else "split_pending" if deferred else "compiled_only"
+    if not compiled:
+        return "patch_compiled_only" if extracted else "not_compiled"
+    return "training_ready" if has_split else "split_pending" if deferred else "compile_only"
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -131,7 +156,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--root", required=True)
     p.add_argument("--output", required=True)
     p.add_argument("--samples", nargs="*")
-    for name, default in (("image-key", "he_image"), ("shapes-key", "cell_circles"), ("table-key", "table"), ("tissue-key", "auto"), ("cell-key", "auto"), ("nucleus-key", "auto")):
+    for name, default in (("image-key", "he_image"), ("shapes-key", "cell_circles"), ("table-key", "table"), ("tissue-key", "auto"), ("cell-key", "auto"), ("nucleus-key", "auto"), ("cell-id-column", "cell_id"), ("filter-report-name", "filter_report.json")):
         p.add_argument(f"--{name}", default=default)
     p.add_argument("--patch-size", type=int, default=224)
     p.add_argument("--mpp", type=float, default=0.5)

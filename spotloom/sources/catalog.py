@@ -10,8 +10,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import store
+
 KINDS = ("tables", "shapes", "images")
-CATALOG = "kind string, key string, n_rows bigint, n_cols bigint"
+CATALOG = "kind string, key string, n_rows bigint, n_cols bigint, height bigint, width bigint, n_levels bigint"
 
 
 def list_dir(spark: SparkSession, path: str) -> list[str]:
@@ -30,6 +32,25 @@ def discover_samples(spark: SparkSession, root: str, needs: tuple[str, ...] = ("
     return found
 
 
+def find_samples(spark: SparkSession, pattern: str, allowed: list[str] | None = None) -> list[str]:
+    """Sorted paths of samples that match a pattern, perhaps of some names only; none is an error."""
+    found = [p for p in store.glob(pattern) if allowed is None or sample_name(p) in allowed]
+    if not found:
+        raise ValueError(f"no samples match {pattern!r}" + (f" and {allowed}" if allowed else ""))
+    return found
+
+
+def sample_name(path: str) -> str:
+    """The last part of a path without its suffix."""
+    last = path.rstrip("/").rsplit("/", 1)[-1]
+    return last.rsplit(".", 1)[0] if "." in last[1:] else last
+
+
+def elements(spark: SparkSession, root: str, samples: list[str], kind: str, key: str) -> DataFrame:
+    """One element of many samples, with their ``sample_id``."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [element(spark, root, s, kind, key) for s in samples])
+
+
 def element(spark: SparkSession, root: str, sample: str, kind: str, key: str) -> DataFrame:
     """One element of a sample; an unknown key is an error that lists the known ones."""
     if kind not in KINDS:
@@ -61,6 +82,13 @@ def describe(elements: dict[tuple[str, str], DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def describe_image(image: DataFrame, key: str) -> DataFrame:
+    """(kind, key, n_rows, n_cols, height, width, n_levels) of an image's table of levels (level, height, width, ...)."""
+    full = F.min_by(F.struct("height", "width"), "level")
+    got = image.agg(F.count("*").alias("n_rows"), full.alias("full"), F.countDistinct("level").alias("n_levels"))
+    return got.select(F.lit("images").alias("kind"), F.lit(key).alias("key"), "n_rows", F.lit(len(image.columns)).cast("bigint").alias("n_cols"), F.col("full.height").cast("bigint").alias("height"), F.col("full.width").cast("bigint").alias("width"), "n_levels")
+
+
 def inspect(spark: SparkSession, root: str, sample: str) -> DataFrame:
     """What a sample holds; an element that can't be read has a key alone."""
     parts = []
@@ -68,10 +96,12 @@ def inspect(spark: SparkSession, root: str, sample: str) -> DataFrame:
         for name in list_dir(spark, f"{root}/{sample}/{kind}"):
             key = name.removesuffix(".parquet")
             try:
-                parts.append(describe({(kind, key): spark.read.parquet(f"{root}/{sample}/{kind}/{name}")}))
+                rows = spark.read.parquet(f"{root}/{sample}/{kind}/{name}")
+                sized = kind == "images" and {"level", "height", "width"} <= set(rows.columns)
+                parts.append(describe_image(rows, key) if sized else describe({(kind, key): rows}))
             except Exception:  # noqa: BLE001  the listing goes on
-                parts.append(spark.createDataFrame([(kind, key, None, None)], CATALOG))
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], CATALOG)
+                parts.append(spark.createDataFrame([(kind, key) + (None,) * 5], CATALOG))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spark.createDataFrame([], CATALOG), *parts]) if parts else spark.createDataFrame([], CATALOG)
 
 
 # Candidate keys for overlays, in the order in which they are tried: fixed values.

@@ -62,10 +62,11 @@ def unpack_sparse(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def build_shards(cells: DataFrame, key: str = "sample_key", index: str = "sample_index", meta: tuple[str, ...] = ("sample_index", "sample_key", "sample_id", "cell_id")) -> DataFrame:
     """(sample_id, shard_path, content, cidx, n_cells) from cells with a shard_path and image bytes.
 
-    Columns ``indices`` and ``values``, if there are any, add an .expr.npz to each cell.
+    Columns ``indices`` and ``values``, if there are any, add an .expr.npz to each cell, and a column
+    ``class_idx`` a .cls.
     """
-    bundle = {"indices", "values"} <= set(cells.columns)
-    names = [*dict.fromkeys(("sample_id", "shard_path", key, index, "image", *meta, *(("indices", "values") if bundle else ())))]
+    bundle, classed = {"indices", "values"} <= set(cells.columns), "class_idx" in cells.columns
+    names = [*dict.fromkeys(("sample_id", "shard_path", key, index, "image", *meta, *(("indices", "values") if bundle else ()), *(("class_idx",) if classed else ())))]
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(index)
@@ -74,6 +75,8 @@ def build_shards(cells: DataFrame, key: str = "sample_key", index: str = "sample
             members.append((f"{row[key]}.jpg", bytes(row["image"])))
             if bundle:
                 members.append((f"{row[key]}.expr.npz", pack_sparse(row["indices"], row["values"])))
+            if classed:
+                members.append((f"{row[key]}.cls", class_payload(row["class_idx"])))
             members.append((f"{row[key]}.json", json.dumps({c: row[c] for c in meta}, default=str).encode()))
         content, at = _tar(members)
         records = [(int(i), *at[f"{k}.jpg"], *at[f"{k}.json"]) for i, k in zip(group[index], group[key], strict=True)]
@@ -106,6 +109,89 @@ def members(shards: DataFrame) -> DataFrame:
     return shards.select("sample_id", "shard_path", "content").mapInPandas(read, "sample_id string, shard_path string, key string, ext string, payload binary")
 
 
+def payloads(rows: DataFrame, built: DataFrame, key: str = "sample_key", ext: str = "jpg", strict: bool = True) -> DataFrame:
+    """Rows (sample_id, shard_path, key) with their member's bytes; a row whose shard lacks the member is an error.
+
+    Without ``strict`` such a row has no bytes.
+    """
+    own = members(built).filter(F.col("ext") == ext).select("sample_id", "shard_path", F.col("key").alias(key), "payload")
+    on = ["sample_id", "shard_path", key]
+    if strict and (lost := [tuple(r) for r in rows.join(own, on, "left_anti").select("shard_path", key).limit(3).collect()]):
+        raise KeyError(f"shards lack members, such as {lost}")
+    return rows.join(own, on, "left")
+
+
+def read_range(places: DataFrame, folder: str) -> DataFrame:
+    """Places (sample_id, shard_path, tar_offset, jpg_size) with their bytes, read from shards under a folder.
+
+    Rows are dealt and sorted by shard, so that a task opens each of its shards once and reads forwards.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        at, handle = None, None
+        for b in batches:
+            got = []
+            for s, p, o, n in zip(b["sample_id"], b["shard_path"], b["tar_offset"], b["jpg_size"], strict=True):
+                if at != (s, p):
+                    if handle is not None:
+                        handle.close()
+                    at, handle = (s, p), store.open_input_file(f"{base}/{s}/{p}")
+                handle.seek(int(o))
+                got.append(handle.read(int(n)))
+            yield b.assign(payload=got)
+        if handle is not None:
+            handle.close()
+
+    dealt = places.repartition("sample_id", "shard_path").sortWithinPartitions("sample_id", "shard_path", "tar_offset")
+    return dealt.mapInPandas(read, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in places.schema) + ", payload binary")
+
+
+def class_payload(index) -> bytes:
+    """A class as four bytes, the least first."""
+    return struct.pack("<i", int(index))
+
+
+def jpeg_size(data: bytes | None) -> tuple[int, int] | None:
+    """(width, height) from a JPEG's frame header, None if it has none; needs no codec."""
+    if not data or data[:2] != b"\xff\xd8":
+        return None
+    at = 2
+    while at + 9 <= len(data) and data[at] == 0xFF:
+        mark, size = data[at + 1], int.from_bytes(data[at + 2 : at + 4], "big")
+        if 0xC0 <= mark <= 0xCF and mark not in (0xC4, 0xC8, 0xCC):
+            return int.from_bytes(data[at + 7 : at + 9], "big"), int.from_bytes(data[at + 5 : at + 7], "big")
+        at += 2 + size
+    return None
+
+
+def samples_of(built: DataFrame, decoders: dict, batch: int = 32, worker: int = 0, workers: int = 1) -> Iterator[list[dict]]:
+    """Batches of decoded cells for a training loop: one worker's share of the shards, streamed.
+
+    ``decoders``: a function for each extension; members without one stay bytes.
+    """
+    mine = built.filter(F.pmod(F.xxhash64("sample_id", "shard_path"), F.lit(workers)) == worker)
+    held: list[dict] = []
+    cell: dict = {}
+    for row in members(mine).toLocalIterator():
+        name = (row["sample_id"], row["shard_path"], row["key"])
+        if cell and cell["__key__"] != name:
+            held.append(cell)
+            cell = {}
+            if len(held) == batch:
+                yield held
+                held = []
+        cell.setdefault("__key__", name)
+        data = bytes(row["payload"])
+        cell[row["ext"]] = decoders[row["ext"]](data) if row["ext"] in decoders else data
+    if cell:
+        held.append(cell)
+    if held:
+        yield held
+
+
 def byte_range(shards: DataFrame, places: DataFrame) -> DataFrame:
     """Places (sample_id, shard_path, tar_offset, jpg_size) with their bytes; one shard is opened once for all its places."""
     return places.join(shards.select("sample_id", "shard_path", "content"), ["sample_id", "shard_path"]).withColumn("payload", F.expr("substring(content, cast(tar_offset + 1 as int), cast(jpg_size as int))")).drop("content")

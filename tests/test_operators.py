@@ -263,7 +263,7 @@ def test_holdout(spark):
     m = small_manifest(spark)
     out = splits.split_membership(m, "sample_holdout", "t", train=["A", "B"], val=["C"])
     assert splits.validate(out, m) == []
-    assert splits.summarize(out, "t")["cells_by_split"] == {"train": 4, "val": 2}
+    assert splits.summarize(out, "t")["counts_by_split"] == {"train": 4, "val": 2}
     for bad in ({"train": ["A", "A"], "val": ["B", "C"]}, {"train": ["A"]}, {"train": ["A", "B", "C", "D"]}, {"train": ["A", "B", "C"], "val": None}):
         with pytest.raises(ValueError):
             splits.split_membership(m, "sample_holdout", "t", **bad)
@@ -328,7 +328,7 @@ def test_split_files(spark, tmp_path):
     out = splits.split_membership(small_manifest(spark), "sample_holdout", "t", train=["A", "B"], val=["C"])
     paths = splits.write_split(out, str(tmp_path), "t", "p")
     assert [r.global_idx for r in spark.read.json(paths["val"]).collect()] == [4, 5]
-    assert json.loads(open(paths["report"]).read())["n_cells"] == 6
+    assert json.loads(open(paths["report"]).read())["n_cells_total"] == 6
 
 
 # Shards.
