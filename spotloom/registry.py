@@ -566,16 +566,6 @@ def q_kfold_fold(spark, sf):
     return splits.group_kfold(_manifest(spark, sf), TASK, "sample_id", fold=2)
 
 
-@query()
-def q_ratio_numpy(spark, sf):
-    return splits.ratio_by_group(_manifest(spark, sf), TASK, "sample_id", ordering="numpy")
-
-
-@query()
-def q_kfold_numpy(spark, sf):
-    return splits.group_kfold(_manifest(spark, sf), TASK, "sample_id", ordering="numpy")
-
-
 GIVEN = "(SELECT sample_id, CASE WHEN sample_id < 'src15' THEN 'train' ELSE 'test' END AS split, global_idx FROM manifest_v)"
 
 
@@ -843,3 +833,6 @@ def q_cidx(spark, sf):
     rows, built = _shards(spark, sf)
     got = shards.byte_range(built, shards.offsets(built)).select("sample_index", "jpg_size", F.sha2("payload", 256).alias("payload_sha256"))
     return rows.join(got, "sample_index").select("cell_id", "payload_sha256", "jpg_size")
+
+
+from . import registry_samples as _samples  # noqa: E402, F401  registers the queries over written samples
