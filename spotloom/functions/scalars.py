@@ -42,11 +42,13 @@ def tile_key(sx: Column, sy: Column, block: int = 4096) -> Column:
 
 def padded(i: Column, width: int) -> Column:
     """Zero-padded decimal; longer numbers keep all digits."""
-    return F.format_string(f"%0{width}d", i)
+    text = i.cast("bigint").cast("string")
+    # Formatting costs many times what padding does.
+    return F.when(i < 0, F.format_string(f"%0{width}d", i)).when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 def shard_name(number: Column) -> Column:
-    return F.format_string("shard-%06d.tar", number)
+    return F.concat(F.lit("shard-"), padded(number, 6), F.lit(".tar"))
 
 
 def sample_id_of(path: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import padded, shard_name
+from ..session import small
 
 #: Rows, about, of the blocks that are numbered by themselves.
 BLOCK = 1 << 16
@@ -33,11 +34,11 @@ def dense_index(rows: DataFrame, sample: str, order: str, name: str = "global_id
     at = F.col(order).cast("bigint")
     span = rows.groupBy(F.col(sample).alias("__t")).agg(F.min(at).alias("__low"), F.max(at).alias("__high"), F.count("*").alias("__m"))
     span = span.select("__t", "__low", F.greatest(F.lit(1), F.ceil((F.col("__high") - F.col("__low") + 1) / F.ceil(F.col("__m") / block))).cast("bigint").alias("__width"))
-    marked = rows.join(span, F.col(sample).eqNullSafe(F.col("__t")))
+    marked = rows.join(small(span), F.col(sample).eqNullSafe(F.col("__t")))
     marked = marked.withColumn("__block", F.floor((at - F.col("__low")) / F.col("__width")).cast("bigint")).drop("__t", "__low", "__width")
     sizes = marked.groupBy(F.col(sample).alias("__s"), F.col("__block").alias("__b")).agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__s", "__b").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("__s", "__b", F.coalesce(before, F.lit(0)).alias("__before"))
+    offsets = small(sizes.select("__s", "__b", F.coalesce(before, F.lit(0)).alias("__before")))
     within = F.row_number().over(Window.partitionBy(sample, "__block").orderBy(order)) - 1
     numbered = marked.withColumn("__rank", within)
     joined = numbered.join(offsets, numbered[sample].eqNullSafe(offsets["__s"]) & numbered["__block"].eqNullSafe(offsets["__b"]))
@@ -52,7 +53,7 @@ def spatial_order(cells: DataFrame, sort_key: str, position: str, sample: str |
     by = [sample] if sample else []
     sizes = cells.groupBy(*(F.col(c).alias(f"__{c}") for c in by), F.col(sort_key).alias("__key")).agg(F.count("*").alias("__n"))
     up = Window.partitionBy(*(f"__{c}" for c in by)).orderBy("__key").rowsBetween(Window.unboundedPreceding, -1)  # one row for each tile
-    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(up), F.lit(0))).drop("__n")
+    offsets = small(sizes.withColumn("__before", F.coalesce(F.sum("__n").over(up), F.lit(0))).drop("__n"))
     within = F.row_number().over(Window.partitionBy(*by, sort_key).orderBy(position)) - 1
     keys = [F.col(sort_key).eqNullSafe(F.col("__key")), *(F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by)]
     ranked = cells.withColumn("__rank", within).join(offsets, reduce(Column.__and__, keys))
@@ -67,7 +68,7 @@ def hashed_ranks(keys: DataFrame, key: Column, *ties: str, name: str = "rank", d
     total = F.sum("__n").over(Window.partitionBy(F.lit(0)))
     offsets = sizes.select("__b", F.coalesce(before, F.lit(0)).alias("__before"), total.alias("__total"))
     within = F.row_number().over(Window.partitionBy("__head").orderBy("__h", *ties)) - 1
-    ranked = marked.withColumn("__rank", within).join(offsets, F.col("__head") == F.col("__b"))
+    ranked = marked.withColumn("__rank", within).join(F.broadcast(offsets), F.col("__head") == F.col("__b"))
     return ranked.select(*keys.columns, (F.col("__before") + F.col("__rank")).cast("int").alias(name), F.col("__total").cast("int").alias("n"))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,17 +171,14 @@ def compile_dataset(manifests: list[DataFrame], entries: DataFrame, gene_lists:
     return rows, full, panel
 
 
-def union_expressions(parts: list[DataFrame], panels: list[list[str]]) -> DataFrame:
-    """(sample_id, expr_row, gene, value) of many samples' sparse rows, each over its own list of genes.
+def named_entries(expression: DataFrame, lists: DataFrame) -> DataFrame:
+    """(sample_id, expr_row, gene, value) of all samples' sparse rows, each over its own list of genes.
 
-    ``parts``: (sample_id, expr_row, indices, values); only genes that several samples name alike meet later.
+    ``expression``: (sample_id, expr_row, indices, values); ``lists``: (sample_id, idx, gene).
     """
-    out = []
-    for rows, panel in zip(parts, panels, strict=True):
-        genes_ = F.lit(list(panel))
-        each = rows.select("sample_id", "expr_row", F.explode(F.arrays_zip("indices", "values")).alias("e"))
-        out.append(each.select("sample_id", "expr_row", F.element_at(genes_, F.col("e.indices") + 1).alias("gene"), F.col("e.values").alias("value")))
-    return reduce(DataFrame.unionByName, out)
+    each = expression.select("sample_id", "expr_row", F.explode(F.arrays_zip("indices", "values")).alias("e"))
+    each = each.select("sample_id", "expr_row", F.col("e.indices").cast("bigint").alias("idx"), F.col("e.values").alias("value"))
+    return each.join(lists, ["sample_id", "idx"]).select("sample_id", "expr_row", "gene", "value")
 
 
 def bundle(rows: DataFrame, expression: DataFrame, source: DataFrame, panel: list[str], size: int = manifest.SHARD) -> tuple[DataFrame, DataFrame]:
@@ -236,9 +232,11 @@ def compile_folder(spark: SparkSession, folder: str, output: str, *, samples: li
     began = time.perf_counter()
     names = filters.pick_samples(catalog.discover_samples(spark, folder, skip=("compiled",)), samples)
     lists = {s: (panels or {}).get(s) or store.read_json(f"{folder}/{s}/genes.json") for s in names}
-    manifests = [spark.read.parquet(f"{folder}/{s}/manifest.parquet") for s in names]
-    entries = union_expressions([spark.read.parquet(f"{folder}/{s}/expression.parquet") for s in names], [lists[s] for s in names])
-    listed = spark.createDataFrame([(k, g, i) for k, s in enumerate(names) for i, g in enumerate(lists[s])], "sample int, gene string, pos bigint")
+    # One scan of all samples' files: a union of as many plans would cost more than the rows.
+    scan = lambda name: spark.read.option("mergeSchema", "true").parquet(*(f"{folder}/{s}/{name}.parquet" for s in names))
+    manifests = [scan("manifest")]
+    listed = spark.createDataFrame([(s, k, g, i) for k, s in enumerate(names) for i, g in enumerate(lists[s])], "sample_id string, sample int, gene string, pos bigint")
+    entries = named_entries(scan("expression"), listed.select("sample_id", F.col("pos").alias("idx"), "gene"))
     rows, expression, panel = compile_dataset(manifests, entries, listed, policy=policy, explicit=explicit)
     return write_compiled(cut(rows), expression, panel, output, policy=policy, began=began, source=source)
 

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings that only matter when this library starts the session itself.
 DEFAULTS = {
@@ -34,6 +35,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows up to which a table of counts is held by the driver and broadcast: some megabytes.
+SMALL = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """A table to be joined to a large one: if it has few rows, a copy of them that is broadcast; else itself."""
+    got = df.limit(rows + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(got, df.schema)) if len(got) <= rows else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage.
 
