@@ -199,11 +199,13 @@ def q_filter_report_full(spark, sf):
 )
 def q_filter_stages(spark, sf):
     """Two stages, each on the table that the one before wrote, as their reports tell."""
-    root, folder, out = _root(spark, sf), scratch(spark, "reports"), []
+    root, copy, folder, out = _root(spark, sf), scratch(spark, "stages"), scratch(spark, "reports"), []
     for s in ("s1", "s2"):
+        for kind, key in (("tables", "table"), ("shapes", "cell_circles"), ("shapes", "tissue"), ("shapes", "nucleus_boundaries")):
+            catalog.write_element(catalog.element(spark, f"{root}/in", s, kind, key).drop("sample_id"), copy, s, kind, key)
         key = "table"
         for stage in pipelines.STAGES[:2]:
-            r = pipelines.run_stage(spark, f"{root}/in", s, stage, key, report_dir=f"{folder}/{s}")
+            r = pipelines.run_stage(spark, copy, s, stage, key, report_dir=f"{folder}/{s}")
             told = store.read_json(f"{folder}/{s}/{stage}_{key}.json")
             key = r.output_table_key
             (reason, n), *_ = told["drop_counts_by_reason"].items()
