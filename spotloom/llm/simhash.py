@@ -283,7 +283,8 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
 
     def stars(members: DataFrame, key: str) -> DataFrame:
         """(a, b): every member with the smallest of its key, if that is in another component."""
-        hub = members.groupBy(key).agg(F.min("t").alias("a"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select(key, "a")
+        hub = members.groupBy(key).agg(F.min("t").alias("a"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+        hub = cut(hub.select(key, "a"))  # cut, so that the join reads two plain shuffles, whose hot partitions can be split
         pairs = members.select(key, F.col("t").alias("b"), F.col("root").alias("v")).join(hub, key).filter("a <> b")
         root = members.select(F.col("t").alias("a"), F.col("root").alias("u")).distinct()
         return pairs.join(root, "a").filter("u <> v").select("a", "b")
@@ -305,7 +306,7 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
 def _rest(members: DataFrame) -> DataFrame:
     """(a, b) of all members of a key in different components, in groups of two blocks each."""
     several = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi and n > 2")
-    dealt = members.join(several.select("key", F.ceil(F.col("n") / GROUP).cast("int").alias("m")), "key")
+    dealt = members.join(cut(several.select("key", F.ceil(F.col("n") / GROUP).cast("int").alias("m"))), "key")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("t"), "m").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.struct("t", "root", "own").alias("one"))
     each = dealt.repartition("key", "i", "j").groupBy("key", "i", "j").agg(F.collect_list("one").alias("all"))
