@@ -85,6 +85,21 @@ def ratio_by_group(manifest: DataFrame, task: str, group: str, ratios: tuple[flo
     return _stamp(out, task, "ratio_by_group", "group", seed=F.lit(seed))
 
 
+def hash_split(group: Column, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), seed: int = 42) -> Column:
+    """train, val or test by a keyed hash of a group alone, whatever other groups there are or come later."""
+    at = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), group.cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return F.when(at < int(ratios[0] * 2**32), "train").when(at < int((ratios[0] + ratios[1]) * 2**32), "val").otherwise("test")
+
+
+def hash_by_group(rows: DataFrame, task: str, group: str, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), seed: int = 42) -> DataFrame:
+    """The rows with a split that never changes as groups are added; ratios are met on average, not counted."""
+    if len(ratios) != 3 or abs(sum(ratios) - 1) > 1e-6:
+        raise ValueError("ratios are three numbers that sum to 1")
+    if group not in rows.columns:
+        raise ValueError(f"group column {group!r} not in the manifest")
+    return _stamp(rows.withColumn("split", hash_split(F.col(group), ratios, seed)), task, "hash_by_group", "group", seed=F.lit(seed))
+
+
 def group_kfold(manifest: DataFrame, task: str, group: str, n_folds: int = 5, fold: int | None = None, seed: int = 42, ordering: str = "md5") -> DataFrame:
     """Folds dealt in turn over a seeded order of groups; one fold may be held as val."""
     if n_folds < 2:
