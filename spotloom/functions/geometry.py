@@ -6,6 +6,8 @@ the first around it and the others its holes.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -38,20 +40,55 @@ def edges(polygon: Column) -> Column:
     return F.flatten(F.transform(polygon, ring_edges))
 
 
+def _crosses(e: Column, x: Column, y: Column) -> Column:
+    """Whether a side crosses the ray from a point to the right, just above the point's height."""
+    (px, py), (qx, qy) = (e["p"]["x"], e["p"]["y"]), (e["q"]["x"], e["q"]["y"])
+    return F.coalesce(((py > y) != (qy > y)) & (x < (qx - px) * (y - py) / F.when(qy == py, F.lit(None)).otherwise(qy - py) + px), F.lit(False))
+
+
+def _on(e: Column, x: Column, y: Column) -> Column:
+    """Whether a point is on a side."""
+    (px, py), (qx, qy) = (e["p"]["x"], e["p"]["y"]), (e["q"]["x"], e["q"]["y"])
+    line = (qx - px) * (y - py) - (qy - py) * (x - px) == 0
+    return line & (x >= F.least(px, qx)) & (x <= F.greatest(px, qx)) & (y >= F.least(py, qy)) & (y <= F.greatest(py, qy))
+
+
+def touches(sides: Column, x: Column, y: Column) -> Column:
+    """Whether a point is on any side."""
+    return F.exists(sides, lambda e: _on(e, x, y))
+
+
 def contains(sides: Column, x: Column, y: Column) -> Column:
     """Whether a point is strictly inside: even-odd crossings, and not on a side."""
+    odd = F.size(F.filter(sides, lambda e: _crosses(e, x, y))) % 2 == 1
+    return odd & ~touches(sides, x, y)
 
-    def crosses(e: Column) -> Column:
-        (px, py), (qx, qy) = (e["p"]["x"], e["p"]["y"]), (e["q"]["x"], e["q"]["y"])
-        return ((py > y) != (qy > y)) & (x < (qx - px) * (y - py) / F.when(qy == py, F.lit(None)).otherwise(qy - py) + px)
 
-    def on(e: Column) -> Column:
-        (px, py), (qx, qy) = (e["p"]["x"], e["p"]["y"]), (e["q"]["x"], e["q"]["y"])
-        line = (qx - px) * (y - py) - (qy - py) * (x - px) == 0
-        return line & (x >= F.least(px, qx)) & (x <= F.greatest(px, qx)) & (y >= F.least(py, qy)) & (y <= F.greatest(py, qy))
+#: Angles nearer than this are one: sides along one line, of other lengths.
+SLIVER = 1e-9
 
-    odd = F.size(F.filter(sides, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
-    return odd & ~F.exists(sides, on)
+
+def faces(sides: Column, x: Column, y: Column) -> Column:
+    """What a polygon looks like close to a point on its outline: struct(inside, rays).
+
+    ``rays``: the angles, from 0 to a whole turn, at which its sides leave the point, and ``inside``: whether the face
+    just beyond the angle 0 is inside. Going round, each ray changes sides.
+    """
+    away = lambda c: F.when((c["x"] != x) | (c["y"] != y), F.atan2(c["y"] - y, c["x"] - x))
+    rays = F.array_compact(F.flatten(F.transform(F.filter(sides, lambda e: _on(e, x, y)), lambda e: F.array(away(e["p"]), away(e["q"])))))
+    turned = F.array_sort(F.transform(rays, lambda a: F.when(a < 0, a + 2 * math.pi).otherwise(a)))
+    # Seen from a point a little to the right and much less above, the sides that touch are all on the left.
+    odd = F.size(F.filter(sides, lambda e: ~_on(e, x, y) & _crosses(e, x, y))) % 2 == 1
+    return F.struct(odd.alias("inside"), turned.alias("rays"))
+
+
+def surrounded(around: Column) -> Column:
+    """Whether polygons that meet at a point, as ``faces`` of them, leave no gap around it: then it is inside their union."""
+    cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(2 * math.pi)), F.flatten(F.transform(around, lambda f: f["rays"])))))
+    gaps = F.filter(F.transform(cuts, lambda a, k: F.struct(a.alias("a"), F.get(cuts, k + 1).alias("b"))), lambda g: g["b"] - g["a"] > SLIVER)
+    changes = lambda f, at: F.size(F.filter(f["rays"], lambda r: (r > 0) & (r < at))) % 2 == 1
+    within = lambda f, at: f["inside"] != changes(f, at)
+    return F.forall(gaps, lambda g: F.exists(around, lambda f: within(f, (g["a"] + g["b"]) / 2)))
 
 
 def bounds(polygon: Column) -> Column:

@@ -232,6 +232,25 @@ def q_tissue_all(spark, sf):
     return spatial.inside(_points(spark, sf), _tissue(spark, sf, "tissues_v"), grid=100.0).select("cell_id")
 
 
+@query(
+    """
+    , p AS (SELECT p_partkey AS id, p_size * 20 AS x, p_partkey % 66 * 10 AS y FROM part),
+      c AS (SELECT id, x + dx AS x, y + dy AS y FROM p, (VALUES (-1, -1), (-1, 1), (1, -1), (1, 1)) AS v(dx, dy)),
+      t AS (SELECT id, EXISTS (SELECT 1 FROM seams_v s WHERE c.x > x0 AND c.x < x1 AND c.y > y0 AND c.y < y1
+                               AND NOT (hole AND c.x > x0 + 20 AND c.x < x0 + 80 AND c.y > y0 + 20 AND c.y < y0 + 40)) AS covered FROM c)
+    SELECT id FROM t GROUP BY id HAVING bool_and(covered)
+    """,
+    "seams_v",
+)
+def q_tissue_union(spark, sf):
+    """Points inside the union of boxes that touch, overlap and have holes; in SQL, those whose four quarters are all covered."""
+    x, y = F.col("x0"), F.col("y0")
+    outer, inner = G.box(x, y, F.col("x1"), F.col("y1")), G.box(x + 20, y + 20, x + 80, y + 40)
+    polygons = view(spark, sf, "seams_v").select(F.when(F.col("hole"), F.concat(outer, inner)).otherwise(outer).alias("rings"))
+    points = read_table(spark, sf, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") * 20).cast("double").alias("x"), (F.col("p_partkey") % 66 * 10).cast("double").alias("y"))
+    return spatial.inside(points, polygons, grid=100.0).select("id")
+
+
 @query(INSIDE.format("x0 * 2 + 10", "x1 * 2 + 10", "y0 * 2 - 20", "y1 * 2 - 20"), "cells_v", "tissue_v")
 def q_tissue_affine(spark, sf):
     shapes = _points(spark, sf).withColumnRenamed("cell_id", "shape_id")

@@ -22,6 +22,8 @@ VIEWS = {
 }
 #: The shapes of all suppliers: many in one place.
 VIEWS["tissues_v"] = VIEWS["tissue_v"].removesuffix(" WHERE s_suppkey <= 5")
+#: Boxes that touch along seams and at corners; some are wider and overlap the next, some have a hole.
+VIEWS["seams_v"] = "SELECT s_suppkey AS poly_id, CAST((s_suppkey % 13) * 100 AS DOUBLE) AS x0, CAST((s_suppkey * 5 % 11) * 60 AS DOUBLE) AS y0, CAST((s_suppkey % 13) * 100 + CASE WHEN s_suppkey % 5 = 0 THEN 140 ELSE 100 END AS DOUBLE) AS x1, CAST((s_suppkey * 5 % 11) * 60 + 60 AS DOUBLE) AS y1, s_suppkey % 4 = 0 AS hole FROM supplier"
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
