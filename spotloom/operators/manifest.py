@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.scalars import padded, shard_name
 from ..session import small
+from ..sources.shards import shard_key
 
 #: Rows, about, of the blocks that are numbered by themselves.
 BLOCK = 1 << 16
@@ -96,11 +97,15 @@ def with_expression(manifest: DataFrame, expression: DataFrame, on: str = "globa
     return manifest.join(expression, on)
 
 
-def remap_shards(rows: DataFrame, column: str = "shard_path") -> DataFrame:
-    """New flat names for the sorted distinct shards; one row for each shard is ranked, not each cell."""
-    paths = rows.select(F.col(column).alias("__p")).distinct()
+def remap_shards(rows: DataFrame, column: str = "shard_path", sample: str = "sample_id") -> DataFrame:
+    """New flat names for the sorted distinct shards; one row for each shard is ranked, not each cell.
+
+    A shard is named by its sample and file, so that files of one name in two samples are two shards.
+    """
+    key = shard_key(sample, column) if sample in rows.columns else F.col(column)
+    paths = rows.select(key.alias("__p")).distinct()
     new = paths.select("__p", shard_name(F.row_number().over(Window.orderBy("__p")) - 1).alias("new_path"))
-    return rows.join(new, F.col(column) == F.col("__p")).drop("__p")
+    return rows.join(new, key == F.col("__p")).drop("__p")
 
 
 def check_manifest(manifest: DataFrame) -> None:

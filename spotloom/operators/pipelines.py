@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import sparse
-from ..session import cut
+from ..session import cut, small
 from ..sources import catalog, files, shards, store, tiles
 from . import align, filters, genes, manifest, metrics, reports, spatial, splits
 
@@ -85,7 +85,7 @@ def extract_all(spark: SparkSession, root: str, output: str, samples: list[str],
         reports.write_filter_report(r, f"{output}/{r['sample_id']}", report_name)
     if read is not None:
         built = cut(shards.build_shards(tiles.read_tiles(rows, read)))
-        shards.write_shards(built, output).count()
+        shards.write_shards(built, output)
         rows = attach_offsets(rows, built)
     expression = expression_in_order(rows, cells.withColumnRenamed("pos", "row"))
     for s in todo:  # one folder for each sample, as later stages read them
@@ -201,7 +201,7 @@ def bundle(rows: DataFrame, expression: DataFrame, source: DataFrame, panel: lis
 def write_bundled(rows: DataFrame, expression: DataFrame, source: DataFrame, panel: list[str], folder: str, size: int = manifest.SHARD) -> dict:
     """Write a bundled dataset's shards and manifest; the number of shards and their bytes."""
     listed, built = bundle(rows, expression, source, panel, size)
-    written = cut(shards.write_shards(built, folder))  # the executors write while this is computed
+    written = shards.write_shards(built, folder)
     listed.write.mode("overwrite").parquet(f"{folder}/bundled_manifest.parquet")
     tars = written.filter("path LIKE '%.tar'").agg(F.count("*").alias("n"), F.sum("bytes").alias("b")).first()
     return {"n_shards": tars["n"], "bytes": tars["b"] or 0}
@@ -251,21 +251,42 @@ def load_dataset(spark: SparkSession, folder: str, samples: list[str] | None = N
     return out.withColumn("n_genes", F.lit(n))
 
 
-def package(rows: DataFrame, panel: list[str], folder: str, *, task: str, membership: DataFrame | None = None, defer_split: bool = False, source: DataFrame | None = None, reuse: str | None = None) -> dict:
+def copy_shards(names: DataFrame, source: DataFrame | str, folder: str) -> int:
+    """Copy shards under their new names to folder/shards; how many. One that the source lacks is an error, before any is copied.
+
+    ``names``: (__key, new_path); ``source``: the folder of the samples' shards, whose files the tasks copy, or
+    shards as rows (sample_id, shard_path, content, cidx).
+    """
+    spark = names.sparkSession
+    if isinstance(source, str):
+        # The listing alone is read: no content.
+        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", "true").load(source)
+        there = found.select(F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("__key"), F.col("path").alias("source"))
+    else:
+        there = source.withColumn("__key", shards.shard_key()).drop("sample_id", "shard_path")
+    if lost := [r[0] for r in names.join(there.select("__key"), "__key", "left_anti").orderBy("__key").limit(3).collect()]:
+        raise KeyError(f"the source lacks shards, such as {lost}")
+    flat = there.join(small(names), "__key").select("*", F.col("new_path").alias("shard_path"), F.lit("shards").alias("sample_id")).drop("__key", "new_path")
+    return shards.write_shards(flat, folder).filter("path LIKE '%.tar'").count()
+
+
+def package(rows: DataFrame, panel: list[str], folder: str, *, task: str, membership: DataFrame | None = None, defer_split: bool = False, source: DataFrame | str | None = None, reuse: str | None = None) -> dict:
     """A task-ready dataset: remapped shards, split files, configurations, card and validation.
 
-    ``source``: the shards (sample_id, shard_path, content, cidx), which are copied under their new flat
+    ``source``: the shards, as rows or as the folder that holds them, which are copied under their new flat
     names; ``reuse``: a compiled folder whose shards and paths are pointed to instead.
     """
     if membership is None and not defer_split:
         raise ValueError("a package needs a split, or a deferred one")
     data = f"{reuse}/*/shard-*.tar" if reuse else f"{folder}/shards/*.tar"
-    remapped = rows if reuse else manifest.remap_shards(rows)
-    remapped.write.mode("overwrite").parquet(f"{folder}/manifest.parquet")
+    n_shards = rows.select(shards.shard_key()).distinct().count()
     if source is not None and not reuse:
-        names = manifest.remap_shards(rows.select("sample_id", "shard_path").distinct())
-        flat = source.join(names, ["sample_id", "shard_path"]).drop("shard_path").withColumnRenamed("new_path", "shard_path").withColumn("sample_id", F.lit("shards"))
-        shards.write_shards(flat, folder).count()
+        names = manifest.remap_shards(rows.select("sample_id", "shard_path").distinct()).select(shards.shard_key().alias("__key"), "new_path").distinct()
+        copied = copy_shards(names, source, folder)
+        if copied != n_shards:
+            raise RuntimeError(f"{copied} of {n_shards} shards were copied")
+    remapped = rows if reuse else manifest.remap_shards(rows).withColumnsRenamed({"shard_path": "source_shard_path", "new_path": "shard_path"})
+    remapped.write.mode("overwrite").parquet(f"{folder}/manifest.parquet")
     genes.write_panel(folder, panel)
     status, split_path, level, warnings, problem = "split_pending", None, "missing", [], None
     if membership is not None:
@@ -277,7 +298,7 @@ def package(rows: DataFrame, panel: list[str], folder: str, *, task: str, member
             status, problem = "validation_failed", str(e)
     sha = genes.panel_sha256(panel)
     _write_configs(folder, task, status, data, sha, len(panel), split_path, level)
-    card = {"task": task, "training_ready_status": status, "n_cells": rows.count(), "n_genes": len(panel), "gene_panel_sha256": sha, "n_shards": rows.select("shard_path").distinct().count(), "shard_glob": data}
+    card = {"task": task, "training_ready_status": status, "n_cells": rows.count(), "n_genes": len(panel), "gene_panel_sha256": sha, "n_shards": n_shards, "shard_glob": data}
     store.write_json(f"{folder}/dataset_card.json", card)
     store.write_json(f"{folder}/validation_report.json", {"status": status, "warnings": warnings, "problem": problem})
     return card

@@ -19,7 +19,7 @@ from .operators import genes, manifest, metrics, overlays, pipelines, spatial, s
 from .plans import planner
 from .registry import ALL, BASE, FLIP, HELD, REQUESTS, SEED, STAMP, TASK, _cells, _documents, _flipped, _genes, _held, _manifest, _ordered, _shards, query
 from .session import checkpoint_dir, read_table
-from .sources import catalog, files, shards, store, tiles
+from .sources import catalog, files, shard_source, shards, store, tiles
 from .streaming import ingest
 from .views import view
 
@@ -282,7 +282,34 @@ def q_package_split(spark, sf):
     return pipelines.load_split(spark, folder, "val").select("global_idx", "sample_id", "cell_id")
 
 
-@query(PLACED + ", m AS (SELECT DISTINCT sample_id, i // 500 AS k FROM compiled) SELECT 'training_ready' AS status, 'available' AS split, 'sample' AS level, true AS needs_split, 'gene_expression' AS target, CAST(8 AS BIGINT) AS n_genes, CAST(count(DISTINCT k) AS BIGINT) AS n_shards FROM m", "cells_v")
+@query(
+    PLACED + "SELECT sample_id, i AS sample_index, 'shard-' || printf('%06d', i // 50) || '.tar' AS shard_path, cell_id, sample_id || ':' || cell_id AS image_tail FROM extracted",
+    "cells_v",
+)
+def q_shard_source(spark, sf):
+    """The cells of all samples' shards, by ranges of their index files."""
+    cells = shard_source.read_cells(spark, f"{_root(spark, sf)}/out", cells=20)
+    return cells.select("sample_id", "sample_index", "shard_path", F.get_json_object("meta", "$.cell_id").alias("cell_id"), F.expr("decode(substring(image, 16), 'UTF-8')").alias("image_tail"))
+
+
+@query(
+    PLACED + """
+    SELECT global_idx, sample_id, cell_id, 'shard-' || printf('%06d', dense_rank() OVER (ORDER BY sample_id, i // 500) - 1) || '.tar' AS shard_path, sample_id || ':' || cell_id AS image_tail FROM compiled
+    """,
+    "cells_v",
+)
+def q_package_shards(spark, sf):
+    """Every cell's image from a package of two samples, whose shards had the same names: manifest and shards are read as written."""
+    compiled, folder = f"{_root(spark, sf)}/out/compiled", scratch(spark, "package")
+    listed = spark.read.parquet(f"{compiled}/bundled_manifest.parquet").withColumn("shard_path", F.element_at(F.split("shard_path", "/"), -1))
+    pipelines.package(listed, genes.read_panel(f"{compiled}/gene_panel.json"), folder, task=TASK, defer_split=True, source=compiled)
+    inside = shard_source.read_cells(spark, folder).filter("sample_id = 'shards'")
+    cells = inside.select("shard_path", F.col("sample_index").alias("global_idx"), F.expr("decode(substring(image, 16), 'UTF-8')").alias("image_tail"))
+    rows = spark.read.parquet(f"{folder}/manifest.parquet").select("global_idx", "sample_id", "cell_id", "shard_path")
+    return rows.join(cells, ["shard_path", "global_idx"]).select("global_idx", "sample_id", "cell_id", "shard_path", "image_tail")
+
+
+@query(PLACED + ", m AS (SELECT DISTINCT sample_id, i // 500 AS k FROM compiled) SELECT 'training_ready' AS status, 'available' AS split, 'sample' AS level, true AS needs_split, 'gene_expression' AS target, CAST(8 AS BIGINT) AS n_genes, count(*) AS n_shards FROM m", "cells_v")
 def q_package_configs(spark, sf):
     root, folder = _root(spark, sf), scratch(spark, "package")
     listed = spark.read.parquet(f"{root}/out/compiled/bundled_manifest.parquet").withColumn("shard_path", F.element_at(F.split("shard_path", "/"), -1))

@@ -14,9 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shard_source, store
+
 # The index format: fixed values.
 MAGIC = b"CIDX0001"
 COUNT, RECORD = "<I", "<iQIQII"
@@ -44,7 +46,12 @@ def unpack_index(data: bytes) -> list[tuple[int, int, int, int, int]]:
     if data[:8] != MAGIC:
         raise ValueError("not an index file")
     (n,) = struct.unpack_from(COUNT, data, 8)
-    return [struct.unpack_from(RECORD, data, 12 + k * struct.calcsize(RECORD))[:5] for k in range(n)]
+    return records_of(data[12 : 12 + n * struct.calcsize(RECORD)])
+
+
+def records_of(data: bytes) -> list[tuple[int, int, int, int, int]]:
+    """The records in the bytes after an index's head."""
+    return [r[:5] for r in struct.iter_unpack(RECORD, data)]
 
 
 def pack_sparse(indices, values) -> bytes:
@@ -198,24 +205,14 @@ def byte_range(shards: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def write_shards(shards: DataFrame, folder: str) -> DataFrame:
-    """Write every shard and its index under a folder that all executors share; (path, bytes) of what was written."""
+    """Write every shard and its index under a folder that all executors share; (path, bytes) of what was committed."""
+    shard_source.write(shards, folder)
+    return shards.sparkSession.createDataFrame([tuple(x) for x in json.loads(store.read_text(f"{folder}/_SUCCESS"))], "path string, bytes bigint")
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-        for b in batches:
-            out = []
-            for s, p, c, x in zip(b["sample_id"], b["shard_path"], b["content"], b["cidx"], strict=True):
-                path = f"{base}/{s}/{p}"
-                store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                for name, data in ((path, c), (path.removesuffix(".tar") + ".idx", x)):
-                    with store.open_output_stream(name) as f:
-                        f.write(bytes(data))
-                    out.append((name, len(data)))
-            yield pd.DataFrame(out, columns=["path", "bytes"])
-
-    return shards.mapInPandas(write, "path string, bytes bigint")
+def shard_key(sample: str = "sample_id", path: str = "shard_path") -> Column:
+    """What names a shard among all samples' shards: sample and file, however its path is written."""
+    return F.when(F.col(path).contains("/"), F.col(path)).otherwise(F.concat_ws("/", sample, path))
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
