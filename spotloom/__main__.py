@@ -61,10 +61,26 @@ def filter_(argv: list[str]) -> list[dict]:
 
 
 def extract(argv: list[str]) -> dict:
-    """All samples that aren't done, in one job."""
+    """All samples that aren't done, in one job; what the figures of each would show is noted beside its report."""
     a = planner.parse_args(argv)
     spark = session()
-    return pipelines.extract_all(spark, a.root, a.output, _samples(spark, a.root, a.samples), table=a.table_key, shapes=a.shapes_key, patch=a.patch_size, mpp=a.mpp, policy=a.patch_policy, mode=a.extract_mode, shard_size=a.shard_size, n_sample=a.n_sample, seed=a.seed, report_name=a.filter_report_name)
+    names = _samples(spark, a.root, a.samples)
+    layers = {s: _layers(spark, a, s) for s in names}
+    out = pipelines.extract_all(spark, a.root, a.output, names, table=a.table_key, shapes=a.shapes_key, image=a.image_key, cell_id=a.cell_id_column, patch=a.patch_size, mpp=a.mpp, policy=a.patch_policy_requested, mode=a.extract_mode, shard_size=a.shard_size, n_sample=a.n_sample, seed=a.seed, report_name=a.filter_report_name)
+    for s in out["done"]:
+        store.write_json(f"{a.output}/{s}/meta/overlay_keys.json", layers[s])
+    return out
+
+
+def _layers(spark: SparkSession, a: argparse.Namespace, sample: str) -> dict[str, str | None]:
+    """The shapes that figures of a sample show, by the options; one that is named must be there."""
+    known = [k.removesuffix(".parquet") for k in catalog.list_dir(spark, f"{a.root}/{sample}/shapes")]
+    out = {}
+    for layer, hint, candidates in (("tissue", a.tissue_key, catalog.TISSUE_KEYS), ("cell", a.cell_key, catalog.CELL_KEYS), ("nucleus", a.nucleus_key, catalog.NUCLEUS_KEYS)):
+        out[layer] = catalog.resolve_key(known, candidates, hint)
+        if out[layer] is None and hint not in ("auto", "none"):
+            raise SystemExit(f"--{layer}-key {hint!r} is not among the shapes of {sample}: {known}")
+    return out
 
 
 def compile_(argv: list[str]) -> dict:

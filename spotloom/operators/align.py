@@ -73,6 +73,12 @@ def examples(table: DataFrame, shapes: DataFrame, t_id: str = "cell_id", s_id: s
     return f"the table has {head(table, t_id)}, the shapes have {head(shapes, s_id)}"
 
 
+def unmatched(table: DataFrame, shapes: DataFrame, t_id: str = "cell_id", s_id: str = "shape_id") -> list[str]:
+    """Samples whose table and shapes have no id in common."""
+    met = presence(table, shapes, t_id, s_id)
+    return [r[0] for r in table.select(SAMPLE).distinct().join(met.select(SAMPLE).distinct(), SAMPLE, "left_anti").orderBy(SAMPLE).collect()]
+
+
 def align_samples(table: DataFrame, shapes: DataFrame, **names: str) -> tuple[DataFrame, DataFrame]:
     """(modes, alignment) of many samples in one plan: by position in those that are exact, by ids in the others.
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,46 +55,101 @@ def extract(cells: DataFrame, shapes: DataFrame, *, slides: DataFrame | None = N
     return out.select("sample_index", "sample_key", "sample_id", "cell_id", F.col("x_px").alias("center_x_pixel"), F.col("y_px").alias("center_y_pixel"), F.col("sx0").alias("bbox_x0"), F.col("sy0").alias("bbox_y0"), F.col("table_pos").alias("gene_row_index"), "shard_no", "local_index", "shard_path", F.col("sample_index").alias("expr_row")), report
 
 
-def slides_of(spark: SparkSession, root: str, samples: list[str], patch: int = 224, mpp: float = 0.5) -> DataFrame:
+def slides_of(spark: SparkSession, root: str, samples: list[str], patch: int = 224, mpp: float = 0.5, image: str = "slide") -> DataFrame:
     """(sample_id, width, height, base, slide_mpp) from the slides' table (width, height, a00, a01, a10, a11, s00, s11)."""
-    rows = catalog.elements(spark, root, samples, "images", "slide")
+    rows = catalog.elements(spark, root, samples, "images", image)
     own = S.slide_mpp(*(F.col(c) for c in ("a00", "a01", "a10", "a11", "s00", "s11")))
     return rows.select("sample_id", "width", "height", S.base_size(F.lit(float(patch)), F.lit(float(mpp)), own).cast("double").alias("base"), own.alias("slide_mpp"))
 
 
-def done_samples(root: str, samples: list[str]) -> list[str]:
-    """Samples whose manifest and expression were both written whole."""
-    return [s for s in samples if all(store.exists(f"{root}/{s}/{name}/_SUCCESS") for name in ("manifest.parquet", "expression.parquet"))]
+def done_samples(root: str, samples: list[str], report_name: str = "filter_report.json", **asked) -> list[str]:
+    """Samples whose manifest and expression were both written whole; those that were asked for otherwise then are warned of."""
+    done = [s for s in samples if all(store.exists(f"{root}/{s}/{name}/_SUCCESS") for name in ("manifest.parquet", "expression.parquet"))]
+    for s in done if asked else []:
+        path = f"{root}/{s}/meta/{report_name}"
+        then = store.read_json(path) if store.exists(path) else {}
+        if other := {k: then[k] for k, v in asked.items() if k in then and then[k] != v}:
+            warnings.warn(f"{s} is done with {other}, which now would be {({k: asked[k] for k in other})}; remove its folder to extract it anew", stacklevel=3)
+    return done
 
 
-def extract_all(spark: SparkSession, root: str, output: str, samples: list[str], *, table: str = "table", shapes: str = "cell_circles", patch: int = 224, mpp: float = 0.5, policy: str = "auto", mode: str = filters.TILES, shard_size: int = manifest.SHARD, n_sample: int = 0, seed: int = 42, report_name: str = "filter_report.json", read: Callable | None = None) -> dict[str, list[str]]:
+def _sound(spark: SparkSession, root: str, samples: list[str], **elements: tuple[str, str]) -> tuple[list[str], dict[str, str]]:
+    """(samples whose elements can be opened and whose ids meet, the reason of each other)."""
+    failed = {}
+    for s in samples:
+        try:
+            for kind, key in elements.values():
+                catalog.element(spark, root, s, kind, key)
+        except Exception as e:  # noqa: BLE001  whatever is wrong with a sample, the others go on
+            failed[s] = f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
+    return [s for s in samples if s not in failed], failed
+
+
+def extract_all(spark: SparkSession, root: str, output: str, samples: list[str], *, table: str = "table", shapes: str = "cell_circles", image: str = "slide", cell_id: str = "cell_id", patch: int = 224, mpp: float = 0.5, policy: str = "auto", mode: str = filters.TILES, shard_size: int = manifest.SHARD, n_sample: int = 0, seed: int = 42, report_name: str = "filter_report.json", read: Callable | None = None) -> dict[str, list[str]]:
     """Extract all samples that aren't done in one job, and write each its own folder; names by what became of them.
 
-    Elements of a sample: tables/{table} (cell_id, pos, indices, values), shapes/{shapes} (shape_id, pos,
-    x_px, y_px) and images/slide. Reports are written before any shard. ``read``: a reader of tiles, with
-    which shards are built as well.
+    Elements of a sample: tables/{table} (cell_id, pos, indices, values), shapes/{shapes} (shape_id, pos, x_px, y_px),
+    images/{image} and, for compiling, genes/{table} (gene, pos). Reports are written before any shard. Shards are built
+    if there are tiles: from ``read``, a reader of them, or else from images/{image}_patches (cell_id, image) where every sample has it.
+
+    All samples are written in one pass, partitioned by sample, and each one's partition is then moved to its folder.
+    A sample that can't be opened or has no ids in common with its shapes is left out, under ``failed`` with the reason
+    in {output}/extract_status.json, and doesn't keep the others from being done; if all fail, that is an error.
     """
     policy_applied = filters.validate_policy(policy, mode)
-    skipped = done_samples(output, samples)
-    todo = [s for s in samples if s not in skipped]
-    if not todo:
-        return {"done": [], "skipped": skipped}
-    cells = catalog.elements(spark, root, todo, "tables", table)
-    rows, report = extract(cells, catalog.elements(spark, root, todo, "shapes", shapes), slides=slides_of(spark, root, todo, patch, mpp), policy=policy, mode=mode, shard_size=shard_size, n_sample=n_sample, seed=seed)
-    rows = cut(rows)
-    given = dict(zarr_path=root, output_dir=output, image_key="slide", extract_mode=mode, source_table_key=table, source_shape_key=shapes, patch_policy_requested=policy, patch_policy_applied=policy_applied, patch_size=patch, target_mpp=mpp, seed=seed)
-    for r in reports.filter_reports(report, **given):
-        reports.write_filter_report(r, f"{output}/{r['sample_id']}", report_name)
-    if read is not None:
-        built = cut(shards.build_shards(tiles.read_tiles(rows, read)))
-        shards.write_shards(built, output)
-        rows = attach_offsets(rows, built)
-    expression = expression_in_order(rows, cells.withColumnRenamed("pos", "row"))
-    for s in todo:  # one folder for each sample, as later stages read them
-        own = rows.filter(F.col("sample_id") == s)
-        own.write.mode("overwrite").parquet(f"{output}/{s}/manifest.parquet")
-        expression.filter(F.col("sample_id") == s).write.mode("overwrite").parquet(f"{output}/{s}/expression.parquet")
-    return {"done": todo, "skipped": skipped}
+    asked = dict(image_key=image, extract_mode=mode, source_table_key=table, source_shape_key=shapes, patch_policy_applied=policy_applied, patch_size=patch, target_mpp=mpp, seed=seed)
+    skipped = done_samples(output, samples, report_name, **asked)
+    todo, failed = _sound(spark, root, [s for s in samples if s not in skipped], cells=("tables", table), shapes=("shapes", shapes), image=("images", image))
+    out = {"done": [], "skipped": skipped}
+    if todo:
+        cells = catalog.elements(spark, root, todo, "tables", table)
+        if cell_id not in cells.columns:
+            raise KeyError(f"the tables have no column {cell_id!r}; available: {cells.columns}")
+        cells = cells if cell_id == "cell_id" else cells.drop("cell_id").withColumnRenamed(cell_id, "cell_id")
+        placed = catalog.elements(spark, root, todo, "shapes", shapes)
+        failed |= {s: "ValueError: table and shapes have no id in common" for s in align.unmatched(cells, placed)}
+        todo = [s for s in todo if s not in failed]
+    if not todo and failed:
+        raise ValueError(f"no sample could be extracted: {failed}")
+    if todo:
+        sound = lambda d: d.filter(F.col("sample_id").isin(todo))
+        cells, placed = sound(cells), sound(placed)
+        rows, report = extract(cells, placed, slides=slides_of(spark, root, todo, patch, mpp, image), policy=policy, mode=mode, shard_size=shard_size, n_sample=n_sample, seed=seed)
+        rows = cut(rows)
+        for r in reports.filter_reports(report, zarr_path=root, output_dir=output, patch_policy_requested=policy, **asked):
+            reports.write_filter_report(r, f"{output}/{r['sample_id']}", report_name)
+        tiled = tiles.read_tiles(rows, read) if read is not None else tiles.stored_tiles(spark, root, todo, image, rows)
+        if tiled is not None:
+            built = cut(shards.build_shards(tiled))
+            shards.write_shards(built, output)
+            rows = attach_offsets(rows, built)
+        expression = expression_in_order(rows, cells.withColumnRenamed("pos", "row"))
+        _write_by_sample({"expression.parquet": expression, "manifest.parquet": rows}, output, todo)
+        for s in todo:
+            if (names := catalog.genes_of(spark, root, s, table)) is not None:
+                store.write_json(f"{output}/{s}/genes.json", names)
+        out["done"] = todo
+    if failed:
+        out["failed"] = sorted(failed)
+    state = {s: {"state": k} for k, names in out.items() for s in names} | {s: {"state": "failed", "reason": why} for s, why in failed.items()}
+    store.write_json(f"{output}/extract_status.json", state)
+    return out
+
+
+def _write_by_sample(tables: dict[str, DataFrame], output: str, samples: list[str]) -> None:
+    """Write tables in one pass each, and move every sample's partition to {output}/{sample}/{name}; one without rows is an empty table."""
+    staging = f"{output}/_staging-{uuid.uuid4().hex}"
+    for name, rows in tables.items():
+        rows.withColumn("__of", F.col("sample_id")).write.partitionBy("__of").parquet(f"{staging}/{name}")
+    for s in samples:
+        for name, rows in tables.items():
+            part = f"{staging}/{name}/{catalog.partition_name('__of', s)}"
+            if not store.exists(part):
+                rows.limit(0).write.mode("overwrite").parquet(f"{output}/{s}/{name}")
+                continue
+            store.write_text(f"{part}/_SUCCESS", "")
+            store.rename(part, f"{output}/{s}/{name}")
+    store.remove(staging)
 
 
 #: Filter stages, in the order in which they run.
@@ -137,7 +194,8 @@ def run_stage(spark: SparkSession, root: str, sample: str, stage: str, in_key: s
     found = catalog.transform_of(spark, root, sample, "shapes", names["tissue"]) if stage == "tissue_inside" else None
     kept, drops, n_in, n_out = filter_stage(stage, catalog.element(spark, root, sample, "tables", in_key), layers, threshold=threshold, transform=found)
     catalog.write_element(kept.drop("sample_id"), root, sample, "tables", out_key)
-    report = reports.StageReport(stage, f"{root}/{sample}", in_key, out_key, n_in, n_out, drops, {"threshold": threshold, **names}, elapsed_s=round(time.perf_counter() - began, 3))
+    held = {"tissue_inside": ("shapes", "tissue"), "nucleus_presence": ("nuclei", "nuclei"), "xenium_he_nucleus_overlap": ("nuclei", "he")}[stage]
+    report = reports.StageReport(stage, f"{root}/{sample}", in_key, out_key, n_in, n_out, drops, {"threshold": threshold, **names}, elapsed_s=round(time.perf_counter() - began, 3), input_shape_key=names[held[0]], output_shape_key=names[held[1]])
     if report_dir:
         reports.write_stage_report(report, report_dir)
     return report
@@ -288,10 +346,10 @@ def package(rows: DataFrame, panel: list[str], folder: str, *, task: str, member
     remapped = rows if reuse else manifest.remap_shards(rows).withColumnsRenamed({"shard_path": "source_shard_path", "new_path": "shard_path"})
     remapped.write.mode("overwrite").parquet(f"{folder}/manifest.parquet")
     genes.write_panel(folder, panel)
-    status, split_path, level, warnings, problem = "split_pending", None, "missing", [], None
+    status, split_path, level, warned, problem = "split_pending", None, "missing", [], None
     if membership is not None:
         try:
-            warnings = splits.validate(membership, rows)
+            warned = splits.validate(membership, rows)
             split_path = splits.write_split(membership, folder, task)["membership"]
             level, status = membership.select("generated_at_level").first()[0], "training_ready"
         except ValueError as e:  # the package says what is wrong, and can't be loaded
@@ -300,7 +358,7 @@ def package(rows: DataFrame, panel: list[str], folder: str, *, task: str, member
     _write_configs(folder, task, status, data, sha, len(panel), split_path, level)
     card = {"task": task, "training_ready_status": status, "n_cells": rows.count(), "n_genes": len(panel), "gene_panel_sha256": sha, "n_shards": n_shards, "shard_glob": data}
     store.write_json(f"{folder}/dataset_card.json", card)
-    store.write_json(f"{folder}/validation_report.json", {"status": status, "warnings": warnings, "problem": problem})
+    store.write_json(f"{folder}/validation_report.json", {"status": status, "warnings": warned, "problem": problem})
     return card
 
 

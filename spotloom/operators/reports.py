@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -21,7 +21,7 @@ FILTER_REPORT = (
 
 @dataclass
 class StageReport:
-    """What a filter stage did, in the fixed format; ``zarr_path`` is the sample's root."""
+    """What a filter stage did; ``zarr_path`` is the sample's root, and the shape keys are those of the cells and of what they are held against."""
 
     stage: str
     zarr_path: str
@@ -34,13 +34,22 @@ class StageReport:
     warnings: list[str] = field(default_factory=list)
     elapsed_s: float = 0.0
     report_path: str | None = None
+    input_shape_key: str = ""
+    output_shape_key: str = ""
+
+
+# What a stage's report holds: a fixed format, by which other tools read it, with our names where they differ.
+STAGE_REPORT = {
+    "stage": "stage", "zarr_path": "zarr_path", "input_table_key": "input_table_key", "output_table_key": "output_table_key", "input_shape_key": "input_shape_key",
+    "output_shape_key": "output_shape_key", "n_cells_in": "n_in", "n_cells_out": "n_out", "drop_counts_by_reason": "drop_counts_by_reason", "warnings": "warnings",
+}
 
 
 def write_stage_report(report: StageReport, folder: str | Path) -> Path:
-    """{stage}_{input table}.json; the path itself is not part of it."""
+    """{stage}_{input table}.json; the path itself, parameters and seconds are not part of it."""
     path = Path(folder) / f"{report.stage}_{report.input_table_key}.json"
     report.report_path = f"{folder}/{path.name}"
-    store.write_json(report.report_path, {k: v for k, v in asdict(report).items() if k != "report_path"})
+    store.write_json(report.report_path, {k: getattr(report, v) for k, v in STAGE_REPORT.items()})
     return path
 
 

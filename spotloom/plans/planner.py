@@ -169,8 +169,12 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
-    """Parsed options; a policy that a mode doesn't allow ends the program before any job."""
+    """Parsed options; a policy that a mode doesn't allow ends the program before any job.
+
+    ``patch_policy`` is the one that is applied, ``patch_policy_requested`` what was asked for.
+    """
     args = build_parser().parse_args(argv)
+    args.patch_policy_requested = args.patch_policy
     try:
         args.patch_policy = validate_policy(args.patch_policy, args.extract_mode)
     except (ValueError, NotImplementedError) as e:

@@ -209,7 +209,7 @@ def q_filter_stages(spark, sf):
             told = store.read_json(f"{folder}/{s}/{stage}_{key}.json")
             key = r.output_table_key
             (reason, n), *_ = told["drop_counts_by_reason"].items()
-            out.append((s, told["stage"], told["output_table_key"], told["n_in"], told["n_out"], reason, n))
+            out.append((s, told["stage"], told["output_table_key"], told["n_cells_in"], told["n_cells_out"], reason, n))
     return spark.createDataFrame(out, "sample_id string, stage string, output_key string, n_in bigint, n_out bigint, reason string, dropped bigint")
 
 
@@ -226,6 +226,24 @@ def q_skip_done(spark, sf):
     return spark.createDataFrame([(s, state) for state, names in got.items() for s in names], "sample_id string, state string")
 
 
+@query(PLACED + "SELECT sample_id, 'done' AS state, count(*) AS n_cells FROM extracted GROUP BY 1 UNION ALL SELECT 's3', 'failed', 0 UNION ALL SELECT 's4', 'failed', 0", "cells_v")
+def q_extract_status(spark, sf):
+    """Two samples are extracted though one beside them has other ids than its shapes, and another has no shapes."""
+    root, copy, out = _root(spark, sf), scratch(spark, "status"), scratch(spark, "status-out")
+    for s, of in (("s1", "s1"), ("s2", "s2"), ("s3", "s1"), ("s4", "s1")):
+        for kind, key in (("tables", "table"), ("shapes", "cell_circles"), ("images", "slide")):
+            rows = catalog.element(spark, f"{root}/full", of, kind, key).drop("sample_id")
+            if (s, kind) == ("s3", "shapes"):
+                rows = rows.withColumn("shape_id", F.concat(F.lit("other-"), "shape_id"))
+            if (s, kind) != ("s4", "shapes"):
+                catalog.write_element(rows, copy, s, kind, key)
+    pipelines.extract_all(spark, copy, out, ["s1", "s2", "s3", "s4"], patch=PATCH, mpp=MPP)
+    told = store.read_json(f"{out}/extract_status.json")
+    state = spark.createDataFrame([(s, x["state"]) for s, x in told.items()], "sample_id string, state string")
+    counts = spark.read.parquet(*(f"{out}/{s}/manifest.parquet" for s, x in told.items() if x["state"] == "done")).groupBy("sample_id").agg(F.count("*").alias("n_cells"))
+    return state.join(counts, "sample_id", "left").fillna(0, ["n_cells"])
+
+
 @query(PLACED + "SELECT global_idx, sample_id, cell_id, 'g' || g AS gene, CAST(g - 2 AS INTEGER) AS gene_idx, CAST(pos AS FLOAT) AS value FROM compiled WHERE g BETWEEN 2 AND 9", "cells_v")
 def q_compiled(spark, sf):
     """Manifest and expression of the compiled dataset, by the names on its panel."""

@@ -46,6 +46,12 @@ def sample_name(path: str) -> str:
     return last.rsplit(".", 1)[0] if "." in last[1:] else last
 
 
+def partition_name(column: str, value: str) -> str:
+    """The folder of a partition, as Spark names it."""
+    spark = SparkSession.getActiveSession()
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
+
+
 def elements(spark: SparkSession, root: str, samples: list[str], kind: str, key: str) -> DataFrame:
     """One element of many samples, with their ``sample_id``."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [element(spark, root, s, kind, key) for s in samples])
@@ -68,6 +74,18 @@ def write_element(df: DataFrame, root: str, sample: str, kind: str, key: str) ->
     return path
 
 
+def genes_of(spark: SparkSession, root: str, sample: str, key: str) -> list[str] | None:
+    """The genes of a table, in order, from {root}/{sample}/genes/{key}.parquet (gene, pos); None without such a list.
+
+    A table that a filter stage wrote has the genes of the one that it was made of, by whose name its own begins.
+    """
+    known = [k.removesuffix(".parquet") for k in list_dir(spark, f"{root}/{sample}/genes")]
+    of = max((k for k in known if key == k or key.startswith(k + "_")), key=len, default=None)
+    if of is None:
+        return None
+    return [r["gene"] for r in spark.read.parquet(f"{root}/{sample}/genes/{of}.parquet").orderBy("pos").select("gene").collect()]
+
+
 def transform_of(spark: SparkSession, root: str, sample: str, kind: str, key: str) -> tuple[float, ...] | None:
     """The six numbers of an element's affine, None without one (the identity is then taken)."""
     if "transforms.parquet" not in list_dir(spark, f"{root}/{sample}"):

@@ -59,6 +59,22 @@ def read_json(path: str | Path):
     return json.loads(read_text(path))
 
 
+def rename(path: str, to: str) -> None:
+    """Move a file or folder to a name, in place of what is there."""
+    fs, p, jvm = _fs(path)
+    q = jvm.org.apache.hadoop.fs.Path(to)
+    if fs.exists(q):
+        fs.delete(q, True)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"{path} can't be moved to {to}")
+
+
+def remove(path: str) -> None:
+    fs, p, _ = _fs(path)
+    fs.delete(p, True)
+
+
 def glob(pattern: str) -> list[str]:
     """Sorted paths that match a pattern."""
     fs, p, _ = _fs(pattern)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import crop_start
@@ -33,7 +33,25 @@ def read_tiles(rows: DataFrame, reader: Callable[[str, pd.DataFrame], list[bytes
                     raise ValueError(f"the reader gave {len(got)} tiles of {len(own)}")
                 yield own.assign(image=list(got))
 
-    return rows.repartition(sample).mapInPandas(run, fields + ", image binary") if sample in rows.columns else rows.mapInPandas(run, fields + ", image binary")
+    # Dealt by shard where there are shards, so that a slide isn't one task.
+    by = [c for c in (sample, "shard_path") if c in rows.columns]
+    return (rows.repartition(*by) if by else rows).mapInPandas(run, fields + ", image binary")
+
+
+def stored_tiles(spark: SparkSession, root: str, samples: list[str], image: str, rows: DataFrame) -> DataFrame | None:
+    """Rows with ``image``, the tiles that the samples hold as images/{image}_patches (cell_id, image); None if a sample has none.
+
+    A cell without its tile is an error.
+    """
+    from . import catalog
+
+    key = f"{image}_patches"
+    if any(f"{key}.parquet" not in catalog.list_dir(spark, f"{root}/{s}/images") for s in samples):
+        return None
+    held = catalog.elements(spark, root, samples, "images", key).select("sample_id", F.col("cell_id").cast("string").alias("cell_id"), F.col("image").cast("binary").alias("image"))
+    if lost := [tuple(r) for r in rows.join(held, ["sample_id", "cell_id"], "left_anti").select("sample_id", "cell_id").limit(3).collect()]:
+        raise KeyError(f"cells without a tile in {key}, such as {lost}")
+    return rows.join(held, ["sample_id", "cell_id"]).select(*rows.columns, "image")
 
 
 def convert(rows: DataFrame, codec: Callable[[bytes], bytes], column: str = "image") -> DataFrame:

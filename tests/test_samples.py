@@ -321,3 +321,77 @@ def test_names_of_samples_and_tasks(spark, tmp_path):
         assert name in cli.COMMANDS
     cells, shapes = cells_of(spark)
     assert catalog.describe({("tables", "t"): cells}).first().n_rows == 16 and shapes.count() == 16
+
+
+def planned_samples(spark, root):
+    """Samples as commands expect them by default: an image of the default key with its tiles, and lists of genes."""
+    write_samples(spark, root)
+    for s in SIZE:
+        catalog.write_element(catalog.element(spark, root, s, "images", "slide").drop("sample_id"), root, s, "images", "he_image")
+        patches = [(f"c{k}", jpeg(20, 20) + f"{s}:c{k}".encode()) for k in range(8)]
+        catalog.write_element(spark.createDataFrame(patches, "cell_id string, image binary"), root, s, "images", "he_image_patches")
+        names = ["g1", "g0", "g2"] if s == "A" else ["g0", "g1", "gx"]
+        spark.createDataFrame([(g, k) for k, g in enumerate(names)], "gene string, pos int").write.parquet(f"{root}/{s}/genes/table.parquet")
+
+
+def test_a_printed_plan_runs_line_by_line(spark, tmp_path):
+    """What ``plan`` prints is executed, and nothing else."""
+    import shlex
+
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    planned_samples(spark, root)
+    for line in cli.plan(["cells inside tissue, mpp 0.5, patch size 20, bundle", "--root", root, "--output", out, "--samples", "A", "B"]):
+        name, *argv = shlex.split(line)
+        cli.COMMANDS[name](argv)
+    inside = {s: {f"c{k}" for k, (x, y) in enumerate(POINTS[s]) if 0 < x + 10 < 75 and 0 < y + 10 < 75} & kept(s) for s in POINTS}
+    report = json.loads((tmp_path / "out" / "A" / "meta" / "filter_report.json").read_text())
+    assert (report["patch_policy_requested"], report["patch_policy_applied"], report["source_table_key"], report["image_key"]) == ("auto", "strict_no_padding", "table_tissue", "he_image")
+    assert json.loads((tmp_path / "out" / "A" / "meta" / "overlay_keys.json").read_text()) == {"tissue": "tissue", "cell": "cell_circles", "nucleus": "nucleus_boundaries"}
+    assert json.loads((tmp_path / "out" / "compiled" / "gene_panel.json").read_text()) == ["g1", "g0"]
+    whole = shards.read_shards(spark, f"{out}/compiled")
+    got = {bytes(r.payload).split(b"\x00")[-1].decode() for r in shards.members(whole).filter("ext = 'jpg'").collect()}
+    assert got == {f"{s}:{c}" for s in POINTS for c in inside[s]}
+    assert spark.read.parquet(f"{out}/compiled/manifest.parquet").count() == len(got)
+
+
+def test_options_take_effect_or_are_refused(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    planned_samples(spark, root)
+    asked = ["--root", root, "--output", out, "--mpp", "0.5", "--patch-size", "20"]
+    for option, value, kind in (("--image-key", "nope", ValueError), ("--tissue-key", "nope", SystemExit), ("--cell-key", "nope", SystemExit), ("--nucleus-key", "nope", SystemExit), ("--cell-id-column", "nope", KeyError), ("--shapes-key", "nope", ValueError), ("--table-key", "nope", ValueError)):
+        with pytest.raises(kind, match="nope"):
+            cli.extract([*asked, option, value])
+    named = catalog.element(spark, root, "A", "tables", "table").drop("sample_id").withColumn("barcode", F.col("cell_id")).withColumn("cell_id", F.lit("x"))
+    catalog.write_element(named, root, "A", "tables", "other")
+    assert cli.extract([*asked, "--samples", "A", "--table-key", "other", "--cell-id-column", "barcode", "--tissue-key", "none", "--filter-report-name", "f.json", "--shard-size", "2"]) == {"done": ["A"], "skipped": []}
+    rows = spark.read.parquet(f"{out}/A/manifest.parquet").collect()
+    assert {r.cell_id for r in rows} == kept("A") and max(r.shard_no for r in rows) == (len(kept("A")) - 1) // 2
+    assert (tmp_path / "out" / "A" / "meta" / "f.json").exists() and json.loads((tmp_path / "out" / "A" / "meta" / "overlay_keys.json").read_text())["tissue"] is None
+    with pytest.warns(UserWarning, match="A is done with .*'patch_size': 20"):
+        cli.extract(["--root", root, "--output", out, "--samples", "A", "--table-key", "other", "--cell-id-column", "barcode", "--filter-report-name", "f.json"])
+
+
+def test_a_broken_sample_does_not_fail_the_rest(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    planned_samples(spark, root)
+    for name in ("no_shapes", "no_ids", "broken"):
+        for kind, key in (("tables", "table"), ("shapes", "cell_circles"), ("images", "slide")):
+            if (name, kind) != ("no_shapes", "shapes"):
+                rows = catalog.element(spark, root, "A", kind, key).drop("sample_id")
+                rows = rows.withColumn("shape_id", F.concat(F.lit("q"), "shape_id")) if (name, kind) == ("no_ids", "shapes") else rows
+                catalog.write_element(rows, root, name, kind, key)
+    for part in (tmp_path / "in" / "broken" / "tables" / "table.parquet").glob("part-*"):
+        part.write_bytes(b"not a table")
+        (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    every = ["A", "B", "broken", "no_ids", "no_shapes"]
+    got = pipelines.extract_all(spark, root, out, every, patch=20, mpp=0.5)
+    assert got == {"done": ["A", "B"], "skipped": [], "failed": ["broken", "no_ids", "no_shapes"]}
+    told = json.loads((tmp_path / "out" / "extract_status.json").read_text())
+    assert told["A"] == {"state": "done"} and "no id in common" in told["no_ids"]["reason"] and "cell_circles" in told["no_shapes"]["reason"] and told["broken"]["state"] == "failed"
+    for s in POINTS:
+        assert {r.cell_id for r in spark.read.parquet(f"{out}/{s}/manifest.parquet").collect()} == kept(s)
+        assert spark.read.parquet(f"{out}/{s}/expression.parquet").count() == len(kept(s))
+    assert not list((tmp_path / "out").glob("_staging*")) and not (tmp_path / "out" / "broken").exists()
+    assert pipelines.extract_all(spark, root, out, ["A", "B"], patch=20, mpp=0.5) == {"done": [], "skipped": ["A", "B"]}
+    with pytest.raises(ValueError, match="no sample could be extracted"):
+        pipelines.extract_all(spark, root, out, ["no_ids"], patch=20, mpp=0.5)
