@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import padded, shard_name
-from ..session import small
+from ..session import cut, small
 from ..sources.shards import shard_key
 
 #: Rows, about, of the blocks that are numbered by themselves.
@@ -25,24 +25,45 @@ def union_samples(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+#: Rows of a block, as a multiple of ``BLOCK``, beyond which it is divided again.
+CROWDED = 4
+
+
+def _divided(rows: DataFrame, sample: str, at: Column, spans: DataFrame, block: int) -> DataFrame:
+    """Rows with a part more in ``__block``: those of ``spans`` (__s, __b, __low, __high, __n) by equal ranges of their own values."""
+    parts = F.ceil(F.col("__n") / block)
+    width = F.greatest(F.lit(1), F.ceil((F.col("__high") - F.col("__low") + 1) / parts)).cast("bigint")
+    spans = small(spans.select("__s", "__b", "__low", width.alias("__width")))
+    joined = rows.join(spans, F.col(sample).eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")), "left")
+    part = F.floor((at - F.col("__low")) / F.col("__width")).cast("bigint")
+    finer = F.when(F.col("__width").isNotNull(), F.concat("__block", F.array(part))).otherwise(F.col("__block"))
+    return joined.withColumn("__block", finer).drop("__s", "__b", "__low", "__width")
+
+
 def dense_index(rows: DataFrame, sample: str, order: str, name: str = "global_idx", block: int = BLOCK) -> DataFrame:
     """0..N-1 in the order (sample, order); ``order`` is an integer column without ties in a sample.
 
     No window sees all rows, or all rows of a hot sample: a sample's range of the order column is cut
-    into as many blocks as it has times ``block`` rows, rows are numbered within blocks, and only the
-    table of block sizes, which is that much shorter than the rows, gets running sums.
+    into as many blocks as it has times ``block`` rows, and a block that holds too many of them, as beside an outlier, again by the
+    range of its own values, until none does. Rows are numbered within blocks, and only the table of
+    block sizes, which is that much shorter than the rows, gets running sums. A table of a block or less is numbered by one window.
     """
-    at = F.col(order).cast("bigint")
-    span = rows.groupBy(F.col(sample).alias("__t")).agg(F.min(at).alias("__low"), F.max(at).alias("__high"), F.count("*").alias("__m"))
-    span = span.select("__t", "__low", F.greatest(F.lit(1), F.ceil((F.col("__high") - F.col("__low") + 1) / F.ceil(F.col("__m") / block))).cast("bigint").alias("__width"))
-    marked = rows.join(small(span), F.col(sample).eqNullSafe(F.col("__t")))
-    marked = marked.withColumn("__block", F.floor((at - F.col("__low")) / F.col("__width")).cast("bigint")).drop("__t", "__low", "__width")
-    sizes = marked.groupBy(F.col(sample).alias("__s"), F.col("__block").alias("__b")).agg(F.count("*").alias("__n"))
+    at = F.shiftright(F.col(order).cast("bigint"), 1)  # half of it, so that differences don't overflow
+    marked = rows.withColumn("__block", F.array().cast("array<bigint>"))
+    sized = lambda d: d.groupBy(F.col(sample).alias("__s"), F.col("__block").alias("__b")).agg(F.min(at).alias("__low"), F.max(at).alias("__high"), F.count("*").alias("__n"))
+    sizes = cut(sized(marked))
+    if (sizes.agg(F.sum("__n")).first()[0] or 0) <= block:
+        return rows.withColumn(name, (F.row_number().over(Window.orderBy(sample, order)) - 1).cast("bigint"))
+    crowded = sizes.filter(F.col("__high") > F.col("__low"))  # at first every sample is divided
+    while not crowded.isEmpty():
+        marked = _divided(marked, sample, at, crowded, block)
+        sizes = cut(sized(marked))
+        crowded = sizes.filter((F.col("__n") > CROWDED * block) & (F.col("__high") > F.col("__low")))
     before = F.sum("__n").over(Window.orderBy("__s", "__b").rowsBetween(Window.unboundedPreceding, -1))
     offsets = small(sizes.select("__s", "__b", F.coalesce(before, F.lit(0)).alias("__before")))
     within = F.row_number().over(Window.partitionBy(sample, "__block").orderBy(order)) - 1
     numbered = marked.withColumn("__rank", within)
-    joined = numbered.join(offsets, numbered[sample].eqNullSafe(offsets["__s"]) & numbered["__block"].eqNullSafe(offsets["__b"]))
+    joined = numbered.join(offsets, numbered[sample].eqNullSafe(offsets["__s"]) & (numbered["__block"] == offsets["__b"]))
     return joined.withColumn(name, (F.col("__before") + F.col("__rank")).cast("bigint")).drop("__block", "__rank", "__s", "__b", "__before")
 
 

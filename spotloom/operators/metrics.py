@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import small
+
 
 def pearson(pairs: DataFrame, by: str = "gene") -> DataFrame:
     return pairs.groupBy(by).agg(F.corr("truth", "guess").alias("pearson"))
@@ -47,32 +53,141 @@ def variable_genes(pairs: DataFrame, k: int, value: str = "truth") -> DataFrame:
     return pairs.groupBy("gene").agg(F.var_samp(value).alias("variance")).orderBy(F.desc("variance"), "gene").limit(k)
 
 
+#: Genes of a block: six sums of two blocks' pairs take 48 MB.
+GENES = 1024
+#: Cells that are multiplied at once.
+CELLS = 256
+SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def _block_sums(rows: pa.RecordBatch, i: int, j: int, size: int) -> np.ndarray:
+    """(6, size, size): over cells that have both, the sums of every gene of block i with every one of block j.
+
+    ``rows``: lists of (gene, v) by cell. Cells of few genes are paired gene by gene, others multiplied as matrices;
+    a gene that a cell names twice counts as two rows.
+    """
+    e = rows.column("e")
+    flat, ends = e.flatten(), np.asarray(e.offsets)
+    gene, v = np.asarray(flat.field("gene")).astype(np.int64), np.asarray(flat.field("v"), float)
+    cell = np.repeat(np.arange(len(e)), np.diff(ends))
+    out = np.zeros((6, size, size))
+    left, right = (gene // size) == i, (gene // size) == j
+    a, b = gene - i * size, gene - j * size
+    n_left, n_right = np.bincount(cell[left], minlength=len(e)), np.bincount(cell[right], minlength=len(e))
+    if (n_left * n_right).sum() * 20 < len(e) * size * size:
+        # Each entry on the left beside all of the same cell on the right.
+        order = np.flatnonzero(right)  # entries of a cell lie side by side
+        first = np.concatenate(([0], np.cumsum(n_right)))[:-1]
+        times = n_right[cell[left]]
+        one = np.repeat(np.flatnonzero(left), times)
+        step = np.arange(len(one)) - np.repeat(np.cumsum(times) - times, times)
+        two = order[first[cell[one]] + step]
+        x, y, at = v[one], v[two], a[one] * size + b[two]
+        for k, w in enumerate((None, x, y, x * x, y * y, x * y)):
+            out[k] = np.bincount(at, w, size * size).reshape(size, size)
+        return out
+    for z in range(0, len(e), CELLS):
+        own = (cell >= z) & (cell < z + CELLS)
+        dense = []
+        for some, to in ((left & own, a), (right & own, b)):
+            m = np.zeros((3, min(CELLS, len(e) - z), size))
+            for k, w in enumerate((np.ones(int(some.sum())), v[some], v[some] ** 2)):
+                np.add.at(m[k], (cell[some] - z, to[some]), w)
+            dense.append(m)
+        (m, x, xx), (w, y, yy) = dense
+        for k, (p, q) in enumerate(((m, w), (x, w), (m, y), (xx, w), (m, yy), (x, y))):
+            out[k] += p.T @ q
+    return out
+
+
+def pair_sums(entries: DataFrame, n_genes: int, size: int = GENES) -> DataFrame:
+    """(a, b, n, sx, sy, sxx, syy, sxy) of every two genes a < b that some cell has both of; ``entries``: (cell, gene, v), genes numbered from 0.
+
+    A cell's entries are gathered, and sent to each two blocks of genes; a task adds up the sums of its cells in
+    matrices of one two blocks at a time, so that what it holds and hands on grows with the blocks, not with the cells.
+    """
+    size = min(size, max(1, n_genes))
+    blocks = range((n_genes + size - 1) // size)
+    # As a bounded number of tasks shares two blocks, each pair of genes has a bounded number of rows.
+    cells = entries.groupBy("cell").agg(F.collect_list(F.struct(F.col("gene").cast("int").alias("gene"), F.col("v").cast("double").alias("v"))).alias("e"), F.pmod(F.xxhash64("cell"), F.lit(SHARES)).alias("share"))
+    both = cells.select("share", "e", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in blocks for j in blocks if i <= j))).alias("x")).select("share", "x.i", "x.j", "e")
+    of = lambda g, c: (g >= F.col(c) * size) & (g < (F.col(c) + 1) * size)
+    own = both.withColumn("e", F.filter("e", lambda s: of(s["gene"], "i") | of(s["gene"], "j"))).filter(F.size("e") > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums = None, None
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if at is None:
+                return
+            a, b = np.nonzero(sums[0])
+            ga, gb = a + at[0] * size, b + at[1] * size
+            some = ga < gb
+            for z in range(0, int(some.sum()), 1 << 16):
+                cut_ = slice(z, z + (1 << 16))
+                p, q = a[some][cut_], b[some][cut_]
+                yield pa.RecordBatch.from_pydict({"a": pa.array(ga[some][cut_].astype(np.int32)), "b": pa.array(gb[some][cut_].astype(np.int32)), **{n: pa.array(sums[k, p, q]) for k, n in enumerate(SUMS)}})
+
+        for batch in batches:
+            i, j = np.asarray(batch.column("i")), np.asarray(batch.column("j"))
+            starts = np.flatnonzero(np.concatenate(([True], (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
+            for first, last in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                here = (int(i[first]), int(j[first]))
+                if here != at:
+                    yield from told()
+                    at, sums = here, np.zeros((6, size, size))
+                sums += _block_sums(batch.slice(first, last - first), *here, size)
+        yield from told()
+
+    dealt = own.repartition("i", "j", "share").sortWithinPartitions("i", "j")
+    schema = "a int, b int, " + ", ".join(f"{n} double" for n in SUMS)
+    return dealt.mapInArrow(run, schema).groupBy("a", "b").agg(*(F.sum(n).alias(n) for n in SUMS))
+
+
+#: Tasks, at most, that share two blocks of genes.
+SHARES = 64
+
+
+def _listed(pairs: DataFrame, genes: list) -> DataFrame:
+    """(gene, at): the listed genes, numbered in their order."""
+    names = sorted(set(genes))
+    return small(pairs.sparkSession.createDataFrame(list(zip(names, range(len(names)), strict=True)), f"gene {pairs.schema['gene'].dataType.simpleString()}, at int"), max(len(names), 1))
+
+
 def co_expression(pairs: DataFrame, genes: list[str], value: str = "truth") -> DataFrame:
-    """(gene_a, gene_b, r) over cells, for a list of genes such as the variable ones."""
-    # A cell's genes side by side: its pairs are aggregated where they are made.
-    cells = pairs.filter(F.col("gene").isin(genes)).groupBy("cell").agg(F.collect_list(F.struct("gene", F.col(value).alias("v"))).alias("g"))
-    both = cells.select(F.explode("g").alias("a"), "g").select("a", F.explode("g").alias("b")).filter("a.gene < b.gene")
-    return both.groupBy(F.col("a.gene").alias("gene_a"), F.col("b.gene").alias("gene_b")).agg(F.corr("a.v", "b.v").alias("r"))
+    """(gene_a, gene_b, r) over cells, for a list of genes: the variable ones, or a whole panel."""
+    listed = _listed(pairs, genes)
+    some = pairs.select("cell", "gene", F.col(value).cast("double").alias("v")).filter("v IS NOT NULL").join(listed, "gene")
+    # Values less their gene's mean: sums of large numbers would lose what the correlation is made of.
+    mean = some.groupBy(F.col("at").alias("gene")).agg(F.avg("v").alias("m"))
+    entries = some.select("cell", F.col("at").alias("gene"), "v").join(small(mean), "gene").select("cell", "gene", (F.col("v") - F.col("m")).alias("v"))
+    sums = pair_sums(entries, len(set(genes)))
+    spread = lambda s, ss: F.col("n") * F.col(ss) - F.col(s) * F.col(s)
+    deep = F.sqrt(spread("sx", "sxx")) * F.sqrt(spread("sy", "syy"))
+    # What rounding leaves of a gene that is the same in all cells of a pair is no spread.
+    varies = lambda s, ss: spread(s, ss) > 1e-12 * F.col("n") * F.col(ss)
+    r = F.when(varies("sx", "sxx") & varies("sy", "syy"), (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / deep).otherwise(float("nan"))
+    name = lambda c: listed.select(F.col("at").alias(c), F.col("gene").alias(f"gene_{c}"))
+    return sums.join(name("a"), "a").join(name("b"), "b").select("gene_a", "gene_b", r.alias("r"))
 
 
 def pathway_scores(pairs: DataFrame, pathways: DataFrame) -> DataFrame:
     """(pathway, pearson) of mean expression by cell; ``pathways``: (pathway, gene)."""
-    scores = pairs.join(F.broadcast(pathways), "gene").groupBy("cell", "pathway").agg(F.avg("truth").alias("truth"), F.avg("guess").alias("guess"))
+    scores = pairs.join(small(pathways), "gene").groupBy("cell", "pathway").agg(F.avg("truth").alias("truth"), F.avg("guess").alias("guess"))
     return pearson(scores, "pathway")
 
 
 def mutual_exclusivity(pairs: DataFrame, genes: list[str], value: str = "truth") -> DataFrame:
     """(gene_a, gene_b, n_both, n_either): cells that express both, and either, of any two of the listed genes."""
-    some = pairs.filter(F.col("gene").isin(genes) & (F.col(value) > 0)).groupBy("cell").agg(F.array_sort(F.collect_set("gene")).alias("g"))
-    n = some.select(F.explode("g").alias("gene")).groupBy("gene").agg(F.count("*").alias("n"))
-    pairs_ = some.select(F.explode("g").alias("gene_a"), "g").select("gene_a", F.explode("g").alias("gene_b")).filter("gene_a < gene_b")
-    both = pairs_.groupBy("gene_a", "gene_b").agg(F.count("*").alias("n_both"))
+    listed = _listed(pairs, genes)
+    some = pairs.filter(F.col(value) > 0).select("cell", "gene").join(listed, "gene").select("cell", F.col("at").alias("gene")).distinct()
+    both = pair_sums(some.withColumn("v", F.lit(0.0)), len(set(genes))).select("a", "b", F.col("n").cast("bigint").alias("n_both"))
+    n = small(some.groupBy("gene").agg(F.count("*").alias("n")))
     # Every pair of the list: two genes that no cell expresses together are the most exclusive of all.
-    a, b = n.select(F.col("gene").alias("gene_a"), F.col("n").alias("na")), n.select(F.col("gene").alias("gene_b"), F.col("n").alias("nb"))
-    listed = F.lit(sorted(set(genes))).cast(f"array<{pairs.schema['gene'].dataType.simpleString()}>")
-    every = pairs.sparkSession.range(1).select(F.explode(listed).alias("gene_a")).select("gene_a", F.explode(listed).alias("gene_b")).filter("gene_a < gene_b")
-    every = every.join(both, ["gene_a", "gene_b"], "left").join(a, "gene_a", "left").join(b, "gene_b", "left").fillna(0, ["n_both", "na", "nb"])
-    return every.select("gene_a", "gene_b", "n_both", (F.col("na") + F.col("nb") - F.col("n_both")).alias("n_either"))
+    one = lambda c: listed.join(n, F.col("at") == n["gene"], "left").select(F.col("at").alias(c), listed["gene"].alias(f"gene_{c}"), F.coalesce("n", F.lit(0)).alias(f"n_{c}"))
+    above = F.explode(F.sequence(F.col("a") + 1, F.lit(len(set(genes)) - 1)))
+    every = one("a").filter(F.col("a") < len(set(genes)) - 1).withColumn("b", above).join(one("b"), "b").join(both, ["a", "b"], "left").fillna(0, ["n_both"])
+    return every.select("gene_a", "gene_b", "n_both", (F.col("n_a") + F.col("n_b") - F.col("n_both")).alias("n_either"))
 
 
 def label_map(rows: DataFrame, column: str) -> DataFrame:

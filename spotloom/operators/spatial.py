@@ -1,8 +1,8 @@
 """Spatial joins on a grid of buckets: shapes meet only where their boxes share a cell.
 
-A nested loop over all pairs never appears: both sides are placed on a grid, joined on its
-cells, and rechecked. ``grid`` should be near the size of a usual shape; a crowded place is a
-hot key that Spark can split, for neither side is aggregated before the join.
+A nested loop over all pairs never appears: both sides are placed on a grid, or on grids of
+several levels where shapes have many sizes, joined on its cells, and rechecked. A crowded place is
+a hot key that Spark can split, for neither side is aggregated before the join.
 """
 
 from __future__ import annotations
@@ -17,10 +17,29 @@ from ..functions.scalars import canonical_id
 from .align import common_keys, presence, presence_counts
 
 
-def _cells(x0: Column, y0: Column, x1: Column, y1: Column, grid: float) -> Column:
-    """Grid cells under a box."""
-    at = lambda v: F.floor(v / grid).cast("bigint")
-    return F.flatten(F.transform(F.sequence(at(x0), at(x1)), lambda gx: F.transform(F.sequence(at(y0), at(y1)), lambda gy: F.struct(gx.alias("gx"), gy.alias("gy")))))
+#: Levels of the grid at most: cells of the last are 2 ** LEVELS times as wide as those of the first.
+LEVELS = 40
+
+
+def _level(grid: float) -> Column:
+    """The level whose cells are as wide as a box, at least: the first with cells of ``grid``, each next twice as wide."""
+    wide = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / grid
+    return F.when(wide > 1, F.least(F.ceil(F.log2(wide)), F.lit(LEVELS))).otherwise(0).cast("int")
+
+
+def _size(level: Column, grid: float) -> Column:
+    return F.lit(float(grid)) * F.pow(F.lit(2.0), level)
+
+
+def _placed(boxes: DataFrame, grid: float, others: list[int]) -> DataFrame:
+    """The boxes with ``__own``, their level, for each cell (``__level``, ``__gx``, ``__gy``) under them: of their own level and those above that others have.
+
+    At its own level or above, a box lies on four cells at most, however large it is.
+    """
+    at = lambda v: F.floor(F.col(v) / _size(F.col("__level"), grid)).cast("bigint")
+    above = F.filter(F.lit(others).cast("array<int>"), lambda v: v > F.col("__own"))
+    out = boxes.withColumn("__own", _level(grid)).withColumn("__level", F.explode(F.concat(F.array("__own"), above)))
+    return out.withColumn("__gx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("__gy", F.explode(F.sequence(at("y0"), at("y1"))))
 
 
 def _rows_of_cells(polygons: DataFrame, grid: float, on: list[str]) -> DataFrame:
@@ -80,18 +99,26 @@ def tissue_counts(cells: DataFrame, shapes: DataFrame, polygons: DataFrame, cell
 def box_candidates(a: DataFrame, b: DataFrame, grid: float = 64.0, on: list[str] | None = None) -> DataFrame:
     """Pairs whose boxes (x0, y0, x1, y1) touch: columns of ``a``, and of ``b`` with the prefix ``b_``.
 
-    A pair is reported once, from the grid cell that holds the corner of the boxes' overlap,
-    so no deduplication follows the join.
+    Boxes lie on grids of several levels, each on one whose cells are as wide as itself, so that a giant costs as many
+    rows as a small one; two boxes meet on the level of the larger. A pair is reported once, from the cell that
+    holds the corner of the boxes' overlap, so no deduplication follows the join. ``grid`` is the width of the
+    least cells, and should be near the size of a usual shape.
     """
     on = on or []
-    place = lambda d: d.withColumn("__g", F.explode(_cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), grid)))
-    left = place(a).withColumns({"__gx": F.col("__g.gx"), "__gy": F.col("__g.gy")}).drop("__g")
-    right = place(b)
-    right = right.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.col("__g.gx").alias("__hx"), F.col("__g.gy").alias("__hy"))
-    keys = [F.col("__gx") == F.col("__hx"), F.col("__gy") == F.col("__hy"), *(F.col(c) == F.col(f"b_{c}") for c in on)]
+    mark = lambda d, side: d.select(F.lit(side).alias("side"), _level(grid).alias("level"))
+    levels: dict[str, list[int]] = {"a": [], "b": []}
+    for r in mark(a, "a").union(mark(b, "b")).distinct().collect():  # some tens of rows
+        levels[r["side"]].append(r["level"])
+    left, right = _placed(a, grid, sorted(levels["b"])), _placed(b, grid, sorted(levels["a"]))
+    names = ("__own", "__level", "__gx", "__gy")
+    right = right.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], *(F.col(c).alias(f"{c}_b") for c in names))
+    keys = [*(F.col(c) == F.col(f"{c}_b") for c in names[1:]), *(F.col(c) == F.col(f"b_{c}") for c in on)]
+    meet = F.col("__level") == F.greatest("__own", "__own_b")
     touch = (F.col("x0") <= F.col("b_x1")) & (F.col("b_x0") <= F.col("x1")) & (F.col("y0") <= F.col("b_y1")) & (F.col("b_y0") <= F.col("y1"))
-    home = (F.floor(F.greatest("x0", "b_x0") / grid).cast("bigint") == F.col("__gx")) & (F.floor(F.greatest("y0", "b_y0") / grid).cast("bigint") == F.col("__gy"))
-    return left.join(right, reduce(Column.__and__, keys) & touch & home).drop("__gx", "__gy", "__hx", "__hy")
+    size = _size(F.col("__level"), grid)
+    corner = lambda c: F.floor(F.greatest(c, f"b_{c}") / size).cast("bigint")
+    home = (corner("x0") == F.col("__gx")) & (corner("y0") == F.col("__gy"))
+    return left.join(right, reduce(Column.__and__, keys) & meet & touch & home).drop(*names, *(f"{c}_b" for c in names))
 
 
 def max_iou(cells: DataFrame, others: DataFrame, id_col: str = "cell_id", grid: float = 64.0, on: list[str] | None = None) -> DataFrame:

@@ -73,3 +73,35 @@ def test_tissue_filter_keeps_cells_on_seams(spark):
     both = polygons(spark, [[box(0, 0, 10, 10)], [box(10, 0, 20, 10)]])
     assert [r.cell_id for r in spatial.tissue_filter(cells, shapes, both).collect()] == ["c10-5"]
     assert spatial.tissue_counts(cells, shapes, both).first().asDict() == {"n_in": 3, "n_kept": 1, "outside_tissue": 2}
+
+
+# Candidates of boxes of any size.
+
+
+def boxes_of(spark, rows, name):
+    return spark.createDataFrame([(k, *map(float, r)) for k, r in enumerate(rows)], f"{name} bigint, x0 double, y0 double, x1 double, y1 double")
+
+
+def touching(a, b):
+    return {(i, j) for i, p in enumerate(a) for j, q in enumerate(b) if p[0] <= q[2] and q[0] <= p[2] and p[1] <= q[3] and q[1] <= p[3]}
+
+
+def test_candidates_of_mixed_sizes(spark):
+    r = random.Random(4)
+    one = lambda w: (lambda x, y: (x, y, x + r.uniform(0, w), y + r.uniform(0, w)))(r.uniform(-500, 500), r.uniform(-500, 500))
+    a = [one(10) for _ in range(300)] + [one(200) for _ in range(20)] + [(-600, -600, 600, 600), (0, 0, 0, 0), (64, 64, 128, 128)]
+    b = [one(10) for _ in range(300)] + [one(900) for _ in range(5)] + [(0, 0, 0, 0), (128, 128, 129, 129), (-1e9, -1e9, 1e9, 1e9)]
+    for grid in (1.0, 16.0, 64.0):
+        got = [(x.i, x.b_j) for x in spatial.box_candidates(boxes_of(spark, a, "i"), boxes_of(spark, b, "j"), grid).collect()]
+        assert len(got) == len(set(got)) and set(got) == touching(a, b)
+
+
+def test_a_giant_costs_as_many_rows_as_a_small_shape(spark):
+    giant = boxes_of(spark, [(0, 0, 1_000_000, 900_000)], "i")
+    small = boxes_of(spark, [(5.0 * k, 5.0 * k, 5.0 * k + 3, 5.0 * k + 3) for k in range(200)], "j")
+    assert spatial._placed(giant, 64.0, [0]).count() <= 4
+    levels = [r[0] for r in giant.select(spatial._level(64.0)).collect()]
+    assert spatial._placed(small, 64.0, levels).count() <= 200 * 8
+    assert spatial.box_candidates(giant, small, 64.0).count() == 200
+    plan = spatial.box_candidates(giant, small, 64.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cross" not in plan and "NestedLoop" not in plan
