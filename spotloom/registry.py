@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,8 @@ from .functions import scalars as S
 from .functions import sparse
 from .operators import align, filters, genes, manifest, metrics, spatial, splits
 from .plans import planner
-from .session import read_table
-from .sources import catalog, shards
+from .session import checkpoint_dir, read_table
+from .sources import catalog, chunked, shards
 from .views import TABLES, oracle, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -408,6 +409,36 @@ def q_sparse_encode(spark, sf):
     return _sparse(spark, sf).select("vec_id", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"), sparse.nnz(F.col("indices")).alias("nnz"), total.alias("total"))
 
 
+def _folder(spark, name):
+    """A new folder that all executors share."""
+    return f"{checkpoint_dir(spark)}/queries/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT vec_id AS row, CAST(unnest(range(len(embedding))) AS INTEGER) AS gene_idx, CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings")
+def q_array_store(spark, sf):
+    """A matrix that was written as a chunked array, read by rows of chunks."""
+    rows = read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").alias("values"))
+    folder = _folder(spark, "array")
+    chunked.write_array(rows, folder, (rows.agg(F.max("row")).first()[0] + 1, 64), dtype="float32", tall=100)
+    return chunked.read(spark, folder).select("row", F.posexplode("values").alias("gene_idx", "value"))
+
+
+@query(
+    """
+    SELECT vec_id AS row, array_to_string(list_transform(list_filter(range(len(embedding)), lambda i: embedding[i + 1] > 0.1), lambda i: CAST(i AS VARCHAR)), ',') AS indices,
+           CAST(len(list_filter(embedding, lambda x: x > 0.1)) AS BIGINT) AS nnz, round(list_sum(list_transform(list_filter(embedding, lambda x: x > 0.1), lambda x: CAST(x AS DOUBLE))), 6) AS total
+    FROM embeddings
+    """
+)
+def q_csr_store(spark, sf):
+    """Sparse rows that were written as three chunked arrays, read by ranges of rows."""
+    rows, folder = _sparse(spark, sf).withColumnRenamed("vec_id", "row"), _folder(spark, "csr")
+    chunked.write_csr(rows, folder, rows.agg(F.max("row")).first()[0] + 1, tall=1000)
+    out = chunked.read(spark, folder, "csr", entries=3000)
+    total = F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 6)
+    return out.select("row", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"), sparse.nnz(F.col("indices")).alias("nnz"), total.alias("total"))
+
+
 @query("SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS gene_idx, CAST(unnest(list_transform(embedding, lambda x: CASE WHEN x > 0.1 THEN x ELSE 0 END)) AS FLOAT) AS value FROM embeddings")
 def q_sparse_dense(spark, sf):
     rows = _sparse(spark, sf)

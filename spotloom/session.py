@@ -17,7 +17,6 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

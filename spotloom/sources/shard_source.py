@@ -1,9 +1,9 @@
 """Tar shards as a Spark data source: ``spark.read.format("shards")`` and ``df.write.format("shards")``.
 
 Reading: input partitions are ranges of records of the index files beside the shards, so that a shard is
-split between tasks and a task reads byte ranges, not whole files. Filters on ``sample_id`` leave out
-folders and filters on ``sample_index`` records; Spark pushes them where the session allows it
-(``spark.sql.python.filterPushdown.enabled``), and ``read_cells`` passes them as options anywhere.
+split between tasks and a task reads byte ranges, not whole files. Samples leave out folders, and a range of
+indices records, as options of the read. Spark's own pushing of filters to such a source isn't used: in 4.1.2 a
+DataFrame that was read once with a filter keeps it, so that a later read of all rows would lose some.
 
 Writing: every attempt of a task writes beside the others, below a hidden folder of its own, and the driver moves
 the files of those attempts that Spark commits to their names. An attempt that is killed, fails or runs twice
@@ -17,9 +17,8 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 SCHEMA = "sample_id string, shard_path string, sample_index bigint, image binary, meta string"
 #: Records of one input partition.
 CELLS = 500
@@ -57,13 +56,17 @@ class ShardReader(DataSourceReader):
                 continue
             for x in sorted(store.get_file_info(fs.FileSelector(folder)), key=lambda x: x.path):
                 if x.type == fs.FileType.File and x.extension == "idx":
-                    n = (x.size - HEAD) // RECORD
+                    n, rest = divmod(x.size - HEAD, RECORD)
+                    if n < 0 or rest:
+                        raise ValueError(f"{x.path} is no index file, or not whole")
                     out += [InputPartition((name, x.path, at, min(at + self.cells, n))) for at in range(0, n, self.cells)]
         return out
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def read(self, partition: InputPartition | None) -> Iterator[tuple]:
         from . import shards
 
+        if partition is None:  # so Spark reads what has no partitions
+            return
         sample, index, first, last = partition.value
         store, _ = filesystem(self.folder)
         with store.open_input_file(index) as f:
@@ -79,24 +82,6 @@ class ShardReader(DataSourceReader):
                 yield sample, path.rsplit("/", 1)[-1], i, f.read_at(size, at), f.read_at(meta_size, meta_at).decode()
 
 
-class FilteredShardReader(ShardReader):
-    """The same, for sessions that push filters down."""
-
-    def pushFilters(self, filters):  # noqa: N802  the interface's name
-        for f in filters:
-            at = getattr(f, "attribute", None)
-            if at == ("sample_id",) and isinstance(f, EqualTo | In):
-                some = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.samples = some if self.samples is None else self.samples & some
-            elif at == ("sample_index",) and isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual | LessThan | LessThanOrEqual):
-                if not isinstance(f, LessThan | LessThanOrEqual):
-                    self.low = max(self.low, f.value + isinstance(f, GreaterThan))
-                if not isinstance(f, GreaterThan | GreaterThanOrEqual):
-                    self.high = min(self.high, f.value - isinstance(f, LessThan))
-            else:
-                yield f
-
-
 class Written(WriterCommitMessage):
     """What one attempt wrote: (where it is, where it belongs, bytes) of every file."""
 
@@ -183,15 +168,9 @@ class ShardSource(DataSource):
         return ShardWriter(self.options["path"], overwrite)
 
 
-class FilteredShardSource(ShardSource):
-    def reader(self, schema) -> DataSourceReader:
-        return FilteredShardReader(dict(self.options))
-
-
 def register(spark: SparkSession) -> None:
     """Make the format known to a session."""
-    pushes = spark.conf.get(PUSHDOWN, "false") == "true"
-    spark.dataSource.register(FilteredShardSource if pushes else ShardSource)
+    spark.dataSource.register(ShardSource)
 
 
 def read_cells(spark: SparkSession, folder: str, samples: list[str] | None = None, low: int | None = None, high: int | None = None, cells: int = CELLS) -> DataFrame:
