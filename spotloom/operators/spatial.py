@@ -11,9 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import geometry as G
 from ..functions.scalars import canonical_id
+from ..session import cut
 from .align import common_keys, presence, presence_counts
 
 
@@ -160,3 +162,50 @@ def moran_i(points: DataFrame, value: str, radius: float) -> DataFrame:
     b = z.select(F.col("id").alias("jd"), F.col("x").alias("jx"), F.col("y").alias("jy"), F.col("z").alias("jz"), at("x").alias("gx"), at("y").alias("gy"))
     pairs = a.join(b, ["gx", "gy"]).filter((F.col("id") != F.col("jd")) & (F.pow(F.col("x") - F.col("jx"), 2) + F.pow(F.col("y") - F.col("jy"), 2) <= radius * radius))
     return pairs.agg((F.sum(F.col("z") * F.col("jz")) / F.count("*") / F.max("s2")).alias("moran_i"), F.max("n").cast("bigint").alias("n"), F.count("*").alias("pairs"))
+
+
+def nearest(points: DataFrame, k: int, levels: int = 24) -> DataFrame:
+    """(id, neighbour, distance, rank): the k nearest other points of every point (id, x, y), exactly; ties go by id.
+
+    Cells of a grid are halved ``levels`` times. Counts of cells tell for every place the finest level at which the
+    three by three cells around it hold k others; only there are points compared, so that dense places are compared
+    on fine grids and lonely points on coarse ones. A place whose k-th distance is not within what was searched goes
+    on a level above. Points of one place are one place with its k + 1 least ids, so that a crowd in one spot costs no pairs.
+    Points without a coordinate or an id have no neighbours and are none.
+    """
+    p = cut(points.select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).filter("id IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL"))
+    box = p.agg(F.min("x").alias("x"), F.min("y").alias("y"), F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("wide"), F.count("*").alias("n")).first()
+    kind = p.schema["id"].dataType.simpleString()
+    if box.n < 2:
+        return p.sparkSession.createDataFrame([], f"id {kind}, neighbour {kind}, distance double, rank int")
+    width = (box.wide or 1.0) * (1 + 1e-9) / 2**levels
+    first = lambda by: F.row_number().over(Window.partitionBy(*by).orderBy("id"))
+    # The least ids of a place: first of parts of it, then of what these leave.
+    dealt = p.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64)))
+    some = dealt.withColumn("k", first(("x", "y", "part"))).filter(F.col("k") <= k + 1)
+    ids = some.groupBy("x", "y").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
+    at = lambda c: F.floor((F.col(c) - getattr(box, c)) / width).cast("bigint")
+    places = cut(ids.join(p.groupBy("x", "y").agg(F.count("*").alias("m")), ["x", "y"]).withColumns({"cx": at("x"), "cy": at("y")}))
+    up = lambda c: F.expr(f"shiftright({c}, level)")  # noqa: E731  a cell's number on a level
+    around = lambda d: d.withColumn("gx", F.explode(F.sequence(F.col("gx") - 1, F.col("gx") + 1))).withColumn("gy", F.explode(F.sequence(F.col("gy") - 1, F.col("gy") + 1)))
+    cells = places.groupBy("cx", "cy").agg(F.sum("m").alias("m")).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    placed = cells.withColumns({"gx": up("cx"), "gy": up("cy")})
+    enough = around(placed.groupBy("level", "gx", "gy").agg(F.sum("m").alias("m"))).groupBy("level", "gx", "gy").agg(F.sum("m").alias("m")).filter(F.col("m") > k)
+    finest = placed.join(enough.select("level", "gx", "gy"), ["level", "gx", "gy"]).groupBy("cx", "cy").agg(F.min("level").alias("level"))
+    active = cut(places.join(finest, ["cx", "cy"], "left").withColumn("level", F.coalesce("level", F.lit(levels))).select("x", "y", "cx", "cy", "level"))
+    found = []
+    while used := [r[0] for r in active.select("level").distinct().collect()]:  # at most one for each level
+        asks = around(active.withColumns({"gx": up("cx"), "gy": up("cy")}))
+        has = places.select(F.col("x").alias("ox"), F.col("y").alias("oy"), "ids", "cx", "cy", F.explode(F.lit(used).cast("array<int>")).alias("level")).select("ox", "oy", "ids", "level", up("cx").alias("gx"), up("cy").alias("gy"))
+        far = F.sqrt((F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox")) + (F.col("y") - F.col("oy")) * (F.col("y") - F.col("oy")))
+        pairs = asks.join(has, ["level", "gx", "gy"]).select("x", "y", "cx", "cy", "level", far.alias("d"), F.explode("ids").alias("other"))
+        top = pairs.groupBy("x", "y", "cx", "cy", "level").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "other"))), 1, k + 1).alias("top"))
+        size = F.lit(width) * F.pow(F.lit(2.0), "level")
+        edge = lambda c, g: F.least(F.col(c) - getattr(box, c) - (up(g) - 1) * size, (up(g) + 2) * size - (F.col(c) - getattr(box, c)))  # noqa: E731,B023
+        within = (F.size("top") > k) & (F.element_at("top", -1)["d"] < F.least(edge("x", "cx"), edge("y", "cy")))
+        told = cut(top.withColumn("safe", within | (F.col("level") >= levels)))
+        found.append(told.filter("safe").select("x", "y", "top"))
+        active = told.filter("NOT safe").select("x", "y", "cx", "cy", (F.col("level") + 1).alias("level"))
+    near = p.join(reduce(DataFrame.unionByName, found), ["x", "y"])
+    others = F.slice(F.filter("top", lambda t: t["other"] != F.col("id")), 1, k)
+    return near.select("id", F.posexplode(others).alias("at", "t")).select("id", F.col("t.other").alias("neighbour"), F.col("t.d").alias("distance"), (F.col("at") + 1).cast("int").alias("rank"))

@@ -324,6 +324,20 @@ def q_neighbours(spark, sf):
     return metrics.neighbours(_cells(spark, sf).select(F.col("pos").alias("id"), F.col("x_px").alias("x"), F.col("y_px").alias("y")), 20.0)
 
 
+@query(
+    """
+    , d AS (SELECT a.pos AS id, b.pos AS neighbour, sqrt((a.x_px - b.x_px) * (a.x_px - b.x_px) + (a.y_px - b.y_px) * (a.y_px - b.y_px)) AS distance FROM cells_v a JOIN cells_v b ON a.pos <> b.pos),
+      r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) AS rank FROM d)
+    SELECT id, neighbour, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5
+    """,
+    "cells_v",
+)
+def q_nearest(spark, sf):
+    """The five nearest cells of every cell, as edges of a graph."""
+    p = _cells(spark, sf).select(F.col("pos").alias("id"), F.col("x_px").alias("x"), F.col("y_px").alias("y"))
+    return spatial.nearest(p, 5).withColumn("distance", F.round("distance", 6))
+
+
 @query(
     """
     , z AS (SELECT pos, x_px, y_px, CAST(pos % 17 AS DOUBLE) - (SELECT avg(CAST(pos % 17 AS DOUBLE)) FROM cells_v) AS z FROM cells_v),

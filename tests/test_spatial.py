@@ -105,3 +105,34 @@ def test_a_giant_costs_as_many_rows_as_a_small_shape(spark):
     assert spatial.box_candidates(giant, small, 64.0).count() == 200
     plan = spatial.box_candidates(giant, small, 64.0)._jdf.queryExecution().optimizedPlan().toString()
     assert "Cross" not in plan and "NestedLoop" not in plan
+
+
+# Nearest neighbours.
+
+
+def by_force(rows, k):
+    out = set()
+    for i, x, y in rows:
+        far = sorted((((x - u) ** 2 + (y - v) ** 2) ** 0.5, j) for j, u, v in rows if j != i)[:k]
+        out |= {(i, j, n) for n, (_, j) in enumerate(far, 1)}
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_nearest_with_uneven_density(spark, k):
+    r = random.Random(8)
+    xy = [(r.random(), r.random()) for _ in range(150)] + [(5 + r.random() * 1e-6, 5 + r.random() * 1e-6) for _ in range(120)]
+    xy += [(3.0, 3.0)] * 40 + [(3.0, 3.0 + 1e-5)] * 3 + [(1e4, -1e4), (1e4, -1e4 + 50), (-777.0, 0.0)] + [(float(x), float(y)) for x in range(20, 26) for y in range(6)]
+    rows = [(i, *p) for i, p in enumerate(xy)]
+    r.shuffle(rows)
+    df = spark.createDataFrame([*rows, (None, 1.0, 1.0), (9999, None, 2.0)], "id bigint, x double, y double")
+    got = spatial.nearest(df, k).collect()
+    assert {(e.id, e.neighbour, e["rank"]) for e in got} == by_force(rows, k) and len(got) == len(rows) * k
+    at = {i: (x, y) for i, x, y in rows}
+    assert all(abs(e.distance - ((at[e.id][0] - at[e.neighbour][0]) ** 2 + (at[e.id][1] - at[e.neighbour][1]) ** 2) ** 0.5) < 1e-9 for e in got)
+
+
+def test_nearest_of_few_points(spark):
+    of = lambda rows: spark.createDataFrame(rows, "id bigint, x double, y double")
+    assert spatial.nearest(of([]), 3).collect() == [] and spatial.nearest(of([(1, 0.0, 0.0)]), 3).collect() == []
+    assert {(e.id, e.neighbour) for e in spatial.nearest(of([(1, 0.0, 0.0), (2, 0.0, 0.0), (3, 9.0, 0.0)]), 7).collect()} == {(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2)}
