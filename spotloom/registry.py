@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions import geometry as G
 from .functions import scalars as S
 from .functions import sparse
-from .operators import align, filters, genes, manifest, metrics, spatial, splits
+from .operators import align, figures, filters, genes, manifest, metrics, spatial, splits
 from .plans import planner
 from .session import checkpoint_dir, read_table
 from .sources import catalog, chunked, shards
@@ -351,6 +355,35 @@ def q_moran(spark, sf):
     return spatial.moran_i(p, "v", 30.0).withColumn("moran_i", F.round("moran_i", 6))
 
 
+@query(
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS cell_id, 2 * (w + h) AS n_outline, (w + 1) * (10 + w) + (h - 1) * (10 + w) AS sum_x, (h + 1) * (14 + h) + (w - 1) * (14 + h) AS sum_y, CASE WHEN w < 2 OR h < 2 THEN 0 ELSE (w - 1) * (h - 1) END AS n_shaded
+    FROM (SELECT p_partkey, CAST(1 + p_size % 20 AS BIGINT) AS w, 1 + p_partkey % 30 AS h FROM part)
+    """
+)
+def q_overlay_png(spark, sf):
+    """The pixels of every cell's figure, decoded: a box's outline and the shade within it."""
+    w, h = (1 + F.col("p_size") % 20), (1 + F.col("p_partkey") % 30)
+    corners = F.array(*(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in ((F.lit(5), F.lit(7)), (5 + w, F.lit(7)), (5 + w, 7 + h), (F.lit(5), 7 + h))))
+    rows = read_table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("cell_id"), F.lit("cell").alias("layer"), F.lit(0).alias("part"), F.posexplode(corners).alias("vertex", "p"))
+    made = figures.patch_figures(rows.select("cell_id", "layer", "part", "vertex", "p.x", "p.y").withColumnsRenamed({"x": "px", "y": "py"}), 64, fill=("cell",))
+    return made.select("cell_id", _pixels("png").alias("p")).select("cell_id", *(F.col(f"p.{n}").alias(n) for n in ("n_outline", "sum_x", "sum_y", "n_shaded")))
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.LongType()) for n in ("n_outline", "sum_x", "sum_y", "n_shaded")]))
+def _pixels(files: pd.Series) -> pd.DataFrame:
+    """What is drawn in pictures of 64 by 64."""
+    out = []
+    for data in files:
+        at = bytes(data).index(b"IDAT")
+        size = int.from_bytes(data[at - 4 : at], "big")
+        a = np.frombuffer(zlib.decompress(bytes(data[at + 4 : at + 4 + size])), np.uint8).reshape(64, 193)[:, 1:].reshape(64, 64, 3)
+        line, ground = (a == figures.COLOURS["cell"]).all(2), (a == 255).all(2)
+        y, x = np.nonzero(line)
+        out.append((len(x), x.sum(), y.sum(), (~line & ~ground).sum()))
+    return pd.DataFrame(out, columns=["n_outline", "sum_x", "sum_y", "n_shaded"])
+
+
 # Genes and expression.
 
 

@@ -135,22 +135,12 @@ def read_range(places: DataFrame, folder: str) -> DataFrame:
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+        from .loader import Handles
 
-        store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-        at, handle = None, None
+        handles = Handles(1)
         for b in batches:
-            got = []
-            for s, p, o, n in zip(b["sample_id"], b["shard_path"], b["tar_offset"], b["jpg_size"], strict=True):
-                if at != (s, p):
-                    if handle is not None:
-                        handle.close()
-                    at, handle = (s, p), store.open_input_file(f"{base}/{s}/{p}")
-                handle.seek(int(o))
-                got.append(handle.read(int(n)))
-            yield b.assign(payload=got)
-        if handle is not None:
-            handle.close()
+            yield b.assign(payload=[handles.get(f"{folder}/{s}/{p}").read_at(int(n), int(o)) for s, p, o, n in zip(b["sample_id"], b["shard_path"], b["tar_offset"], b["jpg_size"], strict=True)])
+        handles.close_all()
 
     dealt = places.repartition("sample_id", "shard_path").sortWithinPartitions("sample_id", "shard_path", "tar_offset")
     return dealt.mapInPandas(read, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in places.schema) + ", payload binary")
