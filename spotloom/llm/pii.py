@@ -1,9 +1,10 @@
 """Personal data: detection and keyed surrogates, in DataFrame functions alone.
 
 One pattern finds the mentions of a text. A mention's entity is its kind and canonical form
-(lower case, or its letters and digits alone; of a phone number the last ten digits), so that
-differently written mentions are one entity. A name is two entities, the family and the given
-name, so that "Mr. John Smith", "Dr. John Smith" and "Mr. Smith" keep the family in common; a
+(lower case, or its letters and digits alone; of a phone number the national digits, with the country if
+that isn't 1), so that differently written mentions are one entity. A name is an entity for its family and one
+for each given name, so that "Mr. John Paul Smith", "Dr. John Smith" and "Mr. J. Smith" keep the family in common; the
+s of a possessive and the word that begins the next sentence are no part of it, and initials become other letters. A
 given name has the gender of the titles that it stands with anywhere in the corpus, if these
 agree. Every distinct entity of the corpus gets a surrogate of its kind, drawn from a
 SHA-256 of a secret key, the kind and the canonical form: digits stay digits and letters
@@ -38,18 +39,24 @@ from ..session import cut
 from .common import by_place, named, unused
 
 _FREE = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-_MALE, _FEMALE, _ANY = r"Mr|Herr|Señor|Sr|Monsieur|Г-н|Κύριος", r"Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Г-жа|Κυρία", r"Dr|Prof"
-_TITLE = rf"(?:{_FEMALE}|{_MALE}|{_ANY})\.? "
+_MALE, _FEMALE, _ANY = r"Mr|Herr|Señor|Sr|Monsieur|Г-н|Κύριος", r"Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Г-жа|Κυρία", r"Dr|Prof|Doktor|Doctor|Professor|Профессор"
+_TITLE = rf"(?:(?:{_FEMALE}|{_MALE}|{_ANY})\.? )+"
+#: Words that begin sentences and are no names, though they stand after one.
+_STARTS = "A|An|And|But|The|This|That|There|He|She|It|They|We|You|In|On|At|As|When|Then|After|Before|However|Yesterday|Today|Tomorrow|Der|Die|Das|Er|Sie|Es|Und|Aber|Gestern|Heute|El|La|Los|Las|Y|Pero|Ayer|Hoy|Le|Les|Il|Elle|Et|Mais|Hier"
+#: A word of a name, without the s of a possessive; before it may stand initials. Beyond the first, no word that begins a sentence.
+_WORD = r"\p{Lu}(?:\p{L}|-(?=\p{L})|['’](?=\p{L})(?!s(?!\p{L})))++"
+_INITIALS = r"(?:(?:\p{Lu}\.)++ )*+"
+_NEXT = rf" {_INITIALS}(?!(?:{_STARTS})(?![\p{{L}}'’\-])){_WORD}"
 
 #: Kinds in the order in which they are tried.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
-    "phone": _FREE[0] + r"(?:\+?\d{1,3}[ .\-]?)?\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}" + _FREE[1] + r"|\+\d{1,3}(?:[ .\-]\d{2,4}){2,5}" + _FREE[1] + "|" + _FREE[0] + r"\d{3}[.\-]\d{3}[.\-]\d{4}" + _FREE[1],
+    "phone": _FREE[0] + r"(?:\+?\d{1,3}[ .\-]?)?\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}" + _FREE[1] + r"|\+\d{1,3}(?:[ .\-]\d{1,4}){2,6}" + _FREE[1] + "|" + _FREE[0] + r"\d{3}[.\-]\d{3}[.\-]\d{4}" + _FREE[1],
     "card": _FREE[0] + r"(?:\d{4}[ \-]?\d{4}[ \-]?\d{4}[ \-]?\d{4}|3[47]\d{2}[ \-]?\d{6}[ \-]?\d{5})" + _FREE[1],
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?[\p{L}\p{N}])",
     "ssn": _FREE[0] + r"\d{3}-\d{2}-\d{4}" + _FREE[1],
     "iban": _FREE[0] + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _FREE[1],
-    "name": _FREE[0] + _TITLE + r"\p{Lu}[\p{L}'\-]+(?: \p{Lu}[\p{L}'\-]+)?",
+    "name": _FREE[0] + _TITLE + _INITIALS + _WORD + f"(?:{_NEXT}){{0,4}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every mention holds; cheap to look for.
@@ -85,22 +92,37 @@ def _script(word: Column) -> Column:
 
 
 def canonical_of(kind: Column, mention: Column) -> Column:
-    """Lower case for addresses, letters and digits alone for numbers, of phone numbers the last ten digits."""
+    """Lower case for addresses, letters and digits alone for numbers.
+
+    A phone number is its digits; with a country other than 1 that country, a hyphen and the national digits, without or with country 1 the last ten.
+    """
     plain = F.regexp_replace(mention, "[^A-Za-z0-9]", "")
-    return F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention).when(kind == "phone", F.substring(plain, F.greatest(F.length(plain) - 9, F.lit(1)), F.lit(10))).otherwise(plain)
+    country = F.regexp_extract(mention, r"^\+(\d+)", 1)
+    national = F.substring(plain, F.greatest(F.length(plain) - 9, F.lit(1)), F.lit(10))
+    abroad = F.concat(country, F.lit("-"), F.substring(plain, F.length(country) + 1, F.length(plain)))
+    phone = F.when((country != "") & (country != "1") & (F.length(country) <= 3), abroad).otherwise(national)
+    return F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention).when(kind == "phone", phone).otherwise(plain)
+
+
+def _words(mention: Column) -> Column:
+    """The words of a name after its titles."""
+    return F.split(F.substring(mention, F.length(_title(mention)) + 1, F.length(mention)), " ", -1)
 
 
 def entities_of(kind: Column, mention: Column) -> Column:
-    """array<struct<part, kind, canonical, gender>> of a mention: one entity, or the given and the family name."""
+    """array<struct<part, kind, canonical, gender>> of a mention: one entity, or the family and the given names of a name.
+
+    ``part``: ``whole``, ``family``, or ``given`` with the number of the word. Initials are no entities.
+    """
     title = _title(mention)
-    rest = F.substring(mention, F.length(title) + 1, F.length(mention))
     gender = F.when(title.rlike(rf"^(?:{_FEMALE})\.? "), "f").when(title.rlike(rf"^(?:{_MALE})\.? "), "m")
-    entity = lambda part, kind, canonical, gender: F.struct(F.lit(part).alias("part"), kind.alias("kind"), canonical.alias("canonical"), gender.cast("string").alias("gender"))
-    last = F.substring_index(rest, " ", -1)
-    family = entity("family", F.concat(F.lit("family_"), _script(last)), F.lower(last), F.lit(None))
-    first = F.substring_index(rest, " ", 1)
-    given = entity("given", F.concat(F.lit("given_"), _script(first)), F.lower(first), gender)
-    return F.when(kind != "name", F.array(entity("whole", kind, canonical_of(kind, mention), F.lit(None)))).when(rest.contains(" "), F.array(family, given)).otherwise(F.array(family))
+    entity = lambda part, kind, canonical, gender: F.struct(part.alias("part"), kind.alias("kind"), canonical.alias("canonical"), gender.cast("string").alias("gender"))
+    words = _words(mention)
+    last = F.element_at(words, -1)
+    family = entity(F.lit("family"), F.concat(F.lit("family_"), _script(last)), F.lower(last), F.lit(None))
+    one = lambda w, k: F.when((k < F.size(words) - 1) & ~w.endswith("."), entity(F.concat(F.lit("given"), k.cast("string")), F.concat(F.lit("given_"), _script(w)), F.lower(w), gender))
+    given = F.array_compact(F.transform(words, one))
+    return F.when(kind != "name", F.array(entity(F.lit("whole"), kind, canonical_of(kind, mention), F.lit(None)))).otherwise(F.concat(F.array(family), given))
 
 
 def _byte(seed: Column, i: Column | int) -> Column:
@@ -163,7 +185,8 @@ def surrogate(kind: Column, canonical: Column, gender: Column, attempt: Column,
         family = F.concat(*(_pick(SYLLABLES[script], _byte(seed, i)) for i in range(2, 6)))
         first = {g: F.lower(_pick(names, _byte(seed, 1))) for g, names in by.items()}
         out = out.when(kind == f"family_{script}", family).when(kind == f"given_{script}", F.when(gender == "m", first["m"]).when(gender == "f", first["f"]).otherwise(first["u"]))
-    out = out.otherwise(_shape(canonical, seed))
+    # What stands before a hyphen of a phone number is its country, which stays.
+    out = out.when(kind == "phone", _shape(canonical, seed, F.locate("-", canonical))).otherwise(_shape(canonical, seed))
     more = F.when(kind == "email", "").when(kind == "ip", F.concat(F.lit("."), digits))
     for script, syllables in SYLLABLES.items():
         more = more.when(kind.isin(f"family_{script}", f"given_{script}"), _more(seed, attempt, syllables))
@@ -171,17 +194,26 @@ def surrogate(kind: Column, canonical: Column, gender: Column, attempt: Column,
 
 
 def _written(kind: Column, mention: Column, new: Column, canonical: Column | None = None, given: Column | None = None) -> Column:
-    """A canonical surrogate in a mention's own format; what a phone number has before its last ten digits stays."""
+    """A canonical surrogate in a mention's own format; what a phone number has before its last ten digits stays.
+
+    ``given``: array<struct<part, new>> of a name's given names; initials become letters that hang on the key and the family.
+    """
+    plain = F.when(kind == "phone", F.replace(new, F.lit("-"), F.lit(""))).otherwise(new)
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
-    kept = F.lit(0) if canonical is None else F.greatest(F.length(F.regexp_replace(mention, "[^A-Za-z0-9]", "")) - F.length(canonical), F.lit(0))
+    own = F.lit("") if canonical is None else F.when(kind == "phone", F.replace(canonical, F.lit("-"), F.lit(""))).otherwise(canonical)
+    kept = F.lit(0) if canonical is None else F.greatest(F.length(F.regexp_replace(mention, "[^A-Za-z0-9]", "")) - F.length(own), F.lit(0))
     nth = lambda i: F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^A-Za-z0-9]", "")) - kept
-    filled = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[A-Za-z0-9]") & (nth(i) > 0), F.substring(new, nth(i), F.lit(1))).otherwise(c)), "")
+    filled = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[A-Za-z0-9]") & (nth(i) > 0), F.substring(plain, nth(i), F.lit(1))).otherwise(c)), "")
     # What a grown surrogate has beyond the mention's format.
-    filled = F.concat(filled, F.substring(new, nth(F.length(mention)) + 1, F.length(new)))
-    title = _title(mention)
-    rest = F.substring(mention, F.length(title) + 1, F.length(mention))
-    words = new if given is None else F.when(given.isNull(), new).otherwise(F.concat_ws(" ", given, new))
-    name = F.concat(title, F.when((rest == F.upper(rest)) & (F.length(rest) > 2), F.upper(words)).otherwise(F.initcap(words)))
+    filled = F.concat(filled, F.substring(plain, nth(F.length(mention)) + 1, F.length(plain)))
+    words = _words(mention)
+    rest = F.array_join(words, " ")
+    letter = lambda w: F.concat(F.char(F.lit(65) + F.pmod(F.xxhash64(new, w), F.lit(26))), F.lit("."))
+    of = lambda k: F.filter(given, lambda g: g["part"] == F.concat(F.lit("given"), k.cast("string")))
+    first = lambda w, k: F.when(w.endswith("."), letter(w)) if given is None else F.when(w.endswith("."), letter(w)).otherwise(F.get(of(k), 0)["new"])
+    written = F.transform(words, lambda w, k: F.when(k == F.size(words) - 1, F.initcap(new)).otherwise(F.initcap(first(w, k))))
+    name = F.array_join(written, " ")
+    name = F.concat(_title(mention), F.when((rest == F.upper(rest)) & (F.length(rest) > 2), F.upper(name)).otherwise(name))
     return F.when(kind.isin("email", "ip"), new).when(kind == "name", name).otherwise(filled)
 
 
@@ -242,10 +274,11 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     parts = parts.select("id", "key", "idx", "mention", "of", "e.*")
     mapping = assign(parts.select("kind", "canonical", "gender"), key)
     placed = parts.join(mapping, ["kind", "canonical"])
-    # A name's two parts side by side again; all others are alone. A family alone in its mention has no given name.
-    given = F.max(F.when(F.col("part") == "given", F.col("new")))
-    main = F.when(F.col("part") != "given", F.col("new"))
-    one = placed.groupBy("id", "key", "idx").agg(F.first("mention").alias("mention"), F.first("of").alias("of"), F.max(main).alias("new"), given.alias("given"), F.max(F.when(F.col("part") != "given", F.col("canonical"))).alias("canonical"))
+    # A name's parts side by side again; all others are alone. A family alone in its mention has no given names.
+    is_given = F.col("part").startswith("given")
+    given = F.collect_list(F.when(is_given, F.struct("part", "new")))
+    main = F.when(~is_given, F.col("new"))
+    one = placed.groupBy("id", "key", "idx").agg(F.first("mention").alias("mention"), F.first("of").alias("of"), F.max(main).alias("new"), given.alias("given"), F.max(F.when(~is_given, F.col("canonical"))).alias("canonical"))
     one = one.select("id", "key", "of", F.struct("idx", _written(F.col("of"), F.col("mention"), F.col("new"), F.col("canonical"), F.col("given")).alias("new")).alias("one"))
     by_row = one.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(F.array_sort(F.collect_list("one")).alias("__new"), F.array_sort(F.collect_set("of")).alias("__kinds"))
     clean = rows.filter(~_hint(text)).withColumns({"__entities": F.lit(0).cast("bigint"), "__kinds": F.lit("")})

@@ -62,3 +62,54 @@ def test_entities_of_mentions(spark):
     assert got["Mr. John Smith"] == [("family_latin", "smith", None), ("given_latin", "john", "m")] and got["Dr. Smith"] == [("family_latin", "smith", None)]
     assert got["Frau Müller"] == [("family_latin", "müller", None)] and got["Г-жа Анна Иванова"] == [("family_cyrillic", "иванова", None), ("given_cyrillic", "анна", "f")]
     assert got["+1 (316) 555-2121"] == got["316-555-2121"] == [("phone", "3165552121", None)] and got["A@B.io"] == [("email", "a@b.io", None)]
+
+
+TITLES = ["Mr.", "Mrs.", "Dr.", "Prof. Dr.", "Herr Doktor", "Frau", "Monsieur", "Ms"]
+STARTS = ["He", "The", "Yesterday", "But", "They"]
+
+
+def test_no_piece_of_a_name_is_left(spark):
+    """Names of one to four words with initials, hyphens and apostrophes, possessives and the next sentence after them: all their words go, and no others."""
+    r = random.Random(9)
+    families = names(r, 400, "abcdefghijklmnoprstuvwz")
+    firsts = names(r, 60, "abcdefghijklmnoprstuvwz")
+    rows, told = [], []
+    for k in range(1500):
+        family = r.choice(families)
+        family = r.choice([family, family, f"O'{family}", f"{family}-{r.choice(families)}", family.upper()])
+        given = [r.choice([r.choice(firsts), f"{r.choice('ABCDEFG')}."]) for _ in range(r.randrange(4))]
+        if family.isupper():
+            given = [g.upper() for g in given]
+        after = r.choice(["'s dog barked", "’s dog barked", f" {r.choice(STARTS)} went home", ", it said.", ".", " went on", "; then"])
+        title = r.choice(TITLES)
+        before = r.choice(["so ", "", "(", "Then "])
+        rows.append((k, f"{before}{title} {' '.join([*given, family])}{after}"))
+        told.append((before, title, given, family, after))
+    out = {x.doc_id: x.text for x in pii.replace(spark.createDataFrame(rows, "doc_id bigint, text string"), "key").select("doc_id", "text").collect()}
+    seen: dict = {}
+    for k, (before, title, given, family, after) in enumerate(told):
+        text = out[k]
+        assert text.startswith(f"{before}{title} ") and text.endswith(after), (rows[k], text)
+        new = text[len(f"{before}{title} ") : len(text) - len(after)].split(" ")
+        assert len(new) == len(given) + 1, (rows[k], text)
+        assert seen.setdefault(("family", family.lower()), new[-1].lower()) == new[-1].lower() != family.lower()
+        for old, one in zip(given, new, strict=False):
+            if old.endswith("."):
+                assert re.fullmatch(r"[A-Z]\.", one)
+            else:
+                assert seen.setdefault(("given", old.lower()), one.lower()) == one.lower() != old.lower()
+        if family.isupper():
+            assert all(w.isupper() for w in new)
+    for part in ("family", "given"):
+        new = [v for (p, _), v in seen.items() if p == part]
+        assert len(new) == len(set(new))
+
+
+def test_phones_by_country(spark):
+    rows = ["+33 6 12 34 56 78", "+44 316 555 2121", "+1 316 555 2121", "316-555-2121", "+44-316-555-2121", "(316) 555-2121"]
+    d = spark.createDataFrame([(k, f"call {t} now") for k, t in enumerate(rows)], "doc_id bigint, text string")
+    got = {x.doc_id: x.text[5:-4] for x in pii.replace(d, "k").collect()}
+    digits = {k: re.sub(r"\D", "", t) for k, t in got.items()}
+    assert re.fullmatch(r"\+33 \d \d\d \d\d \d\d \d\d", got[0]) and re.fullmatch(r"\+44 \d{3} \d{3} \d{4}", got[1]) and re.fullmatch(r"\+1 \d{3} \d{3} \d{4}", got[2])
+    assert digits[1] == digits[4] and digits[2][1:] == digits[3] == digits[5] and digits[1][2:] != digits[3]
+    assert all(re.sub(r"\D", "", rows[k]) != v for k, v in digits.items())
