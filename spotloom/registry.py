@@ -932,4 +932,4 @@ def q_cidx(spark, sf):
     return rows.join(got, "sample_index").select("cell_id", "payload_sha256", "jpg_size")
 
 
-from . import registry_samples as _samples  # noqa: E402, F401  registers the queries over written samples
+from . import registry_samples, registry_whole  # noqa: E402, F401  both register here
