@@ -35,23 +35,26 @@ from pyspark.sql.window import Window
 from .boosting import Forest
 from .common import named, slices
 
-NAMES = r"passw(?:or)?d|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key|auth|credential"
+NAMES = r"passw(?:or)?d|passwd|pwd|(?<![A-Za-z])pass(?:phrase|code)?(?![A-Za-z])|secret|token|api[_\-]?key|access[_\-]?key|auth|credential"
 FORMS = {
     "cloud_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "forge_token": r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{20,}",
     "chat_token": r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9\-]{10,}",
     "web_token": r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]*",
     "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[\sA-Za-z0-9+/=:,.]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----)?",
-    "assigned": rf"(?i:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?(?P<value>[^\s\"'|]+)",
+    "url": r"(?<![A-Za-z0-9+.\-])[A-Za-z][A-Za-z0-9+.\-]*://[^\s:/@\"'<>]*:(?P<url_value>[^\s@/\"'<>]+)@",
+    "assigned": rf"(?i:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}(?:\"(?P<double>[^\"\n]+)\"|'(?P<single>[^'\n]+)'|[\"']?(?P<value>[^\s\"'|]+))",
     # A run starts once, so that looking ahead over all of it takes time in proportion.
     "long": r"(?<![A-Za-z0-9_/+=.@\-])(?=[A-Za-z_/+=\-]*[0-9])(?=[0-9_/+=\-]*[A-Za-z])[A-Za-z0-9_/+=\-]{20,}",
 }
+#: Groups that hold a value within its form.
+VALUES = ("url_value", "double", "single", "value")
 PATTERN = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMS.items()))
 THRESHOLD = 0.5
 
 #: Words that tell about a finding when they stand near it or in its path.
 TELLING = ("password", "token", "secret", "key", "auth", "login")
-HARMLESS = ("example", "sample", "dummy", "placeholder", "test", "sha", "commit", "hash", "uuid", "checksum", "digest", "your", "changeme", "md5", "fixture", "id")
+HARMLESS = ("example", "sample", "dummy", "placeholder", "test", "sha", "commit", "hash", "uuid", "checksum", "digest", "your", "changeme", "md5", "fixture", "id", "integrity", "etag", "doi", "order", "invoice", "base64", "image", "version")
 #: Words that any dictionary has.
 BASE = frozenset(
     "the and for with that this from have not are was you your password secret token key value name user admin test example sample change default "
@@ -93,8 +96,8 @@ FEATURES = (
 def candidates(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, form) of the candidate values of a text."""
     for m in PATTERN.finditer(text):
-        kind = m.lastgroup if m.lastgroup != "value" else "assigned"
-        start, end = m.span("value") if m["value"] is not None else m.span()
+        kind = next(k for k in FORMS if m[k] is not None)
+        start, end = next((m.span(k) for k in VALUES if m[k] is not None), m.span())
         while end > start and text[end - 1] in ".,;:!?)\"'":
             end -= 1
         if end > start:
@@ -128,8 +131,8 @@ def features(text: str, start: int, end: int, kind: str, path: str | None, known
         float(any(re.search(rf"\b{w}\b", after) for w in HARMLESS)),
         float(any(w in where for w in HARMLESS)),
         float(any(w in low for w in HARMLESS if len(w) > 3)),
-        float(kind not in ("assigned", "long")),
-        float(kind == "assigned"),
+        float(kind not in ("assigned", "long", "url")),
+        float(kind in ("assigned", "url")),
         float(text[start - 1 : start] in ("'", '"')),
     ]
 
@@ -191,7 +194,7 @@ def labelled_findings(n: int = 3000, seed: int = 11, known: Dictionary = _BASE)
         path, label = r.choice(["src", "src/app", "config", "deploy", "data", "", f"src{r.randint(0, 99)}"]), int(r.random() < 0.5)
         q, eq = r.choice(["", '"', "'"]), r.choice(["=", " = ", ": ", ":"])
         if label:
-            kind = r.randrange(9)
+            kind = r.randrange(12)
             value = [
                 "AKIA" + pick(upper, 16),
                 "ghp_" + pick(alnum, 36),
@@ -202,9 +205,12 @@ def labelled_findings(n: int = 3000, seed: int = 11, known: Dictionary = _BASE)
                 f"{name()}{eq}{q}{pick(alnum, r.choice([20, 24, 32, 40]))}{q}",
                 f"{name()}{eq}{q}{word().capitalize()}{pick('0123456789', r.randint(2, 4))}{r.choice('!#$%&*')}{q}",
                 "-----BEGIN PRIVATE KEY-----\n" + "\n".join(pick(alnum + "+/", 64) for _ in range(r.randint(2, 20))) + "\n-----END PRIVATE KEY-----",
+                f"{r.choice(['postgres', 'mysql', 'amqp', 'https', 'redis', 'mongodb+srv'])}://{word()}:{pick(alnum + '!$%_-', r.randint(6, 24))}@{word()}.{word()}/{word()}",
+                "{0}{1}{2}{3}{2}".format(name(), eq, r.choice("'\""), " ".join(word() for _ in range(r.randint(3, 6)))),
+                f"{r.choice(['DB_PASS', 'pass', 'passphrase', 'PASSCODE'])}{eq}{q}{pick(alnum + '#!%', r.randint(6, 20))}{q}",
             ][kind]
         else:
-            kind = r.randrange(10)
+            kind = r.randrange(16)
             value = [
                 f"{name()}{eq}{q}{r.choice(['changeme', 'your_token_here', 'example', 'placeholder', 'xxxxxxxx', '********', 'your-password', 'test1234', 'dummy_value', '<secret>', '${SECRET}', 'null_or_empty'])}{q}",
                 f"{name()}{eq}{q}{word()}{word()}{q}",
@@ -216,6 +222,12 @@ def labelled_findings(n: int = 3000, seed: int = 11, known: Dictionary = _BASE)
                 f"{name()}{eq}{word()} {word()}",
                 f"{name()}{eq}{r.choice(['get', 'read', 'os.environ', 'config', 'self.'])}{word().capitalize()}({q}{word()}{q})",
                 f"{name()}: {r.choice(['none', 'yes', 'no', '***', '?', 'n/a', 'required', '12', 'true'])}",
+                f"integrity={q}{r.choice(['sha256', 'sha384', 'sha512'])}-{pick(alnum + '+/', r.choice([43, 64, 86]))}{q}",
+                f"{r.choice(['ETag', 'etag', 'If-None-Match'])}: {q}{pick(hexes, r.choice([20, 27, 32, 40]))}{q}",
+                f"{r.choice(['order', 'invoice', 'Order no'])} {pick(upper, 4)}-{pick('0123456789', 6)}-{pick(upper, 6)}-{pick('0123456789', 4)}",
+                f"doi {' '.join('10.' + pick('0123456789', 4) + '/' + word() + '.' + pick('0123456789', 4) + '.' + pick('0123456789', 8) for _ in range(3))} x{pick('0123456789', 3)}/{word()}_{word()}/{pick('0123456789', 12)}",
+                f"data:image/png;base64,{pick(alnum + '+/', r.randint(30, 120))}",
+                "{0}{1}{2}{3}{2}".format(name(), eq, r.choice("'\""), r.choice(["enter your password", "your secret here", "change me please", "see the example", "the test token here", "not set", "a sample value"])),
             ][kind]
             if r.random() < 0.3:
                 path = r.choice(["tests/fixtures", "docs/example", "sample"])
