@@ -3,45 +3,17 @@
 from __future__ import annotations
 
 import json
-from collections import OrderedDict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import shards
-from .shard_source import filesystem
+from .shard_source import Handles, filesystem
 
 #: Open shards of a reader, at most.
 HANDLES = 128
 
 
-class Handles:
-    """Open files by path; of more than ``most`` the one that wasn't used for longest is closed. For one thread."""
-
-    def __init__(self, most: int = HANDLES):
-        self.most, self.opened, self.evicted = most, 0, 0
-        self._open: OrderedDict = OrderedDict()
-
-    def get(self, path: str):
-        if path in self._open:
-            self._open.move_to_end(path)
-            return self._open[path]
-        if len(self._open) >= self.most:
-            self._open.popitem(last=False)[1].close()
-            self.evicted += 1
-        store, at = filesystem(path)
-        self._open[path] = store.open_input_file(at)
-        self.opened += 1
-        return self._open[path]
-
-    def __len__(self) -> int:
-        return len(self._open)
-
-    def close_all(self) -> None:
-        while self._open:
-            self._open.popitem()[1].close()
-
-
 class CellReader:
     """The cells of a manifest (sample_id, shard_path, tar_offset, jpg_size, ...) in its order, and with their expression if it is given.
 

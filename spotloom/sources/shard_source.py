@@ -13,7 +13,9 @@ leaves nothing. Rows hold a shard's bytes, or the path of one to be copied witho
 from __future__ import annotations
 
 import json
+import struct
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 SCHEMA = "sample_id string, shard_path string, sample_index bigint, image binary, meta string"
 #: Records of one input partition.
 CELLS = 500
-# The index: a fixed format. Bytes before the records, and of a record.
+# The index: a fixed format. What it begins with, the number of records, a record; bytes before the records, and of a record.
+MAGIC, COUNT, FIELDS = b"CIDX0001", "<I", "<iQIQII"
 HEAD, RECORD = 12, 32
 COPY = 1 << 20
 
@@ -36,6 +39,38 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def records_of(data: bytes) -> list[tuple[int, int, int, int, int]]:
+    """The records in the bytes after an index's head."""
+    return [r[:5] for r in struct.iter_unpack(FIELDS, data)]
+
+
+class Handles:
+    """Open files by path; of more than ``most`` the one that wasn't used for longest is closed. For one thread."""
+
+    def __init__(self, most: int = 128):
+        self.most, self.opened, self.evicted = most, 0, 0
+        self._open: OrderedDict = OrderedDict()
+
+    def get(self, path: str):
+        if path in self._open:
+            self._open.move_to_end(path)
+            return self._open[path]
+        if len(self._open) >= self.most:
+            self._open.popitem(last=False)[1].close()
+            self.evicted += 1
+        store, at = filesystem(path)
+        self._open[path] = store.open_input_file(at)
+        self.opened += 1
+        return self._open[path]
+
+    def __len__(self) -> int:
+        return len(self._open)
+
+    def close_all(self) -> None:
+        while self._open:
+            self._open.popitem()[1].close()
+
+
 class ShardReader(DataSourceReader):
     """Cells of the samples, and of the indices from ``low`` to ``high``, where these are given."""
 
@@ -63,17 +98,15 @@ class ShardReader(DataSourceReader):
         return out
 
     def read(self, partition: InputPartition | None) -> Iterator[tuple]:
-        from . import shards
-
         if partition is None:  # so Spark reads what has no partitions
             return
         sample, index, first, last = partition.value
         store, _ = filesystem(self.folder)
         with store.open_input_file(index) as f:
-            if f.read(8) != shards.MAGIC:
+            if f.read(8) != MAGIC:
                 raise ValueError(f"{index} is not an index file")
             data = f.read_at((last - first) * RECORD, HEAD + first * RECORD)
-        records = [r for r in shards.records_of(data) if self.low <= r[0] <= self.high]
+        records = [r for r in records_of(data) if self.low <= r[0] <= self.high]
         if not records:
             return
         path = index.removesuffix(".idx") + ".tar"

@@ -18,10 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shard_source, store
+from .shard_source import COUNT, FIELDS, MAGIC, RECORD, Handles, records_of
 
-# The index format: fixed values.
-MAGIC = b"CIDX0001"
-COUNT, RECORD = "<I", "<iQIQII"
 
 
 def _tar(members: list[tuple[str, bytes]]) -> tuple[bytes, dict[str, tuple[int, int]]]:
@@ -39,19 +37,14 @@ def _tar(members: list[tuple[str, bytes]]) -> tuple[bytes, dict[str, tuple[int,
 
 def pack_index(records: list[tuple[int, int, int, int, int]]) -> bytes:
     """(index, image offset, image size, json offset, json size) of each cell."""
-    return MAGIC + struct.pack(COUNT, len(records)) + b"".join(struct.pack(RECORD, *r, 0) for r in records)
+    return MAGIC + struct.pack(COUNT, len(records)) + b"".join(struct.pack(FIELDS, *r, 0) for r in records)
 
 
 def unpack_index(data: bytes) -> list[tuple[int, int, int, int, int]]:
     if data[:8] != MAGIC:
         raise ValueError("not an index file")
     (n,) = struct.unpack_from(COUNT, data, 8)
-    return records_of(data[12 : 12 + n * struct.calcsize(RECORD)])
-
-
-def records_of(data: bytes) -> list[tuple[int, int, int, int, int]]:
-    """The records in the bytes after an index's head."""
-    return [r[:5] for r in struct.iter_unpack(RECORD, data)]
+    return records_of(data[12 : 12 + n * RECORD])
 
 
 def pack_sparse(indices, values) -> bytes:
@@ -135,8 +128,6 @@ def read_range(places: DataFrame, folder: str) -> DataFrame:
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from .loader import Handles
-
         handles = Handles(1)
         for b in batches:
             yield b.assign(payload=[handles.get(f"{folder}/{s}/{p}").read_at(int(n), int(o)) for s, p, o, n in zip(b["sample_id"], b["shard_path"], b["tar_offset"], b["jpg_size"], strict=True)])

@@ -116,3 +116,25 @@ def test_a_package_without_a_shard_is_an_error(spark, tmp_path):
     with pytest.raises(KeyError, match="B/shard-000001"):
         pipelines.package(listed, ["g"], str(tmp_path / "package"), task="t", defer_split=True, source=str(tmp_path / "in"))
     assert not os.path.exists(tmp_path / "package")
+
+
+def test_executors_need_no_copy_of_the_package(sf_dir, tmp_path):
+    """Sources, readers and figures from a folder where Python workers find no package."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    here = Path(__file__).resolve().parent.parent
+    code = f"""
+import sys
+sys.path.insert(0, {str(here)!r})
+from spotloom.session import local_session
+from spotloom import registry
+spark = local_session(4, 4, "2g")
+for name in ("q_shard_source", "q_read_ranges", "q_csr_store", "q_overlay_png"):
+    print(name, registry.QUERIES[name](spark, {sf_dir!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    found = dict(x.split() for x in out.stdout.splitlines() if x.startswith("q_"))
+    assert len(found) == 4 and all(int(n) > 0 for n in found.values()), out.stderr[-2000:]
