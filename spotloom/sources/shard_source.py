@@ -127,6 +127,9 @@ class ShardWriter(DataSourceWriter):
 
     def __init__(self, folder: str, overwrite: bool):
         self.folder, self.overwrite, self.job = folder, overwrite, uuid.uuid4().hex
+        # Made here, on the driver: a task that is still at work when its job has been given up finds no folder to write to.
+        store, base = filesystem(folder)
+        store.create_dir(self.staging(base), recursive=True)
 
     def staging(self, base: str) -> str:
         return f"{base}/_staging-{self.job}"
@@ -134,9 +137,10 @@ class ShardWriter(DataSourceWriter):
     def write(self, iterator) -> Written:
         store, base = filesystem(self.folder)
         own, files = f"{self.staging(base)}/{uuid.uuid4().hex}", []
+        store.create_dir(own, recursive=False)
         for row in iterator:
             r = row.asDict()
-            store.create_dir(f"{own}/{r['sample_id']}", recursive=True)
+            store.create_dir(f"{own}/{r['sample_id']}", recursive=False)
             name = f"{r['sample_id']}/{r['shard_path']}"
             pairs = [(name, r.get("content"), r.get("source")), (name.removesuffix(".tar") + ".idx", r.get("cidx"), r.get("source") and r["source"].removesuffix(".tar") + ".idx")]
             for to, data, source in pairs:
@@ -180,8 +184,14 @@ class ShardWriter(DataSourceWriter):
         from pyarrow import fs
 
         store, base = filesystem(self.folder)
-        if store.get_file_info(self.staging(base)).type != fs.FileType.NotFound:
-            store.delete_dir(self.staging(base))
+        for last in (False, False, True):
+            try:
+                if store.get_file_info(self.staging(base)).type != fs.FileType.NotFound:
+                    store.delete_dir(self.staging(base))
+                return
+            except OSError:  # a task has just written into it
+                if last:
+                    raise
 
 
 class ShardSource(DataSource):
