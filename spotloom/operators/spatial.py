@@ -65,19 +65,25 @@ def inside(points: DataFrame, polygons: DataFrame, grid: float = 256.0, on: list
 
     A point strictly inside a polygon is inside the union. One on outlines alone is inside if the polygons that
     meet there leave no gap around it, as on the seam of two that touch; for such places, which are few, the faces
-    around them are gathered, equal ones once, so that copies of a polygon cost no more than one.
+    around them are gathered, equal ones once. Copies of a polygon, and points of one place, meet once: the
+    work grows with the different ones, and each copy costs a row.
     """
     on = on or []
     at = lambda v: F.floor(v / grid).cast("bigint")
-    placed = _rows_of_cells(polygons, grid, on)
+    placed = _rows_of_cells(polygons.select(*on, "rings").distinct(), grid, on)
     x, y, sides = F.col("x"), F.col("y"), F.col("__sides")
     keys = reduce(Column.__and__, [at(x) == F.col("__gx"), at(y) == F.col("__gy"), *(F.col(c) == F.col(f"__{c}") for c in on)])
-    places = points.select(*on, x.cast("double").alias("x"), y.cast("double").alias("y")).join(placed, keys & G.touches(sides, x, y))
+    # Cut, so that the joins read a plain shuffle of the different places.
+    every = cut(points.select(*on, x.cast("double").alias("x"), y.cast("double").alias("y")).distinct())
+    places = every.join(placed, keys & G.touches(sides, x, y))
     seams = places.select(*on, "x", "y", G.faces(sides, x, y).alias("__f")).groupBy(*on, "x", "y").agg(F.collect_set("__f").alias("__around"))
     seams = seams.filter(G.surrounded(F.col("__around"))).select(*[F.col(c).alias(f"__{c}") for c in on], at(x).alias("__gx"), at(y).alias("__gy"), F.struct("x", "y").alias("__seam"))
     both = placed.unionByName(seams, allowMissingColumns=True)
     here = F.coalesce((x == F.col("__seam.x")) & (y == F.col("__seam.y")), F.lit(False))
-    return points.join(both, keys & F.when(sides.isNull(), here).otherwise(G.contains(sides, x, y)), "left_semi")
+    found = every.join(both, keys & F.when(sides.isNull(), here).otherwise(G.contains(sides, x, y)), "left_semi")
+    found = found.select(*[F.col(c).alias(f"__{c}") for c in (*on, "x", "y")])
+    same = reduce(Column.__and__, (F.col(c) == F.col(f"__{c}") for c in on), (x.cast("double") == F.col("__x")) & (y.cast("double") == F.col("__y")))
+    return points.join(found, same, "left_semi")
 
 
 def tissue_filter(cells: DataFrame, shapes: DataFrame, polygons: DataFrame, cell_id: str = "cell_id", transform: tuple[float, ...] | None = None, grid: float = 256.0) -> DataFrame:

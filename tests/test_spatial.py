@@ -136,3 +136,15 @@ def test_nearest_of_few_points(spark):
     of = lambda rows: spark.createDataFrame(rows, "id bigint, x double, y double")
     assert spatial.nearest(of([]), 3).collect() == [] and spatial.nearest(of([(1, 0.0, 0.0)]), 3).collect() == []
     assert {(e.id, e.neighbour) for e in spatial.nearest(of([(1, 0.0, 0.0), (2, 0.0, 0.0), (3, 9.0, 0.0)]), 7).collect()} == {(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2)}
+
+
+# Copies: the joins see different shapes alone.
+
+
+def test_copies_of_points_and_polygons_meet_once(spark, monkeypatch):
+    seen, own = [], spatial._rows_of_cells
+    monkeypatch.setattr(spatial, "_rows_of_cells", lambda p, *more: seen.append(p.count()) or own(p, *more))
+    shapes = polygons(spark, [[box(0, 0, 10, 10)], [box(10, 0, 20, 10)]] * 150)
+    p = points(spark, [(10, 5), (5, 5), (25, 5), (0, 5)] * 200)
+    got = [(r.x, r.y) for r in spatial.inside(p, shapes, 8.0).collect()]
+    assert seen == [2] and sorted(got) == [(5, 5)] * 200 + [(10, 5)] * 200
