@@ -130,14 +130,21 @@ def box_candidates(a: DataFrame, b: DataFrame, grid: float = 64.0, on: list[str]
 
 
 def max_iou(cells: DataFrame, others: DataFrame, id_col: str = "cell_id", grid: float = 64.0, on: list[str] | None = None) -> DataFrame:
-    """(id, max_iou, n_candidates) of cells with a candidate. Rings, if both sides have them, decide; else the boxes."""
-    pairs = box_candidates(cells, others, grid, on)
-    if "ring" in cells.columns and "ring" in others.columns:
+    """(id, max_iou, n_candidates) of cells with a candidate. Rings, if both sides have them, decide; else the boxes.
+
+    Shapes that are equal meet the others once, with their number, so that copies cost a row each and not a pair.
+    """
+    on, rings = on or [], "ring" in cells.columns and "ring" in others.columns
+    shape = [*on, "x0", "y0", "x1", "y1", *(["ring"] if rings else [])]
+    pairs = box_candidates(cells.select(*shape).distinct(), others.groupBy(*shape).agg(F.count("*").alias("__n")), grid, on)
+    if rings:
         iou = G.polygon_iou_udf(F.col("ring"), F.col("b_ring"))
     else:
         box = lambda p: {k: F.col(p + k) for k in ("x0", "y0", "x1", "y1")}
         iou = G.box_iou(box(""), box("b_"))
-    return pairs.withColumn("__iou", iou).groupBy(*(on or []), id_col).agg(F.max("__iou").alias("max_iou"), F.count("*").alias("n_candidates"))
+    best = pairs.withColumn("__iou", iou).groupBy(*shape).agg(F.max("__iou").alias("__max"), F.sum("b___n").alias("__n"))
+    told = cells.select(id_col, *shape).join(best, shape)
+    return told.groupBy(*on, id_col).agg(F.max("__max").alias("max_iou"), F.sum("__n").cast("bigint").alias("n_candidates"))
 
 
 def overlap_filter(cells: DataFrame, xen: DataFrame, he: DataFrame, threshold: float = 0.5, id_col: str = "cell_id", grid: float = 64.0) -> DataFrame:

@@ -148,3 +148,21 @@ def test_copies_of_points_and_polygons_meet_once(spark, monkeypatch):
     p = points(spark, [(10, 5), (5, 5), (25, 5), (0, 5)] * 200)
     got = [(r.x, r.y) for r in spatial.inside(p, shapes, 8.0).collect()]
     assert seen == [2] and sorted(got) == [(5, 5)] * 200 + [(10, 5)] * 200
+
+
+def test_copies_of_boxes_and_rings_meet_once(spark, monkeypatch):
+    seen, own = [], spatial.box_candidates
+
+    def candidates(*args):
+        pairs = own(*args)
+        seen.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(spatial, "box_candidates", candidates)
+    a = boxes_of(spark, [(0, 0, 10, 10), (100, 0, 110, 10)] * 100, "cell_id")
+    b = boxes_of(spark, [(5, 0, 15, 10), (0, 0, 10, 10), (500, 0, 510, 10)] * 100, "he_id")
+    ring = lambda d: d.withColumn("ring", F.array(*(F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")))))
+    for one, two in ((a, b), (ring(a), ring(b))):
+        got = spatial.max_iou(one, two).collect()
+        assert sorted((r.cell_id, r.max_iou, r.n_candidates) for r in got) == [(k, 1.0, 200) for k in range(0, 200, 2)]
+    assert seen == [2, 2]
