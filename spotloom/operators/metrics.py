@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import small
+from ..session import cut, small
 
 
 def pearson(pairs: DataFrame, by: str = "gene") -> DataFrame:
@@ -197,14 +197,28 @@ def label_map(rows: DataFrame, column: str) -> DataFrame:
 
 
 def neighbours(points: DataFrame, radius: float) -> DataFrame:
-    """(id, n_neighbours) within a radius, by a grid of that width."""
+    """(id, n_neighbours) within a radius, by a grid of that width.
+
+    Points of one place are one with their number, so that a crowd in one spot costs no pairs.
+    """
     at = lambda c: F.floor(F.col(c) / radius).cast("bigint")
     near = lambda c: F.explode(F.sequence(at(c) - 1, at(c) + 1))
-    a = points.select("id", "x", "y", near("x").alias("gx")).select("*", near("y").alias("gy"))
-    b = points.select(F.col("id").alias("jd"), F.col("x").alias("jx"), F.col("y").alias("jy"), at("x").alias("gx"), at("y").alias("gy"))
-    close = (F.col("id") != F.col("jd")) & (F.pow(F.col("x") - F.col("jx"), 2) + F.pow(F.col("y") - F.col("jy"), 2) <= radius * radius)
-    found = a.join(b, ["gx", "gy"]).filter(close).groupBy("id").agg(F.count("*").alias("n"))
-    return points.select("id").join(found, "id", "left").select("id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_neighbours"))
+    close = F.pow(F.col("x") - F.col("jx"), 2) + F.pow(F.col("y") - F.col("jy"), 2) <= radius * radius
+
+    def within(places: DataFrame, *on: str) -> DataFrame:
+        """(on, x, y, n, m): every place with its number n and the number m of points around it, its own among them."""
+        a = places.select(*on, "x", "y", "n", near("x").alias("gx")).select("*", near("y").alias("gy"))
+        b = places.select(*on, F.col("x").alias("jx"), F.col("y").alias("jy"), F.col("n").alias("jn"), at("x").alias("gx"), at("y").alias("gy"))
+        return a.join(b, [*on, "gx", "gy"]).filter(close).groupBy(*on, "x", "y", "n").agg(F.sum("jn").alias("m"))
+
+    known = points.select("id", "x", "y").filter("id IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
+    around = within(cut(known.groupBy("x", "y").agg(F.count("*").alias("n"))))
+    found = known.join(around.select("x", "y", "m"), ["x", "y"]).groupBy("id").agg(F.sum("m").alias("m"), F.count("*").alias("rows"))
+    # Rows of the point's own id are no neighbours: itself alone, but where an id has several rows.
+    several = known.join(found.filter("rows > 1").select("id"), "id", "left_semi").groupBy("id", "x", "y").agg(F.count("*").alias("n"))
+    own = within(several, "id").groupBy("id").agg(F.sum(F.col("n") * F.col("m")).alias("own"))
+    counts = found.join(own, "id", "left").select("id", (F.col("m") - F.coalesce("own", F.lit(1))).alias("n"))
+    return points.select("id").join(counts, "id", "left").select("id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_neighbours"))
 
 
 def content_hash(rows: DataFrame, *columns: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from spotloom.operators import spatial
+from spotloom.operators import metrics, spatial
 
 RING = "array<array<struct<x:double,y:double>>>"
 
@@ -166,3 +166,17 @@ def test_copies_of_boxes_and_rings_meet_once(spark, monkeypatch):
         got = spatial.max_iou(one, two).collect()
         assert sorted((r.cell_id, r.max_iou, r.n_candidates) for r in got) == [(k, 1.0, 200) for k in range(0, 200, 2)]
     assert seen == [2, 2]
+
+
+def test_neighbours_count_points_of_one_place_without_pairs(spark):
+    r = random.Random(5)
+    xy = [(r.randrange(12), r.randrange(12)) for _ in range(60)] * 4 + [(30, 30)] * 300
+    rows = [(k if k % 50 else 7, float(x), float(y)) for k, (x, y) in enumerate(xy)]
+    expected = {}
+    for i, x, y in rows:
+        expected[i] = expected.get(i, 0) + sum(j != i and (x - u) ** 2 + (y - v) ** 2 <= 9 for j, u, v in rows)
+    found = metrics.neighbours(spark.createDataFrame([*rows, (None, 1.0, 1.0), (9999, None, 2.0)], "id bigint, x double, y double"), 3.0)
+    got = [(e.id, e.n_neighbours) for e in found.collect()]
+    assert sorted(got, key=str) == sorted([(i, expected[i]) for i, _, _ in rows] + [(None, 0), (9999, 0)], key=str)
+    crowd = spark.range(30_000).select("id", F.lit(1.0).alias("x"), F.lit(2.0).alias("y"))
+    assert {e.n_neighbours for e in metrics.neighbours(crowd, 3.0).collect()} == {29_999}
