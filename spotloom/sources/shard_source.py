@@ -1,7 +1,7 @@
 """Tar shards as a Spark data source: ``spark.read.format("shards")`` and ``df.write.format("shards")``.
 
 Reading: input partitions are ranges of records of the index files beside the shards, so that a shard is
-split between tasks and a task reads byte ranges, not whole files. Samples leave out folders, and a range of
+split between tasks and a task reads byte ranges, not whole files; of many ranges a task has several. Samples leave out folders, and a range of
 indices records, as options of the read. Spark's own pushing of filters to such a source isn't used: in 4.1.2 a
 DataFrame that was read once with a filter keeps it, so that a later read of all rows would lose some.
 
@@ -17,13 +17,19 @@ import struct
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 SCHEMA = "sample_id string, shard_path string, sample_index bigint, image binary, meta string"
-#: Records of one input partition.
+#: Records of one range.
 CELLS = 500
+#: Input partitions at most; of more ranges a partition has several, one after the other.
+PARTS = 1000
+#: Files that a commit moves at once.
+MOVES = 16
 # The index: a fixed format. What it begins with, the number of records, a record; bytes before the records, and of a record.
 MAGIC, COUNT, FIELDS = b"CIDX0001", "<I", "<iQIQII"
 HEAD, RECORD = 12, 32
@@ -94,25 +100,27 @@ class ShardReader(DataSourceReader):
                     n, rest = divmod(x.size - HEAD, RECORD)
                     if n < 0 or rest:
                         raise ValueError(f"{x.path} is no index file, or not whole")
-                    out += [InputPartition((name, x.path, at, min(at + self.cells, n))) for at in range(0, n, self.cells)]
-        return out
+                    out += [(name, x.path, at, min(at + self.cells, n)) for at in range(0, n, self.cells)]
+        # Ranges in the order of their shards, so that a task reads a shard's one after the other.
+        parts = min(PARTS, len(out))
+        return [InputPartition(out[len(out) * k // parts : len(out) * (k + 1) // parts]) for k in range(parts)]
 
     def read(self, partition: InputPartition | None) -> Iterator[tuple]:
         if partition is None:  # so Spark reads what has no partitions
             return
-        sample, index, first, last = partition.value
         store, _ = filesystem(self.folder)
-        with store.open_input_file(index) as f:
-            if f.read(8) != MAGIC:
-                raise ValueError(f"{index} is not an index file")
-            data = f.read_at((last - first) * RECORD, HEAD + first * RECORD)
-        records = [r for r in records_of(data) if self.low <= r[0] <= self.high]
-        if not records:
-            return
-        path = index.removesuffix(".idx") + ".tar"
-        with store.open_input_file(path) as f:
-            for i, at, size, meta_at, meta_size in records:
-                yield sample, path.rsplit("/", 1)[-1], i, f.read_at(size, at), f.read_at(meta_size, meta_at).decode()
+        for (sample, index), own in groupby(partition.value, lambda r: r[:2]):
+            with store.open_input_file(index) as f:
+                if f.read(8) != MAGIC:
+                    raise ValueError(f"{index} is not an index file")
+                data = b"".join(f.read_at((last - first) * RECORD, HEAD + first * RECORD) for _, _, first, last in own)
+            records = [r for r in records_of(data) if self.low <= r[0] <= self.high]
+            if not records:
+                continue
+            path = index.removesuffix(".idx") + ".tar"
+            with store.open_input_file(path) as f:
+                for i, at, size, meta_at, meta_size in records:
+                    yield sample, path.rsplit("/", 1)[-1], i, f.read_at(size, at), f.read_at(meta_size, meta_at).decode()
 
 
 class Written(WriterCommitMessage):
@@ -172,10 +180,16 @@ class ShardWriter(DataSourceWriter):
                     store.delete_file(x.path)
         for folder in {to.rsplit("/", 1)[0] for to in names}:
             store.create_dir(folder, recursive=True)
-        for at, to, _ in files:
-            if store.get_file_info(to).type != fs.FileType.NotFound:
-                store.delete_file(to)
-            store.move(at, to)
+        there = {x.path for folder in {to.rsplit("/", 1)[0] for to in names} for x in store.get_file_info(fs.FileSelector(folder))}
+
+        def move(file: tuple[str, str, int]) -> None:
+            if file[1] in there:
+                store.delete_file(file[1])
+            store.move(file[0], file[1])
+
+        with ThreadPoolExecutor(MOVES) as pool:
+            for _ in pool.map(move, files):  # the first error is raised
+                pass
         self.abort(messages)
         with store.open_output_stream(f"{base}/_SUCCESS") as f:
             f.write(json.dumps([[to, n] for _, to, n in files]).encode())

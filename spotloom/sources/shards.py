@@ -24,15 +24,17 @@ from .shard_source import COUNT, FIELDS, MAGIC, RECORD, Handles, records_of
 
 def _tar(members: list[tuple[str, bytes]]) -> tuple[bytes, dict[str, tuple[int, int]]]:
     """A tar file, and where each member's data is."""
-    buffer = io.BytesIO()
-    with tarfile.open(fileobj=buffer, mode="w", format=tarfile.USTAR_FORMAT) as tar:
-        for name, data in members:
-            info = tarfile.TarInfo(name)
-            info.size = len(data)
-            tar.addfile(info, io.BytesIO(data))
-    content = buffer.getvalue()
-    with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-        return content, {m.name: (m.offset_data, m.size) for m in tar}
+    parts, at, end = [], {}, 0
+    for name, data in members:
+        info = tarfile.TarInfo(name)
+        info.size = len(data)
+        head = info.tobuf(tarfile.USTAR_FORMAT)
+        at[name] = (end + len(head), len(data))
+        parts += [head, data, bytes(-len(data) % tarfile.BLOCKSIZE)]
+        end += sum(map(len, parts[-3:]))
+    # Two empty blocks, filled up to a whole record.
+    rest = 2 * tarfile.BLOCKSIZE
+    return b"".join([*parts, bytes(rest + -(end + rest) % tarfile.RECORDSIZE)]), at
 
 
 def pack_index(records: list[tuple[int, int, int, int, int]]) -> bytes:

@@ -1,7 +1,9 @@
 """Shards as a data source: ranges of records, filters, commits and packages without loss."""
 
+import io
 import json
 import os
+import tarfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +140,27 @@ for name in ("q_shard_source", "q_read_ranges", "q_csr_store", "q_overlay_png"):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     found = dict(x.split() for x in out.stdout.splitlines() if x.startswith("q_"))
     assert len(found) == 4 and all(int(n) > 0 for n in found.values()), out.stderr[-2000:]
+
+
+def test_many_ranges_share_a_bounded_number_of_partitions(spark, tmp_path, monkeypatch):
+    made, rows = built(spark, n=40)
+    shards.write_shards(rows, str(tmp_path))
+    monkeypatch.setattr(shard_source, "PARTS", 5)
+    parts = shard_source.ShardReader({"path": str(tmp_path), "cells": "1"}).partitions()
+    assert len(parts) == 5 and sum(len(p.value) for p in parts) == 80
+    reader = shard_source.ShardReader({"path": str(tmp_path), "cells": "1", "low": "3", "high": "38"})
+    got = sorted((s, i, bytes(image)) for p in reader.partitions() for s, _, i, image, _ in reader.read(p))
+    assert got == sorted((r.sample_id, r.sample_index, bytes(r.image)) for r in made.collect() if 3 <= r.sample_index <= 38)
+
+
+def test_tar_is_byte_for_byte_that_of_the_library():
+    members = [(f"{k:07d}.jpg", b"x" * n) for k, n in enumerate((0, 1, 511, 512, 513, 9000))] + [("d" * 80 + "/" + "f" * 60 + ".json", b"{}")]
+    for some in ([], members[:1], members):
+        buffer = io.BytesIO()
+        with tarfile.open(fileobj=buffer, mode="w", format=tarfile.USTAR_FORMAT) as tar:
+            for name, data in some:
+                info = tarfile.TarInfo(name)
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+        content, at = shards._tar(some)
+        assert content == buffer.getvalue() and all(content[at[n][0] : sum(at[n])] == d for n, d in some)
