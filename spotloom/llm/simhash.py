@@ -296,7 +296,7 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
     emitted = bands.select("root", "band", F.explode(_masks(1)).alias("mask")).select("root", F.col("band").bitwiseXOR(F.col("mask")).alias("key"))
     shared = emitted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     near = shared.select("key", F.explode(_masks(1)).alias("mask")).select("key", F.col("key").bitwiseXOR(F.col("mask")).alias("band"))
-    members = cut(near.join(_bands(placed), "band").select("key", "t"))
+    members = cut(near.join(_bands(placed), "band").select("key", "band", "t"))
     placed = joined(placed, verifier.links(stars(members.join(placed.select("t", "root"), "t"), "key")))
     placed = joined(placed, verifier.links(_rest(members.join(placed.select("t", "root"), "t"))))
     names = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("t", "component_id")
@@ -304,14 +304,25 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
 
 
 def _rest(members: DataFrame) -> DataFrame:
-    """(a, b) of all members of a key in different components, in groups of two blocks each."""
-    several = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi and n > 2")
-    dealt = members.join(cut(several.select("key", F.ceil(F.col("n") / GROUP).cast("int").alias("m"))), "key")
+    """(a, b) of all members of a key in different components, in groups of two blocks each.
+
+    Those of a key's largest component meet the other members alone, not each other. Texts of one band, which share
+    all its variants, meet in the key that is the band; in others those of different bands do. Without ``band`` all meet.
+    """
+    members = members if "band" in members.columns else members.withColumn("band", F.col("key"))
+    sizes = members.groupBy("key", "root").agg(F.count("*").alias("k"), F.min("band").alias("low"), F.max("band").alias("high"), F.max((F.col("band") == F.col("key")).cast("int")).alias("owned"))
+    several = sizes.groupBy("key").agg(F.sum("k").alias("n"), F.max(F.struct("k", "root")).alias("most"), F.count("*").alias("c"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("owned").alias("owned"))
+    several = several.filter("c > 1 and n > 2 and (low <> high or owned = 1)")
+    dealt = members.join(cut(several.select("key", F.ceil(F.col("n") / GROUP).cast("int").alias("m"), F.col("most.root").alias("big"))), "key")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("t"), "m").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.struct("t", "root", "own").alias("one"))
+    one = F.struct("t", "root", "band", "own", (F.col("root") == F.col("big")).alias("big")).alias("one")
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), one)
     each = dealt.repartition("key", "i", "j").groupBy("key", "i", "j").agg(F.collect_list("one").alias("all"))
-    both = each.select("i", "j", F.explode("all").alias("x"), "all").select("i", "j", "x", F.explode("all").alias("y"))
-    return both.filter("x.t < y.t and x.root <> y.root and (i = j or x.own <> y.own)").select(F.col("x.t").alias("a"), F.col("y.t").alias("b")).distinct()
+    few = each.select("key", "i", "j", F.explode(F.filter("all", lambda x: ~x["big"])).alias("x"), "all")
+    x = F.col("x")
+    apart = lambda y: (x["root"] != y["root"]) & (y["big"] | (x["t"] < y["t"])) & ((F.col("i") == F.col("j")) | (x["own"] != y["own"]))
+    both = few.select("x", F.explode(F.filter("all", lambda y: apart(y) & ((x["band"] != y["band"]) | (x["band"] == F.col("key"))))).alias("y"))
+    return both.select(F.least("x.t", "y.t").alias("a"), F.greatest("x.t", "y.t").alias("b")).distinct()
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

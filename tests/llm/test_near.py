@@ -80,6 +80,14 @@ def test_rest_of_a_crowd_is_compared_whole(spark, monkeypatch):
     assert sorted(got) == [(a, b) for a, b in combinations(range(20), 2) if a % 4 != b % 4]
 
 
+def test_texts_of_one_band_meet_in_its_own_key_alone(spark):
+    rows = [(key, 8, t, t % 5) for key in (8, 9, 10, 12) for t in range(12)] + [(9, 11, 50, 50)]
+    members = spark.createDataFrame(rows, "key bigint, band bigint, t bigint, root bigint")
+    pairs = lambda key: {tuple(x) for x in simhash._rest(members.filter(members.key == key)).collect()}
+    assert pairs(8) == {(a, b) for a in range(12) for b in range(a + 1, 12) if a % 5 != b % 5}
+    assert pairs(9) == {(t, 50) for t in range(12)} and pairs(10) == pairs(12) == set()
+
+
 def test_near_dedup_on_odd_rows(spark):
     rows = spark.createDataFrame([(i, t, s) for i, t, s in ODD], "doc_id bigint, text string, source string")
     got = simhash.near_dedup(rows)
