@@ -96,42 +96,70 @@ def _reader(sample: str, crops) -> list[bytes]:
     return [b"\xff\xd8\xff\xc0\x00\x0b\x08" + size(c).to_bytes(2, "big") + size(c).to_bytes(2, "big") + b"\x01\x01\x11\x00" + f"{sample}:{c}".encode() for c in crops["cell_id"]]
 
 
+def _once(step: str, spark: SparkSession, sf: str, make) -> str:
+    """The folder that a step makes, once for a session and a data directory."""
+    at = (spark.sparkContext.applicationId, sf, step)
+    if at not in _BUILT:
+        _BUILT[at] = make()
+    return _BUILT[at]
+
+
+def _elements(spark: SparkSession, sf: str) -> str:
+    """Both samples as elements."""
+
+    def make() -> str:
+        root = scratch(spark, "samples")
+        cells, shapes = _parts(spark, sf)
+        tissue = spark.range(1).select(G.box(*(F.lit(float(v)) for v in (0, 0, 9000, 12000))).alias("rings"))
+        for row in _slides(spark).collect():
+            s, own = row.sample_id, lambda d: d.filter(F.col("sample_id") == row.sample_id).drop("sample_id")  # noqa: B023
+            catalog.write_element(own(cells), f"{root}/in", s, "tables", "table")
+            catalog.write_element(own(shapes), f"{root}/in", s, "shapes", "cell_circles")
+            catalog.write_element(tissue, f"{root}/in", s, "shapes", "tissue")
+            catalog.write_element(own(cells).filter("pos % 3 = 0").select(F.col("cell_id").alias("shape_id")), f"{root}/in", s, "shapes", "nucleus_boundaries")
+            # Turned by a 3-4-5 triangle: 0.1 microns a pixel once, then twice as coarse.
+            levels = [(k, row.height / 2**k, row.width / 2**k, 0.03, 0.04, -0.04, 0.03, 1.0, 1.0) for k in range(3)]
+            catalog.write_element(spark.createDataFrame(levels, "level int, height double, width double, a00 double, a10 double, a01 double, a11 double, s00 double, s11 double"), f"{root}/in", s, "images", "slide")
+            catalog.write_element(spark.createDataFrame(levels[:1], "level int, height double, width double, a00 double, a10 double, a01 double, a11 double, s00 double, s11 double"), f"{root}/full", s, "images", "slide")
+        sizes = pipelines.slides_of(spark, f"{root}/full", ["s1", "s2"], PATCH, MPP)
+        sizes.write.mode("overwrite").parquet(f"{root}/slides.parquet")
+        # The levels of an image are for inspection; extraction reads the full one.
+        for s in ("s1", "s2"):
+            for kind, key in (("tables", "table"), ("shapes", "cell_circles")):
+                catalog.write_element(catalog.element(spark, f"{root}/in", s, kind, key).drop("sample_id"), f"{root}/full", s, kind, key)
+        return root
+
+    return _once("elements", spark, sf, make)
+
+
+def _extracted(spark: SparkSession, sf: str) -> str:
+    """The elements, and beside them both samples extracted."""
+
+    def make() -> str:
+        root = _elements(spark, sf)
+        pipelines.extract_all(spark, f"{root}/full", f"{root}/out", ["s1", "s2"], patch=PATCH, mpp=MPP, shard_size=PER_SHARD, read=_reader)
+        for s, names in LISTS.items():
+            store.write_json(f"{root}/out/{s}/genes.json", names)
+        return root
+
+    return _once("extracted", spark, sf, make)
+
+
 def _root(spark: SparkSession, sf: str) -> str:
-    """Both samples as elements, extracted, compiled and bundled: once for a session and a data directory."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at in _BUILT:
-        return _BUILT[at]
-    root = scratch(spark, "samples")
-    cells, shapes = _parts(spark, sf)
-    tissue = spark.range(1).select(G.box(*(F.lit(float(v)) for v in (0, 0, 9000, 12000))).alias("rings"))
-    for row in _slides(spark).collect():
-        s, own = row.sample_id, lambda d: d.filter(F.col("sample_id") == row.sample_id).drop("sample_id")  # noqa: B023
-        catalog.write_element(own(cells), f"{root}/in", s, "tables", "table")
-        catalog.write_element(own(shapes), f"{root}/in", s, "shapes", "cell_circles")
-        catalog.write_element(tissue, f"{root}/in", s, "shapes", "tissue")
-        catalog.write_element(own(cells).filter("pos % 3 = 0").select(F.col("cell_id").alias("shape_id")), f"{root}/in", s, "shapes", "nucleus_boundaries")
-        # Turned by a 3-4-5 triangle: 0.1 microns a pixel once, then twice as coarse.
-        levels = [(k, row.height / 2**k, row.width / 2**k, 0.03, 0.04, -0.04, 0.03, 1.0, 1.0) for k in range(3)]
-        catalog.write_element(spark.createDataFrame(levels, "level int, height double, width double, a00 double, a10 double, a01 double, a11 double, s00 double, s11 double"), f"{root}/in", s, "images", "slide")
-        catalog.write_element(spark.createDataFrame(levels[:1], "level int, height double, width double, a00 double, a10 double, a01 double, a11 double, s00 double, s11 double"), f"{root}/full", s, "images", "slide")
-    sizes = pipelines.slides_of(spark, f"{root}/full", ["s1", "s2"], PATCH, MPP)
-    sizes.write.mode("overwrite").parquet(f"{root}/slides.parquet")
-    # The levels of an image are for inspection; extraction reads the full one.
-    for s in ("s1", "s2"):
-        for kind, key in (("tables", "table"), ("shapes", "cell_circles")):
-            catalog.write_element(catalog.element(spark, f"{root}/in", s, kind, key).drop("sample_id"), f"{root}/full", s, kind, key)
-    pipelines.extract_all(spark, f"{root}/full", f"{root}/out", ["s1", "s2"], patch=PATCH, mpp=MPP, shard_size=PER_SHARD, read=_reader)
-    for s, names in LISTS.items():
-        store.write_json(f"{root}/out/{s}/genes.json", names)
-    pipelines.compile_folder(spark, f"{root}/out", f"{root}/out/compiled", source=shards.read_shards(spark, f"{root}/out"))
-    _BUILT[at] = root
-    return root
+    """Both samples as elements, extracted, compiled and bundled."""
+
+    def make() -> str:
+        root = _extracted(spark, sf)
+        pipelines.compile_folder(spark, f"{root}/out", f"{root}/out/compiled", source=shards.read_shards(spark, f"{root}/out"))
+        return root
+
+    return _once("compiled", spark, sf, make)
 
 
 @query("SELECT s AS sample_id, cell_id, pos FROM cells_v, (VALUES ('s1'), ('s2')) AS v(s)", "cells_v")
 def q_elements(spark, sf):
     """Tables of all samples, written under keys and read again."""
-    return catalog.elements(spark, f"{_root(spark, sf)}/in", ["s1", "s2"], "tables", "table").select("sample_id", "cell_id", "pos")
+    return catalog.elements(spark, f"{_elements(spark, sf)}/in", ["s1", "s2"], "tables", "table").select("sample_id", "cell_id", "pos")
 
 
 @query(
@@ -144,7 +172,7 @@ def q_elements(spark, sf):
     "cells_v",
 )
 def q_inspect(spark, sf):
-    return catalog.inspect(spark, f"{_root(spark, sf)}/in", "s2")
+    return catalog.inspect(spark, f"{_elements(spark, sf)}/in", "s2")
 
 
 @query(
@@ -155,7 +183,7 @@ def q_inspect(spark, sf):
 )
 def q_turned_slides(spark, sf):
     """Microns a pixel of slides whose affine is turned, read from what was written."""
-    root, out = _root(spark, sf), []
+    root, out = _elements(spark, sf), []
     for p in (200, 224):
         for m in (0.25, 0.5):
             out.append(pipelines.slides_of(spark, f"{root}/full", ["s1", "s2"], p, m).select("sample_id", F.lit(p).alias("patch"), F.lit(m).alias("mpp_target"), F.round("slide_mpp", 12).alias("slide_mpp"), F.col("base").cast("bigint").alias("base_size")))
@@ -177,7 +205,7 @@ def q_turned_slides(spark, sf):
 )
 def q_filter_report_full(spark, sf):
     """The written report of every sample, with all its keys."""
-    root = _root(spark, sf)
+    root = _extracted(spark, sf)
     out = []
     for s in ("s1", "s2"):
         r = store.read_json(f"{root}/out/{s}/meta/filter_report.json")
@@ -199,7 +227,7 @@ def q_filter_report_full(spark, sf):
 )
 def q_filter_stages(spark, sf):
     """Two stages, each on the table that the one before wrote, as their reports tell."""
-    root, copy, folder, out = _root(spark, sf), scratch(spark, "stages"), scratch(spark, "reports"), []
+    root, copy, folder, out = _elements(spark, sf), scratch(spark, "stages"), scratch(spark, "reports"), []
     for s in ("s1", "s2"):
         for kind, key in (("tables", "table"), ("shapes", "cell_circles"), ("shapes", "tissue"), ("shapes", "nucleus_boundaries")):
             catalog.write_element(catalog.element(spark, f"{root}/in", s, kind, key).drop("sample_id"), copy, s, kind, key)
@@ -216,7 +244,7 @@ def q_filter_stages(spark, sf):
 @query("SELECT 's1' AS sample_id, 'skipped' AS state UNION ALL SELECT 's2', 'skipped' UNION ALL SELECT 's3', 'done'")
 def q_skip_done(spark, sf):
     """Of three samples two were extracted before."""
-    root = _root(spark, sf)
+    root = _elements(spark, sf)
     for kind, key in (("tables", "table"), ("shapes", "cell_circles"), ("images", "slide")):
         catalog.write_element(catalog.element(spark, f"{root}/full", "s1", kind, key).drop("sample_id"), f"{root}/full", "s3", kind, key)
     out, folder = scratch(spark, "some"), f"{root}/full"
@@ -229,7 +257,7 @@ def q_skip_done(spark, sf):
 @query(PLACED + "SELECT sample_id, 'done' AS state, count(*) AS n_cells FROM extracted GROUP BY 1 UNION ALL SELECT 's3', 'failed', 0 UNION ALL SELECT 's4', 'failed', 0", "cells_v")
 def q_extract_status(spark, sf):
     """Two samples are extracted though one beside them has other ids than its shapes, and another has no shapes."""
-    root, copy, out = _root(spark, sf), scratch(spark, "status"), scratch(spark, "status-out")
+    root, copy, out = _elements(spark, sf), scratch(spark, "status"), scratch(spark, "status-out")
     for s, of in (("s1", "s1"), ("s2", "s2"), ("s3", "s1"), ("s4", "s1")):
         for kind, key in (("tables", "table"), ("shapes", "cell_circles"), ("images", "slide")):
             rows = catalog.element(spark, f"{root}/full", of, kind, key).drop("sample_id")
@@ -366,7 +394,7 @@ def q_boundary_lookup(spark, sf):
 @query(PLACED + "SELECT count(*) AS n_checked, CAST(count_if(pos % 8 <> 0) AS BIGINT) AS n_rendered, CAST(0 AS BIGINT) AS missing_members, CAST(0 AS BIGINT) AS decode_errors, CAST(count_if(pos % 8 = 0) AS BIGINT) AS bad_image_size FROM extracted", "cells_v")
 def q_qc_counts(spark, sf):
     """The images of all extracted cells: one in eight has another size."""
-    root = _root(spark, sf)
+    root = _extracted(spark, sf)
     rows = spark.read.parquet(f"{root}/out/s1/manifest.parquet").unionByName(spark.read.parquet(f"{root}/out/s2/manifest.parquet"))
     named = manifest.union_samples([shards.read_shards(spark, f"{root}/out/{s}") for s in ("s1", "s2")])
     got = overlays.qc_counts(rows, named, PATCH)
@@ -377,7 +405,7 @@ def q_qc_counts(spark, sf):
 @query(PLACED + "SELECT sample_id, cell_id, i AS sample_index, sample_id || ':' || cell_id AS tail FROM extracted", "cells_v")
 def q_read_ranges(spark, sf):
     """Images by the offsets that extraction put into the manifest, read from the shards' files."""
-    root = _root(spark, sf)
+    root = _extracted(spark, sf)
     rows = spark.read.parquet(f"{root}/out/s1/manifest.parquet").unionByName(spark.read.parquet(f"{root}/out/s2/manifest.parquet"))
     places = rows.select("sample_id", "cell_id", "sample_index", "shard_path", "tar_offset", "jpg_size")
     return shards.read_range(places, f"{root}/out").select("sample_id", "cell_id", "sample_index", F.expr("decode(substring(payload, 16), 'UTF-8')").alias("tail"))

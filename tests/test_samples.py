@@ -395,3 +395,17 @@ def test_a_broken_sample_does_not_fail_the_rest(spark, tmp_path):
     assert pipelines.extract_all(spark, root, out, ["A", "B"], patch=20, mpp=0.5) == {"done": [], "skipped": ["A", "B"]}
     with pytest.raises(ValueError, match="no sample could be extracted"):
         pipelines.extract_all(spark, root, out, ["no_ids"], patch=20, mpp=0.5)
+
+
+def test_elements_need_no_extraction(spark, sf_dir, monkeypatch):
+    """Queries over elements alone neither build shards nor compile."""
+    from spotloom import registry, registry_samples
+
+    def never(*_, **__):
+        raise AssertionError("built for nothing")
+
+    monkeypatch.setattr(registry_samples, "_BUILT", {})
+    monkeypatch.setattr(registry_samples.pipelines, "compile_folder", never)
+    monkeypatch.setattr(registry_samples.shards, "write_shards", never)
+    for name in ("q_elements", "q_inspect", "q_turned_slides", "q_filter_stages", "q_skip_done", "q_extract_status"):
+        assert registry.QUERIES[name](spark, sf_dir).count() > 0
