@@ -9,16 +9,22 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shard_source import filesystem
 
 #: Colours of layers; others are black.
 COLOURS = {"tissue": (46, 160, 67), "cell": (31, 111, 235), "nucleus": (219, 55, 55)}
+#: Patches that a task holds at once.
+PATCHES = 512
 #: Pixels of a side of a slide's picture, at most.
 SIDE = 512
 # What a PNG file begins with: a fixed value.
@@ -64,24 +70,37 @@ def patch_figures(outlines: DataFrame, patch: int, *, fill: tuple[str, ...] = ()
     are drawn in the order of their names; a cell without any vertex has its ground alone.
     """
     by = [k for k in keys if k in outlines.columns]
-    rows = outlines.select(*by, "layer", "part", "vertex", F.col("px").cast("double").alias("px"), F.col("py").cast("double").alias("py"))
-    ground = tiles.select(*by, F.col("rgb").alias("rgb")) if tiles is not None else rows.select(*by).limit(0).withColumn("rgb", F.lit(None).cast("binary"))
-
-    def draw(key: tuple, own: pd.DataFrame, under: pd.DataFrame) -> pd.DataFrame:
-        have = under["rgb"].iat[0] if len(under) else None
-        a = np.full((patch, patch, 3), 255, np.uint8) if have is None else np.frombuffer(bytes(have), np.uint8).reshape(patch, patch, 3).copy()
-        for layer, parts in own.dropna(subset=["vertex"]).groupby("layer", sort=True):
+    vertex = F.struct("layer", "part", "vertex", F.col("px").cast("double").alias("px"), F.col("py").cast("double").alias("py"))
+    # A row for each cell, so that a task draws one after the other: a pandas group for each would cost more than the drawing.
+    cells = outlines.groupBy(*by).agg(F.array_sort(F.collect_list(vertex)).alias("all"))
+    cells = cells.withColumn("rgb", F.lit(None).cast("binary"))
+    if tiles is not None:
+        under = tiles.groupBy(*(F.col(k).alias(f"__{k}") for k in by)).agg(F.first("rgb").alias("__rgb"))
+        both = cells.join(under, reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by)), "full")
+        cells = both.select(*(F.coalesce(k, f"__{k}").alias(k) for k in by), "all", F.col("__rgb").alias("rgb"))
+
+    def draw(all_: list[dict] | None, have: bytes | None) -> bytes:
+        a = np.full((patch, patch, 3), 255, np.uint8) if have is None else np.frombuffer(have, np.uint8).reshape(patch, patch, 3).copy()
+        known = [v for v in all_ or () if v["vertex"] is not None and v["layer"] is not None]  # in the order of layer, part and vertex
+        for layer, of in groupby(known, lambda v: v["layer"]):
             colour = np.array(COLOURS.get(layer, (0, 0, 0)), float)
-            rings = [g.sort_values("vertex")[["px", "py"]].to_numpy(float) for _, g in parts.groupby("part", sort=True)]
+            rings = [np.array([(v["px"], v["py"]) for v in ring], float) for part, ring in groupby(of, lambda v: v["part"]) if part is not None]
             if layer in fill:
                 inside = fill_mask(rings, patch, patch)
                 a[inside] = np.rint(a[inside] * 0.6 + colour * 0.4)
             for ring in rings:
                 a[line_mask(ring, patch, patch)] = colour
-        return pd.DataFrame([[*key, png(a)]], columns=[*by, "png"])
+        return png(a)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, PATCHES):
+                some = b.slice(at, PATCHES)
+                made = map(draw, some.column(len(by)).to_pylist(), some.column(len(by) + 1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*some.columns[: len(by)], pa.array(list(made), pa.binary())], [*by, "png"])
 
-    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in by) + ", png binary"
-    return rows.groupBy(*by).cogroup(ground.groupBy(*by)).applyInPandas(draw, schema)
+    schema = ", ".join(f"`{k}` {cells.schema[k].dataType.simpleString()}" for k in by) + ", png binary"
+    return cells.mapInArrow(run, schema)
 
 
 def slide_figures(boxes: DataFrame, slides: DataFrame, side: int = SIDE) -> DataFrame:

@@ -97,3 +97,14 @@ def test_items_equal_the_dataset(spark, tmp_path):
         loader.CellReader.of(cells, str(tmp_path), order="sample_index")
     assert [x["meta"]["cell_id"] for x in loader.index_of(f"{tmp_path}/A/shard-000001.idx")] == ["c3", "c4", "c5"]
     items.close(), again.close()
+
+
+def test_patches_are_no_groups_of_their_own(spark):
+    """Cells are rows of a task; one that has a tile alone keeps its ground, whatever its key."""
+    lines = spark.createDataFrame([(None, "cell", 0, k, x, y) for k, (x, y) in enumerate([(1, 1), (3, 1), (3, 3)])], "cell_id string, layer string, part int, vertex int, px int, py int")
+    ground = bytes(range(75))
+    tiles = spark.createDataFrame([("only", ground), (None, bytes(75))], "cell_id string, rgb binary")
+    made = figures.patch_figures(lines, 5, tiles=tiles)
+    assert "InPandas" not in made._jdf.queryExecution().toString()
+    got = {r.cell_id: pixels(r.png) for r in made.collect()}
+    assert got["only"].tobytes() == ground and tuple(got[None][1, 1]) == figures.COLOURS["cell"] and not got[None][0].any()
