@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import canonical_id
+from ..session import cut, small
 
 
 SAMPLE = "sample_id"
@@ -82,14 +83,17 @@ def unmatched(table: DataFrame, shapes: DataFrame, t_id: str = "cell_id", s_id:
 def align_samples(table: DataFrame, shapes: DataFrame, **names: str) -> tuple[DataFrame, DataFrame]:
     """(modes, alignment) of many samples in one plan: by position in those that are exact, by ids in the others.
 
-    A sample whose sides have no id in common is an error.
+    A sample whose sides have no id in common is an error. Samples are told apart once, and each goes one way only.
     """
-    found = modes(table, shapes, **names)
-    of = found.select(SAMPLE, "exact")  # one row for each sample
-    by_place = exact(table, shapes, **names).join(of.filter("exact"), SAMPLE, "left_semi")
-    by_id = intersection(table, shapes, **names).join(of.filter("not exact"), SAMPLE, "left_semi")
+    found = cut(modes(table, shapes, **names))
+    of = small(found.select(SAMPLE, "exact"))  # one row for each sample
+    some = lambda d, which: d.join(of.filter(which), SAMPLE, "left_semi")
+    by_place = exact(some(table, "exact"), some(shapes, "exact"), **names)
+    by_id = intersection(some(table, "not exact"), some(shapes, "not exact"), **names)
     out = by_place.unionByName(by_id)
-    lost = found.filter("n_table > 0").join(out.select(SAMPLE).distinct(), SAMPLE, "left_anti")
+    # Rows of an exact sample are aligned with themselves: only the others can be without any.
+    asked = found.filter("n_table > 0 and not exact")
+    lost = asked if asked.isEmpty() else asked.join(by_id.select(SAMPLE).distinct(), SAMPLE, "left_anti")
     if bad := [r[0] for r in lost.orderBy(SAMPLE).limit(5).collect()]:
         one = lambda d: d.filter(F.col(SAMPLE) == bad[0])
         raise ValueError(f"table and shapes have no id in common in {bad}; in the first, {examples(one(table), one(shapes), **names)}")

@@ -39,12 +39,15 @@ def extract(cells: DataFrame, shapes: DataFrame, *, slides: DataFrame | None = N
         shapes = shapes.withColumn("sample_id", F.lit(names[0] if names else None).cast("string"))
     _, aligned = align.align_samples(cells, shapes)
     places = shapes.select("sample_id", F.col("pos").cast("bigint").alias("shape_pos"), "x_px", "y_px")
-    sized = _slides(slides, width, height, base, cells)
+    sized = small(_slides(slides, width, height, base, cells))  # one row for each sample
     placed = aligned.join(places, ["sample_id", "shape_pos"]).join(sized, "sample_id")
     masked = filters.with_masks(placed, F.col("width"), F.col("height"), F.col("base"))
+    # Aligned once: counts, samples, ranks and the report read what is cut here.
+    masked = cut(masked)
     kept = filters.sample_each(filters.survivors(masked, policy, mode), n_sample, seed, "cell_id")
     source = cells.groupBy("sample_id").agg(F.count("*").alias("n_cells"))
-    counts = filters.filter_report(masked.join(source, "sample_id"), F.col("n_cells"), policy, mode, "sample_id")
+    counts = filters.filter_report(masked, 0, policy, mode, "sample_id").join(source, "sample_id")
+    counts = counts.withColumn("n_source", F.col("n_cells")).drop("n_cells")
     if not n_sample:
         report = counts.withColumn("n_valid", F.col("n_out"))
     else:

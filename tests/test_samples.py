@@ -78,6 +78,17 @@ def test_samples_are_drawn_one_by_one(spark):
     assert [r.pos for r in drawn] == np.random.default_rng(5).choice(200, 9, replace=False).tolist()
 
 
+def test_samples_are_aligned_once(spark, tmp_path):
+    """Manifest and report read the cells that were aligned, and don't each read the shapes again; one sample is exact, one isn't."""
+    cells, shapes = cells_of(spark)
+    shapes.write.parquet(f"{tmp_path}/shapes.parquet")
+    for n in (0, 3):
+        rows, report = pipelines.extract(cells, spark.read.parquet(f"{tmp_path}/shapes.parquet"), slides=slides(spark), n_sample=n)
+        assert rows.inputFiles() == report.inputFiles() == []
+        assert rows.count() == (n * 2 or sum(len(kept(s)) for s in POINTS))
+        assert {r.sample_id: (r.n_source, r.n_aligned, r.n_valid) for r in report.collect()} == {s: (8, 8, len(kept(s))) for s in POINTS}
+
+
 def test_alignment_errors_show_examples(spark):
     cells, shapes = cells_of(spark)
     wrong = shapes.withColumn("shape_id", F.when(F.col("sample_id") == "B", F.concat(F.lit("x"), "shape_id")).otherwise(F.col("shape_id")))
