@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import canonical_id, overlay_px
+from ..session import cut
 from ..sources import shards, store
 from .align import common_keys
 from .filters import uniform_sample
@@ -51,7 +52,8 @@ def qc_counts(rows: DataFrame, built: DataFrame, patch: int, key: str = "sample_
     found = shards.payloads(rows, built, key, strict=False).withColumn("size", _size("payload"))
     missing, broken = F.col("payload").isNull(), F.col("payload").isNotNull() & F.col("size").isNull()
     bad = F.col("size").isNotNull() & ((F.col("size")[0] != patch) | (F.col("size")[1] != patch))
-    return found.agg(F.count("*").alias("n_checked"), F.count_if(~missing & ~broken & ~bad).alias("n_rendered"), F.count_if(missing).alias("missing_members"), F.count_if(broken).alias("decode_errors"), F.count_if(bad).alias("bad_image_size"))
+    # One row, cut: the report and the caller read it, not the images again.
+    return cut(found.agg(F.count("*").alias("n_checked"), F.count_if(~missing & ~broken & ~bad).alias("n_rendered"), F.count_if(missing).alias("missing_members"), F.count_if(broken).alias("decode_errors"), F.count_if(bad).alias("bad_image_size")))
 
 
 def write_viz_report(folder: str, counts: DataFrame, *, tables: dict[str, str], overlay_keys: list[str], warnings: list[str] = ()) -> dict:

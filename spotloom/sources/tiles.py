@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,17 +55,22 @@ def stored_tiles(spark: SparkSession, root: str, samples: list[str], image: str,
     return rows.join(held, ["sample_id", "cell_id"]).select(*rows.columns, "image")
 
 
+#: Images that are held before they are handed on.
+CONVERTED = 128
+
+
 def convert(rows: DataFrame, codec: Callable[[bytes], bytes], column: str = "image") -> DataFrame:
     """Rows with a column of bytes encoded or decoded by a caller's function; null stays null."""
     at = rows.columns.index(column)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = b.copy()
-            out[b.columns[at]] = [None if x is None else codec(bytes(x)) for x in b[b.columns[at]]]
-            yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in batches:
+            for k in range(0, some.num_rows, CONVERTED):
+                b = some.slice(k, CONVERTED)
+                done = pa.array([None if x is None else codec(x) for x in b.column(at).to_pylist()], b.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays([done if i == at else c for i, c in enumerate(b.columns)], schema=b.schema)
 
-    return rows.mapInPandas(run, rows.schema)
+    return rows.mapInArrow(run, rows.schema)
 
 
 def contrastive_pairs(rows: DataFrame, built: DataFrame, key: str = "sample_key") -> DataFrame:

@@ -5,11 +5,12 @@ import json
 import os
 import tarfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotloom.operators import manifest, pipelines
-from spotloom.sources import shard_source, shards
+from spotloom.operators import manifest, overlays, pipelines
+from spotloom.sources import shard_source, shards, tiles
 
 
 def built(spark, samples=("A", "B"), n=7, size=3):
@@ -164,3 +165,62 @@ def test_tar_is_byte_for_byte_that_of_the_library():
                 tar.addfile(info, io.BytesIO(data))
         content, at = shards._tar(some)
         assert content == buffer.getvalue() and all(content[at[n][0] : sum(at[n])] == d for n, d in some)
+
+
+def test_headers_are_those_of_tarfile():
+    for name, size in (("0000001.jpg", 0), ("x" * 99, 123_456), ("x" * 100, 5), ("é.json", 7), ("a.expr.npz", 8**10)):
+        info = tarfile.TarInfo(name)
+        info.size = size
+        assert shards._header(name, size) == info.tobuf(tarfile.USTAR_FORMAT)
+    given = [("a.jpg", b""), ("b.expr.npz", b"x" * 1023), ("c.json", b"{}")]
+    content, at = shards._tar(given)
+    assert shards.untar(memoryview(content)) == given and all(content[o : o + n] == dict(given)[k] for k, (o, n) in at.items())
+    # Headers of other kinds, by other programs.
+    for kind in (tarfile.GNU_FORMAT, tarfile.PAX_FORMAT, tarfile.USTAR_FORMAT):
+        out, long = io.BytesIO(), ("d/" + "n" * 150 if kind != tarfile.USTAR_FORMAT else "d" * 120 + "/n") + ".jpg"
+        with tarfile.open(fileobj=out, mode="w", format=kind) as tar:
+            for name in ("é.json", long):
+                info = tarfile.TarInfo(name)
+                info.size = 3
+                tar.addfile(info, io.BytesIO(b"abc"))
+        assert shards.untar(memoryview(out.getvalue())) == [("é.json", b"abc"), (long, b"abc")]
+    with pytest.raises(tarfile.ReadError):
+        shards.untar(memoryview(content[:2600]))
+
+
+def test_sparse_rows_are_npz():
+    for indices, values in (([], []), ([3], [1.5]), (list(range(300)), [0.25] * 300)):
+        data, other = shards.pack_sparse(indices, values), io.BytesIO()
+        np.savez(other, indices=np.asarray(indices, np.int32), values=np.asarray(values, np.float32))
+        with np.load(io.BytesIO(data)) as z:
+            assert z["indices"].tolist() == indices and z["values"].tolist() == values and (z["indices"].dtype, z["values"].dtype) == (np.int32, np.float32)
+        for form in (data, other.getvalue()):
+            got = shards.unpack_sparse(form)
+            assert got[0].tolist() == indices and got[1].tolist() == values
+
+
+def test_payloads_and_checks_read_every_shard_once(spark):
+    cells, rows = built(spark)
+    rows, read = rows.localCheckpoint(), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    seen = lambda: rows.mapInPandas(counted, rows.schema)
+    wanted = cells.select("sample_id", "shard_path", "sample_key")
+    got = shards.payloads(wanted, seen())
+    assert got.count() == 14 and got.filter("payload IS NULL").count() == 0 and read.value == 6
+    with pytest.raises(KeyError, match="none"):
+        shards.payloads(wanted.union(spark.createDataFrame([("A", "shard-000000.tar", "none")], wanted.schema)), seen())
+    before = read.value
+    counts = overlays.qc_counts(wanted, seen(), 20)
+    assert counts.first() == counts.first() and counts.first()["n_checked"] == 14 and read.value == before + 6
+
+
+def test_images_are_converted_in_parts(spark):
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 7 > 0, F.encode(F.col("id").cast("string"), "UTF-8")).alias("image"), F.lit("x").alias("after"))
+    done = tiles.convert(rows.coalesce(1), lambda x: x + b"!")
+    assert "MapInArrow" in done._jdf.queryExecution().executedPlan().toString() and done.columns == rows.columns
+    assert {r.id: (r.image and bytes(r.image), r.after) for r in done.collect()} == {k: (f"{k}!".encode() if k % 7 else None, "x") for k in range(1000)}
