@@ -3,16 +3,21 @@
 An image is a media column with grey or colour netpbm bytes (P5 or P6), the one raster format
 that needs no codec. At three scales all Harris corners above a threshold are kept, so that
 their number grows with the image and a strong overlay hides none; each is turned to the
-direction of its patch's intensity centroid and described by 128 binary tests. Descriptors
-meet in Hamming tables, one for each 48-bit window of the 128 bits; pairs at 16 or fewer
-differing bits propose a similarity transform, and two images are copies if enough corners
-propose the same one from different places of both.
-
-Equal images are one class from the start, so only different contents are compared. All corners
-that share a table entry are compared with each other, whatever their number: an entry is
-divided into blocks of about ``BLOCK`` corners and every two blocks meet in a group of their own,
-so that a crowd is many small tasks; its pairs grow with the square of its different corners.
-Classes are the components of the links.
+direction of its patch's intensity centroid and described by 128 binary tests. Pairs of
+descriptors at 16 or fewer differing bits propose a similarity transform, and two images are
+copies if enough corners propose the same one from different places of both.
+
+Equal images are one class from the start, so only different contents are compared. Classes are
+the components of the links, which are found in one of two ways:
+
+* ``every_link`` leaves none out: images are dealt to blocks, and every two blocks
+  meet in a group that holds all corners of both, so that matches are found and voted on where
+  they lie and only links leave a task. The work grows with the square of the corners. Tables that
+  cover 16 of 128 bits would propose half of all pairs anyway.
+* ``links``, the default, takes the pairs that share an entry of a Hamming table, one for each 48-bit window of
+  the 128 bits, which is few of those at more than some bits. An entry is divided into blocks of about
+  ``BLOCK`` corners and every two blocks meet in a group of their own, so that a crowd is many
+  small tasks; its pairs grow with the square of its different corners.
 
 Defined cases: a null or unreadable image, or one without corners (flat, or smaller than a
 patch), is a class with its equals alone; rows that repeat an id are one image for each
@@ -22,7 +27,8 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +45,8 @@ TESTS = 128
 NEAR = 16
 #: Corners of a table entry that are compared in one group.
 BLOCK = 256
+#: Corners of a block of images, about: some 20 MB.
+CORNERS = 500_000
 #: Places that must agree on one transform.
 CONSENSUS = 4
 #: The part of the matched places that must agree; among unrelated large images a seventieth did.
@@ -192,14 +200,17 @@ def _pairs(entries: DataFrame) -> DataFrame:
     return both.filter("a.c.img < b.c.img and (i = j or a.own <> b.own)").select(F.col("a.c").alias("a"), F.col("b.c").alias("b"))
 
 
+def _place() -> Column:
+    """A corner's place in one long: x and y in sixteenths of a pixel, scale and turn."""
+    part = lambda v, n, at: F.shiftleft(F.round(v).cast("bigint").bitwiseAND((1 << n) - 1), at)
+    return part(F.col("x") * 16, 20, 0).bitwiseOR(part(F.col("y") * 16, 20, 20)).bitwiseOR(part(F.col("s") * 64, 7, 40)).bitwiseOR(part((F.col("t") + np.pi) * 512, 12, 47))
+
+
 def links(corners: DataFrame) -> DataFrame:
-    """(u, v): images with enough corners of different places that agree on one similarity transform."""
+    """(u, v): images with enough corners of different places that agree on one similarity transform, of corners that share a table entry."""
     key = lambda j, of="": _window(32 * j % 128, of).bitwiseOR(F.lit(j % 4 << 48))  # noqa: E731  a window tagged with its table
-    # A corner's place in one long: x and y in sixteenths of a pixel, scale and turn.
-    part = lambda v, n, at: F.shiftleft(F.round(v).cast("bigint").bitwiseAND((1 << n) - 1), at)
-    place = part(F.col("x") * 16, 20, 0).bitwiseOR(part(F.col("y") * 16, 20, 20)).bitwiseOR(part(F.col("s") * 64, 7, 40)).bitwiseOR(part((F.col("t") + np.pi) * 512, 12, 47))
     corner = F.struct("img", "k", "g", "d0", "d1").alias("c")
-    entries = corners.withColumn("g", place).select(corner, F.explode(F.array(*map(key, range(4)))).alias("key"))
+    entries = corners.withColumn("g", _place()).select(corner, F.explode(F.array(*map(key, range(4)))).alias("key"))
     apart = F.bit_count(F.col("a.d0").bitwiseXOR(F.col("b.d0"))) + F.bit_count(F.col("a.d1").bitwiseXOR(F.col("b.d1")))
     near = _pairs(entries).filter(apart <= NEAR)
     narrow = near.select(F.col("a.img").alias("u"), F.col("b.img").alias("v"), F.col("a.g").alias("ga"), F.col("b.g").alias("gb"))
@@ -228,8 +239,113 @@ def links(corners: DataFrame) -> DataFrame:
     return agree.join(whole, ["u", "v"]).filter(F.col("most") >= SHARE * F.least("na", "nb")).select("u", "v")
 
 
-def image_classes(images: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """(id, content, class_id): one row for each image; the class's smallest id names it."""
+def every_link(corners: DataFrame, rows: int = CORNERS) -> DataFrame:
+    """(u, v) as ``links`` has them, of all corners within ``NEAR`` bits, in blocks of about ``rows`` corners.
+
+    A block is sent to a group for each block; a group holds two, and the matches of some images at a time.
+    """
+    # Enough blocks for some groups a core, however few corners there are.
+    m = max(1, -(-corners.count() // rows), math.isqrt(8 * corners.sparkSession.sparkContext.defaultParallelism))
+    dealt = corners.select("img", _place().alias("g"), "d0", "d1", F.pmod(F.xxhash64("img"), F.lit(m)).cast("int").alias("own"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    dealt = dealt.select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "img", "g", "d0", "d1")
+    return dealt.repartition(m * (m + 1) // 2, "i", "j").groupBy("i", "j").applyInArrow(_linked, "u bigint, v bigint")
+
+
+def _linked(group: pa.Table) -> pa.Table:
+    """The links between the images of two blocks, or within one."""
+    i, j = group["i"][0].as_py(), group["j"][0].as_py()
+    own, img, g = (group[c].to_numpy() for c in ("own", "img", "g"))
+    # By block and image; numbers of images go up with their names within a block.
+    order = np.lexsort((img, own))
+    own, img, g = own[order], img[order], g[order]
+    d = [group[c].to_numpy()[order].view(np.uint64) for c in ("d0", "d1")]
+    number = np.cumsum(np.r_[True, (img[1:] != img[:-1])]) - 1
+    starts = np.r_[np.flatnonzero(np.diff(number, prepend=-1)), len(img)]
+    end = int(np.searchsorted(own, i, "right"))
+    bits = lambda at, n: (g >> at & (1 << n) - 1).astype(np.float64)
+    at = {"x": bits(0, 20) / 16, "y": bits(20, 20) / 16, "s": np.log2(bits(40, 7) / 64), "t": bits(47, 12) / 512 - np.pi}
+    found, held, n = [], [], 0
+    for a, z in _pieces(starts, 0, end, 64):
+        for b, y in _pieces(starts, 0 if i == j else end, len(img), 1 << 14):
+            if i == j and number[y - 1] <= number[a]:
+                continue
+            p, q = _near(d, a, z, b, y)
+            if i == j:
+                p, q = (c[number[p] < number[q]] for c in (p, q))
+            else:  # the image of the smaller name comes first
+                p, q = np.where(img[p] < img[q], p, q), np.where(img[p] < img[q], q, p)
+            held.append(_promising(number, at, p, q))
+            n += len(held[-1][0])
+            if n > 500_000:
+                found.append(_voted(number, at, *map(np.concatenate, zip(*held, strict=True))))
+                held, n = [], 0
+    if n:
+        found.append(_voted(number, at, *map(np.concatenate, zip(*held, strict=True))))
+    pairs = np.concatenate([np.zeros((0, 2), np.int64), *found])
+    return pa.table({"u": img[starts[pairs[:, 0]]], "v": img[starts[pairs[:, 1]]]})
+
+
+def _pieces(starts: np.ndarray, low: int, high: int, rows: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of whole images, each of about ``rows`` corners or of one image."""
+    while low < high:
+        end = int(min(high, starts[max(np.searchsorted(starts, low + rows, "right") - 1, np.searchsorted(starts, low, "right"))]))
+        yield low, end
+        low = end
+
+
+def _near(d: list[np.ndarray], a: int, z: int, b: int, y: int) -> tuple[np.ndarray, np.ndarray]:
+    """The corners of [a, z) and [b, y) within ``NEAR`` bits."""
+    out, step = [], max(1, (1 << 17) // (y - b))
+    for k in range(a, z, step):
+        part = np.bitwise_count(d[0][k : min(k + step, z), None] ^ d[0][b:y]).ravel()
+        few = np.flatnonzero(part <= NEAR)
+        p, q = few // (y - b) + k, few % (y - b) + b
+        near = part[few] + np.bitwise_count(d[1][p] ^ d[1][q]) <= NEAR
+        out.append((p[near], q[near]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _promising(number: np.ndarray, at: dict, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(p, q, bin, many) of the image pairs of which ``CONSENSUS`` matches agree on a ratio of scales and a turn, and which matches do."""
+    r = np.rint((at["s"][p] - at["s"][q]) * 2).astype(np.int64)
+    w = np.rint((at["t"][q] - at["t"][p]) * (6 / np.pi)).astype(np.int64) % 12
+    u, v = number[p], number[q]
+    of = (u - (u.min() if len(u) else 0)) * (int(v.max() - v.min()) + 1 if len(v) else 1) + (v - (v.min() if len(v) else 0))
+    turn = (r + 16) * 12 + w
+    _, place, count = np.unique(of * 384 + turn, return_inverse=True, return_counts=True)
+    many = count[place] >= CONSENSUS
+    keep = np.isin(of, np.unique(of[many]))
+    return p[keep], q[keep], turn[keep], many[keep]
+
+
+def _distinct(of: np.ndarray, cell: np.ndarray, n: int) -> np.ndarray:
+    """How many cells each of n has."""
+    return np.bincount(np.unique(of << 26 | cell) >> 26, minlength=n)
+
+
+def _voted(number: np.ndarray, at: dict, p: np.ndarray, q: np.ndarray, turn: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The image pairs whose matches agree on a transform, by all their matches; votes as in ``links``."""
+    ka, kb = ((at["x"][c] // PLACE).astype(np.int64) << 13 | (at["y"][c] // PLACE).astype(np.int64) for c in (p, q))
+    pairs, of = np.unique(number[p] << 31 | number[q], return_inverse=True)
+    least = np.minimum(_distinct(of, ka, len(pairs)), _distinct(of, kb, len(pairs)))
+    p, q, ka, kb, of, turn = (c[many] for c in (p, q, ka, kb, of, turn))
+    ratio, by = np.exp2(at["s"][p] - at["s"][q]), at["t"][q] - at["t"][p]
+    tx = at["x"][q] - ratio * (at["x"][p] * np.cos(by) - at["y"][p] * np.sin(by))
+    ty = at["y"][q] - ratio * (at["x"][p] * np.sin(by) + at["y"][p] * np.cos(by))
+    most = np.zeros(len(pairs), np.int64)
+    for h in (0, 0.5):
+        for k in (0, 0.5):
+            bx, bz = (np.floor(c / 16 + o).astype(np.int64) + (1 << 15) for c, o in ((tx, h), (ty, k)))
+            bins, place = np.unique((of * 384 + turn) << 32 | bx << 16 | bz, return_inverse=True)
+            agree = np.minimum(_distinct(place, ka, len(bins)), _distinct(place, kb, len(bins)))
+            np.maximum.at(most, (bins >> 32) // 384, agree)
+    linked = pairs[(most >= CONSENSUS) & (most >= SHARE * least)]
+    return np.stack([linked >> 31, linked & (1 << 31) - 1], 1)
+
+
+def image_classes(images: DataFrame, id_col: str, media_col: str, find: Callable[[DataFrame], DataFrame] = links) -> DataFrame:
+    """(id, content, class_id): one row for each image; the class's smallest id names it. ``find`` gives the links of corners."""
     data = named(media_col).cast("binary")
     rows = cut(images.select(named(id_col).cast("bigint").alias("id"), F.sha2(F.coalesce(data, F.lit(b"")), 256).alias("content")))
     numbered = rows.groupBy("content").agg(F.min("id").alias("least"))
@@ -238,7 +354,7 @@ def image_classes(images: DataFrame, id_col: str, media_col: str) -> DataFrame:
     content = F.sha2(F.coalesce(data, F.lit(b"")), 256)
     described = images.select(F.xxhash64(content).alias("img"), data.alias("media")).mapInArrow(_corners, "img bigint, k int, x double, y double, s double, t double, d0 bigint, d1 bigint")
     corners = cut(described.dropDuplicates(["img", "k"]))  # narrow rows move, not the images
-    roots = components(links(corners)).withColumnRenamed("node", "img")
+    roots = components(find(corners)).withColumnRenamed("node", "img")
     placed = numbered.join(roots, "img", "left").select("content", "least", F.coalesce("root", "img").alias("root"))
     names = placed.join(placed.groupBy("root").agg(F.min("least").alias("class_id")), "root").select("content", "class_id")
     return rows.join(names, "content").select("id", "content", "class_id")
