@@ -283,11 +283,9 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
 
     def stars(members: DataFrame, key: str) -> DataFrame:
         """(a, b): every member with the smallest of its key, if that is in another component."""
-        hub = members.groupBy(key).agg(F.min("t").alias("a"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-        hub = cut(hub.select(key, "a"))  # cut, so that the join reads two plain shuffles, whose hot partitions can be split
-        pairs = members.select(key, F.col("t").alias("b"), F.col("root").alias("v")).join(hub, key).filter("a <> b")
-        root = members.select(F.col("t").alias("a"), F.col("root").alias("u")).distinct()
-        return pairs.join(root, "a").filter("u <> v").select("a", "b")
+        hub = cut(_hubs(members, key))  # cut, so that the join reads two plain shuffles, whose hot partitions can be split
+        pairs = members.select(key, F.col("t").alias("b"), F.col("root").alias("v")).join(hub, key)
+        return pairs.filter("u <> v").select("a", "b")
 
     placed = texts.withColumn("root", F.col("t"))
     placed = joined(placed, verifier.links(stars(_bands(placed, "root"), "band")))
@@ -298,30 +296,46 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
     near = shared.select("key", F.explode(_masks(1)).alias("mask")).select("key", F.col("key").bitwiseXOR(F.col("mask")).alias("band"))
     members = cut(near.join(_bands(placed), "band").select("key", "band", "t"))
     placed = joined(placed, verifier.links(stars(members.join(placed.select("t", "root"), "t"), "key")))
-    placed = joined(placed, verifier.links(_rest(members.join(placed.select("t", "root"), "t"))))
+    bits = texts.select("t", *(f"f{j}" for j in range(LONGS)))
+    placed = joined(placed, verifier.links(_rest(members.join(placed.select("t", "root").join(bits, "t"), "t"))))
     names = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("t", "component_id")
     return rows.select("doc_id", "t").join(names, "t").select("doc_id", "component_id")
 
 
+def _hubs(members: DataFrame, key: str) -> DataFrame:
+    """(key, a, u): the smallest text and its root, of keys whose texts are of several components.
+
+    Of keys with the same texts, as the variants of one band often are, one stays: the others would make the same pairs.
+    """
+    each = members.groupBy(key).agg(
+        F.min(F.struct("t", "root")).alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.count("*").alias("n"), F.max("t").alias("z"), F.bit_xor("t").alias("x"), F.bit_xor(F.xxhash64("t")).alias("y"),
+    )
+    return each.filter("lo <> hi").groupBy("hub", "n", "z", "x", "y").agg(F.min(key).alias(key)).select(key, F.col("hub.t").alias("a"), F.col("hub.root").alias("u"))
+
+
 def _rest(members: DataFrame) -> DataFrame:
     """(a, b) of all members of a key in different components, in groups of two blocks each.
 
     Those of a key's largest component meet the other members alone, not each other. Texts of one band, which share
-    all its variants, meet in the key that is the band; in others those of different bands do. Without ``band`` all meet.
+    all its variants, meet in the key that is the band; in others those of different bands do. Without ``band`` all meet. Of
+    members with fingerprints, pairs that differ in more than ``FAR`` bits, which are not compared, are not made.
     """
     members = members if "band" in members.columns else members.withColumn("band", F.col("key"))
+    bits = [c for c in members.columns if c in {f"f{j}" for j in range(LONGS)}]
     sizes = members.groupBy("key", "root").agg(F.count("*").alias("k"), F.min("band").alias("low"), F.max("band").alias("high"), F.max((F.col("band") == F.col("key")).cast("int")).alias("owned"))
     several = sizes.groupBy("key").agg(F.sum("k").alias("n"), F.max(F.struct("k", "root")).alias("most"), F.count("*").alias("c"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("owned").alias("owned"))
     several = several.filter("c > 1 and n > 2 and (low <> high or owned = 1)")
     dealt = members.join(cut(several.select("key", F.ceil(F.col("n") / GROUP).cast("int").alias("m"), F.col("most.root").alias("big"))), "key")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("t"), "m").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    one = F.struct("t", "root", "band", "own", (F.col("root") == F.col("big")).alias("big")).alias("one")
+    one = F.struct("t", "root", "band", "own", *bits, (F.col("root") == F.col("big")).alias("big")).alias("one")
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), one)
     each = dealt.repartition("key", "i", "j").groupBy("key", "i", "j").agg(F.collect_list("one").alias("all"))
     few = each.select("key", "i", "j", F.explode(F.filter("all", lambda x: ~x["big"])).alias("x"), "all")
     x = F.col("x")
     apart = lambda y: (x["root"] != y["root"]) & (y["big"] | (x["t"] < y["t"])) & ((F.col("i") == F.col("j")) | (x["own"] != y["own"]))
-    both = few.select("x", F.explode(F.filter("all", lambda y: apart(y) & ((x["band"] != y["band"]) | (x["band"] == F.col("key"))))).alias("y"))
+    near = lambda y: sum((F.bit_count(x[c].bitwiseXOR(y[c])) for c in bits), F.lit(0)) <= FAR
+    both = few.select("x", F.explode(F.filter("all", lambda y: apart(y) & ((x["band"] != y["band"]) | (x["band"] == F.col("key"))) & near(y))).alias("y"))
     return both.select(F.least("x.t", "y.t").alias("a"), F.greatest("x.t", "y.t").alias("b")).distinct()
 
 

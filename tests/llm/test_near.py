@@ -146,3 +146,17 @@ def test_hot_keys_are_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_keys_of_the_same_texts_propose_once(spark):
+    """The variants of a band have the same texts and make one star; keys of other texts, and of one component, are told apart."""
+    rows = [(k, t, t) for k in range(33) for t in (5, 6, 7)] + [(50, t, t) for t in (5, 6)] + [(51, t, t) for t in (5, 6, 7, 8)] + [(52, t, 1) for t in (5, 6)]
+    got = simhash._hubs(spark.createDataFrame(rows, "key bigint, t bigint, root bigint"), "key").collect()
+    assert sorted(map(tuple, got)) == [(0, 5, 5), (50, 5, 5), (51, 5, 5)]
+
+
+def test_far_members_make_no_rows(spark):
+    """Of members with fingerprints only those within ``FAR`` bits make a pair."""
+    rows = [(1, 1, 1, 0, 0, 0, 0), (1, 2, 2, 1, 0, 0, 0), (1, 3, 3, 0, -1, -1, 0)]
+    got = simhash._rest(spark.createDataFrame(rows, "key bigint, t bigint, root bigint, f0 bigint, f1 bigint, f2 bigint, f3 bigint")).collect()
+    assert sorted(map(tuple, got)) == [(1, 2)]
