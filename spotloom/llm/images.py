@@ -8,7 +8,8 @@ descriptors at 16 or fewer differing bits propose a similarity transform, and tw
 copies if enough corners propose the same one from different places of both.
 
 Equal images are one class from the start, so only different contents are compared. Classes are
-the components of the links, which are found in one of two ways:
+the components of the links. ``image_roots`` finds those of all links without the links themselves,
+which are found in one of two ways:
 
 * ``every_link`` leaves none out: images are dealt to blocks, and every two blocks
   meet in a group that holds all corners of both, so that matches are found and voted on where
@@ -149,7 +150,7 @@ def describe(stack: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate([o[k] for o in out]) for k in range(6))
 
 
-def _corners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def corner_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
     """Corners of (img, media); a content that a task has just seen isn't described again."""
     seen: set[int] = set()
     for b in slices(batches, 128):
@@ -173,8 +174,12 @@ def _corners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number = np.empty(len(img), np.int32)
             number[order] = np.arange(len(img)) - start
             packed = np.packbits(bits, axis=1, bitorder="little").view(np.int64).reshape(-1, 2)
-            cols = {"img": ids[rows[img]], "k": number, **{n: v.astype(np.float64) for n, v in zip("xyst", (x, y, scale, angle), strict=True)}, "d0": packed[:, 0], "d1": packed[:, 1]}
-            yield pa.RecordBatch.from_pydict({n: pa.array(v) for n, v in cols.items()})
+            yield {"img": ids[rows[img]], "k": number, **{n: v.astype(np.float64) for n, v in zip("xyst", (x, y, scale, angle), strict=True)}, "d0": packed[:, 0], "d1": packed[:, 1]}
+
+
+def _corners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for cols in corner_columns(batches):
+        yield pa.RecordBatch.from_pydict({n: pa.array(v) for n, v in cols.items()})
 
 
 def _window(at: int, of: str = "") -> Column:
@@ -346,18 +351,27 @@ def _voted(number: np.ndarray, at: dict, p: np.ndarray, q: np.ndarray, turn: np.
 
 def image_classes(images: DataFrame, id_col: str, media_col: str, find: Callable[[DataFrame], DataFrame] = links) -> DataFrame:
     """(id, content, class_id): one row for each image; the class's smallest id names it. ``find`` gives the links of corners."""
+
+    def roots(media: DataFrame, names: DataFrame) -> DataFrame:
+        described = media.mapInArrow(_corners, "img bigint, k int, x double, y double, s double, t double, d0 bigint, d1 bigint")
+        corners = cut(described.dropDuplicates(["img", "k"]))  # narrow rows move, not the images
+        return components(find(corners)).withColumnRenamed("node", "img")
+
+    return classes_by(images, id_col, media_col, roots)
+
+
+def classes_by(images: DataFrame, id_col: str, media_col: str, find: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """(id, content, class_id) as ``image_classes``; ``find`` gives (img, root) of (img, media) and the distinct (img)."""
     data = named(media_col).cast("binary")
-    rows = cut(images.select(named(id_col).cast("bigint").alias("id"), F.sha2(F.coalesce(data, F.lit(b"")), 256).alias("content")))
-    numbered = rows.groupBy("content").agg(F.min("id").alias("least"))
-    # A number for each content: its digest's head, on which images are compared.
-    numbered = numbered.withColumn("img", F.xxhash64("content"))
-    content = F.sha2(F.coalesce(data, F.lit(b"")), 256)
-    described = images.select(F.xxhash64(content).alias("img"), data.alias("media")).mapInArrow(_corners, "img bigint, k int, x double, y double, s double, t double, d0 bigint, d1 bigint")
-    corners = cut(described.dropDuplicates(["img", "k"]))  # narrow rows move, not the images
-    roots = components(find(corners)).withColumnRenamed("node", "img")
-    placed = numbered.join(roots, "img", "left").select("content", "least", F.coalesce("root", "img").alias("root"))
-    names = placed.join(placed.groupBy("root").agg(F.min("least").alias("class_id")), "root").select("content", "class_id")
-    return rows.join(names, "content").select("id", "content", "class_id")
+    digest = F.sha2(F.coalesce(data, F.lit(b"")), 256)
+    # A number for each content: its digest's head, on which images are compared and rows move.
+    number = F.xxhash64(F.lower(F.hex("digest"))).alias("img")
+    rows = cut(images.select(named(id_col).cast("bigint").alias("id"), F.unhex(digest).alias("digest")))
+    numbered = rows.groupBy(number).agg(F.min("id").alias("least"))
+    roots = find(images.select(F.xxhash64(digest).alias("img"), data.alias("media")), numbered.select("img"))
+    placed = numbered.join(roots, "img", "left").select("img", "least", F.coalesce("root", "img").alias("root"))
+    names = placed.join(placed.groupBy("root").agg(F.min("least").alias("class_id")), "root").select("img", "class_id")
+    return rows.select("id", "digest", number).join(names, "img").select("id", F.lower(F.hex("digest")).alias("content"), "class_id")
 
 
 def textures(vectors: DataFrame, id_col: str, vector_col: str, side: int = 64) -> DataFrame:

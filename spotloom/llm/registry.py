@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import read_table
+from ..session import read_table, spread
 from .audit import audit
 from .bpe import bundled, digests, transcode
 from .exact_dedup import exact_dedup
-from .images import every_link, image_classes, textures
+from .image_roots import roots
+from .images import classes_by, textures
 from .lines import dedup_lines
 from .mixing import mixture
 from .pii import replace as replace_pii
@@ -83,8 +84,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_image_copies")
 def op5_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No table holds images: every vector of ``embeddings`` is drawn as one; no link within the radius is left out."""
-    drawn = textures(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    out = image_classes(drawn, "id", "media", every_link)
+    drawn = textures(spread(read_table(spark, sf_dir, "embeddings")), "vec_id", "embedding")
+    out = classes_by(drawn, "id", "media", roots)
     return out.select(F.col("id").alias("vec_id"), F.col("content").alias("media_sha256"), "class_id")
 
 

@@ -69,3 +69,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder; later reads survive lost executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt anew if it has fewer partitions than there are cores: for few rows with much work each."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
